@@ -32,16 +32,22 @@ def query(sql: str | None = None):
 def _text(x: str) -> str:
     """Entities of the fixture decoded in each text, texts stripped and joined."""
     decoded = "t"
-    for entity, char in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&amp;", "&")):
-        decoded = f"replace({decoded}, '{entity}', '{char}')"
+    for entity, char in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("amp", "&")):
+        # A title cut short may lack the semicolon.
+        decoded = S.sub(decoded, f"&{entity};?", char)
     pieces = f"string_split_regex({x}, '<[^>]*>')"
     return f"array_to_string(list_transform({pieces}, lambda t: {S.strip_space(decoded)}), '')"
 
 
+# The first paragraph of an article ends at its end tag, or with the article if it is not closed.
+_FIRST_PARAGRAPH = r"""CASE WHEN regexp_matches(html, '<article><h1>[^<]*</h1><p>[^<]*</p>')
+  THEN regexp_extract(html, '<article><h1>[^<]*</h1><p>([^<]*)</p>', 1)
+  ELSE regexp_extract(html, '(?s)<article><h1>[^<]*</h1><p>(.*)</article>', 1) END"""
+
 _FIELDS = f"""fields AS (SELECT
   replace({_text(r"regexp_extract(html, '<a href=" + '"[^"]*/[^"]*"' + r">([^<]*)</a>', 1)")}, '#', '') AS id,
   {_text(r"regexp_extract(html, '<h1>([^<]*)</h1>', 1)")} AS judul,
-  {_text(r"regexp_extract(regexp_extract(html, '(?s)<article>.*</article>'), '(?s)<p>((?:[^<]|<b>|</b>|<br>|<p>[^<]*</p>)*)', 1)")} AS isi,
+  {_text(_FIRST_PARAGRAPH)} AS isi,
   {_text(r"regexp_extract(html, '<div class=" + '"ad"' + r">([^<]*)</div>', 1)")} AS kategori, url FROM pages)"""
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from string import Formatter
+
 from suarakit import constants as K
 from suarakit.catalog.tables import quoted
 
@@ -38,9 +41,11 @@ def clean(x: str) -> str:
 
 
 def title(x: str) -> str:
+    # upper() maps letter to letter, but the sharp s titles to two letters.
     cased = r"\p{Lu}\p{Ll}\p{Lt}"
+    first = "CASE w[1] WHEN 'ß' THEN 'Ss' ELSE upper(w[1]) END"
     runs = f"regexp_extract_all({x}, '[{cased}]+|[^{cased}]+')"
-    return f"array_to_string(list_transform({runs}, lambda w: upper(w[1]) || lower(w[2:])), '')"
+    return f"array_to_string(list_transform({runs}, lambda w: {first} || lower(w[2:])), '')"
 
 
 def category(x: str) -> str:
@@ -70,31 +75,33 @@ def normalise(x: str) -> str:
     return out
 
 
-def _callback(x: str, pattern: str, decide: str) -> str:
-    """``decide`` is an expression over ``hit``."""
-    p = quoted(pattern)
-    hit = decide.replace("hit", f"regexp_extract_all({x}, {p})[i]")
-    return (
-        f"array_to_string(list_transform(range(1, len(string_split_regex({x}, {p})) + 1), "
-        f"lambda i: string_split_regex({x}, {p})[i] || coalesce({hit}, '')), '')"
-    )
+@dataclass(frozen=True)
+class Callback:
+    """Step replacing matches of a pattern without letters; ``decide`` is an expression over
+    ``hit``.
 
+    This engine's word boundary knows ASCII only. Matching runs on a shadow of the text with
+    every letter as ``x``; the text between matches is then cut from the original by position.
+    """
 
-def email(x: str) -> str:
-    return sub(x, r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b", "[EMAIL]")
+    pattern: str
+    decide: str
 
+    def ctes(self, key: str, source: str, target: str) -> list[str]:
+        shadow = sub("t", r"[\p{L}\p{No}\p{Nl}]", "x")
+        size = "coalesce(list_sum(list_transform({}[:i - 1], lambda g: length(g))), 0)::BIGINT".format
+        gap = f"substr(t, 1 + {size('gaps')} + {size('hits')}, length(gaps[i]))"
+        piece = f"{gap} || CASE WHEN hits[i] IS NULL THEN '' ELSE {self.decide.replace('hit', 'hits[i]')} END"
+        return [
+            f"{target}a AS MATERIALIZED (SELECT {key}, t, string_split_regex({shadow}, {quoted(self.pattern)}) AS gaps, "
+            f"regexp_extract_all({shadow}, {quoted(self.pattern)}) AS hits FROM {source})",
+            f"{target} AS MATERIALIZED (SELECT {key}, array_to_string(list_transform(range(1, len(gaps) + 1), "
+            f"lambda i: {piece}), '') AS t FROM {target}a)",
+        ]
 
-def mobile(x: str) -> str:
-    digits = f"length({sub('hit', f'[{SPACE}-]', '')})"
-    return _callback(
-        x, rf"(\+62|08)([{SPACE}]?[\p{{Nd}}-]{{2,4}}){{2,4}}\b",
-        f"CASE WHEN {digits} BETWEEN 9 AND 15 THEN '[PHONE]' ELSE hit END",
-    )
 
-
-def landline(x: str) -> str:
-    codes = "|".join(K.AREA_CODES)
-    return sub(x, rf"\b({codes})[{SPACE}-]?\p{{Nd}}{{3,4}}[{SPACE}-]?\p{{Nd}}{{3,4}}\b", "[PHONE]")
+def email(x: str) -> str:
+    return sub(x, r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b", "[EMAIL]")
 
 
 def nik(x: str) -> str:
@@ -106,18 +113,27 @@ def nik(x: str) -> str:
     )
 
 
-def numbers(x: str) -> str:
-    return _callback(
-        x, rf"\b(?:\p{{Nd}}[{SPACE}.-]?){{10,16}}\b",
-        f"CASE WHEN hit IS NULL THEN '' WHEN {nik('hit')} THEN '[NIK]' ELSE '[REKENING]' END",
-    )
+mobile = Callback(
+    rf"(\+62|08)([{SPACE}]?[\p{{Nd}}-]{{2,4}}){{2,4}}\b",
+    f"CASE WHEN length({sub('hit', f'[{SPACE}-]', '')}) BETWEEN 9 AND 15 THEN '[PHONE]' ELSE hit END",
+)
+landline = Callback(
+    rf"\b(?:{'|'.join(K.AREA_CODES)})[{SPACE}-]?\p{{Nd}}{{3,4}}[{SPACE}-]?\p{{Nd}}{{3,4}}\b", "'[PHONE]'"
+)
+numbers = Callback(
+    rf"\b(?:\p{{Nd}}[{SPACE}.-]?){{10,16}}\b",
+    f"CASE WHEN {nik('hit')} THEN '[NIK]' ELSE '[REKENING]' END",
+)
 
 
 def staged(source: str, key: str, column: str, *steps) -> str:
     """CTEs applying the steps one after another, so that no step is repeated in the text."""
     parts = [f"s0 AS (SELECT {key}, {column} AS t FROM {source})"]
     for i, step in enumerate(steps, 1):
-        parts.append(f"s{i} AS MATERIALIZED (SELECT {key}, {step('t')} AS t FROM s{i - 1})")
+        if isinstance(step, Callback):
+            parts += step.ctes(key, f"s{i - 1}", f"s{i}")
+        else:
+            parts.append(f"s{i} AS MATERIALIZED (SELECT {key}, {step('t')} AS t FROM s{i - 1})")
     return "WITH " + ", ".join(parts) + f" SELECT {key}, t FROM s{len(steps)}"
 
 
@@ -152,8 +168,6 @@ def one_of(x: str, allowed: tuple[str, ...], default: str) -> str:
 
 
 def fill(template: str, limits: dict[str, int] | None = None, **columns: str) -> str:
-    from string import Formatter
-
     parts = []
     for literal, slot, _, _ in Formatter().parse(template):
         if literal:
