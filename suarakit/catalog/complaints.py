@@ -10,6 +10,7 @@ from suarakit.catalog.tables import (
     ANNOTATED, CONTACT_TEXT, RAW_CATEGORY, annotated, contact_text, documents, raw_category, table,
 )
 from suarakit.functions import labels
+from suarakit.functions.binding import compute_once
 from suarakit.functions.pii import mask_pii
 from suarakit.functions.text import clean_text
 from suarakit.operators import ingest, quality, report
@@ -34,7 +35,7 @@ SELECT source, count(*) AS complaints FROM k WHERE rn = 1 GROUP BY source""")
 def clean_complaints_per_source(spark, sf):
     """Mask, clean, filter, keep first copies, count."""
     docs = documents(spark, sf, "doc_id", "text", "source")
-    clean = docs.withColumn("text", mask_pii(F.col("text"))).withColumn("text", clean_text(F.col("text")))
+    clean = compute_once(docs, text=clean_text(mask_pii(F.col("text"))))
     kept = quality.filter_quality(clean, "doc_id", body="text", title=None)
     return kept.groupBy("source").agg(F.count("*").alias("complaints"))
 
@@ -186,7 +187,7 @@ SELECT tag, count(*) AS complaints, sum(hits)::BIGINT AS hits FROM (
     (length(t) - length(replace(t, tag, ''))) // length(tag) AS hits FROM m) WHERE hits > 0 GROUP BY tag""")
 def masked_tag_counts(spark, sf):
     """How many complaints hold each kind of personal data."""
-    masked = documents(spark, sf, "doc_id", "text").select(mask_pii(contact_text()).alias("t"))
+    masked = compute_once(documents(spark, sf, "doc_id", "text"), t=mask_pii(contact_text()))
     tags = F.explode(F.array(*[F.lit(f"[{t}]") for t in sorted(K.PII_TAGS)]))
     found = masked.select("t", tags.alias("tag"))
     hits = (F.length("t") - F.length(F.replace("t", "tag", F.lit("")))) / F.length("tag")

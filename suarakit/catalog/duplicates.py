@@ -12,7 +12,7 @@ from suarakit.operators.embed import embed
 from suarakit.operators.near_duplicates import check_duplicates, deduplicate_arrivals
 from suarakit.operators.neighbours import Lsh, nearest
 from suarakit.plans import jobs
-from suarakit.session import scratch_path
+from suarakit.session import materialise, scratch_path
 from suarakit.sources import writers
 
 QUERIES, SQL = {}, {}
@@ -130,7 +130,9 @@ FROM d LEFT JOIN s USING (doc_id)""")
 def documents_against_benchmark(spark, sf):
     """Texts embedded once each and checked against a stored collection of other texts."""
     low = F.lower("text").alias("text")
-    store = embed(table(spark, sf, "benchmark").select(F.col("item_id").alias("doc_id"), low), _letter_encoder)
+    items = table(spark, sf, "benchmark").select(F.col("item_id").alias("doc_id"), low)
+    # The search reads its store more than once; the encoder should not run again.
+    store = materialise(embed(items, _letter_encoder))
     docs = embed(documents(spark, sf, "doc_id", "text").select("doc_id", low), _letter_encoder)
     found = nearest(docs, store, id_col="doc_id")
     score = F.coalesce(F.round("similarity", 4), F.lit(0.0))

@@ -8,6 +8,7 @@ from suarakit import constants as K
 from suarakit.catalog import sql as S
 from suarakit.catalog.tables import ANNOTATED, MODEL_ANSWER, annotated, documents, model_answer, table
 from suarakit.functions import jsonx, labels
+from suarakit.functions.binding import compute_once
 from suarakit.operators import annotate as A
 from suarakit.plans import jobs
 from suarakit.schemas import LABEL_COLUMNS
@@ -27,7 +28,7 @@ def query(sql: str | None = None):
 
 def _answers(spark, sf):
     docs = documents(spark, sf, "doc_id", "text", "source", "lang")
-    return docs.withColumn("raw", model_answer())
+    return compute_once(docs, raw=model_answer())
 
 
 _PARSED = f"""raw AS (SELECT *, {MODEL_ANSWER} AS raw FROM documents),
@@ -38,10 +39,10 @@ j AS MATERIALIZED (SELECT doc_id, source, lang, raw, {S.parsed('raw')} AS j FROM
 SELECT doc_id, CASE WHEN j IS NULL THEN 'unparsable' WHEN json_type(j) = 'OBJECT' THEN 'ok' ELSE 'not_object' END AS status,
   json_extract_string(j, '$.intent') AS intent, json_extract_string(j, '$.ringkasan') AS ringkasan FROM j""")
 def parse_json_tolerant(spark, sf):
-    parsed = _answers(spark, sf).withColumn("v", jsonx.parse_tolerant(F.col("raw")))
+    parsed = compute_once(_answers(spark, sf), v=jsonx.parse_tolerant(F.col("raw")))
     return parsed.select(
         "doc_id",
-        jsonx.parse_status(F.col("raw")).alias("status"),
+        jsonx.status(F.col("v")).alias("status"),
         jsonx.as_text(jsonx.member(F.col("v"), "intent")).alias("intent"),
         jsonx.as_text(jsonx.member(F.col("v"), "ringkasan")).alias("ringkasan"),
     )
@@ -52,12 +53,11 @@ def parse_json_tolerant(spark, sf):
 def parse_event_props(spark, sf):
     """Strict parsing accepts the properties as they are and rejects them inside other text."""
     events = table(spark, sf, "events").select("event_id", "props")
-    v = jsonx.parse_tolerant(F.concat(F.lit("note: "), "props", F.lit(" end")))
-    noisy = jsonx.parse_strict(F.concat(F.lit("note: "), "props", F.lit(" end")))
+    noisy = F.concat(F.lit("note: "), "props", F.lit(" end"))
     return events.select(
         "event_id",
-        F.try_variant_get(v, F.lit("$.k"), "bigint").alias("k"),
-        noisy.isNull().alias("noisy_is_bad"),
+        F.try_variant_get(jsonx.parse_tolerant(noisy), F.lit("$.k"), "bigint").alias("k"),
+        jsonx.parse_strict(noisy).isNull().alias("noisy_is_bad"),
     )
 
 
@@ -76,7 +76,7 @@ def _validated(j: str, original: str) -> str:
 @query(f"""WITH {_PARSED} SELECT doc_id, {_validated('j', "CASE WHEN lang = 'de' THEN 'Kesehatan' END")} FROM j""")
 def validate_labels(spark, sf):
     original = F.when(F.col("lang") == "de", "Kesehatan")
-    checked = _answers(spark, sf).withColumn("l", labels.validate(F.col("raw"), original))
+    checked = compute_once(_answers(spark, sf), l=labels.validate(F.col("raw"), original))
     return checked.select("doc_id", "l.*")
 
 
@@ -94,12 +94,12 @@ _V2 = ("intent", "category", "location", "object", "urgency", "sentiment", "summ
 SELECT doc_id, CASE WHEN j.j IS NULL THEN 'unchanged' WHEN c.doc_id IS NULL THEN 'failed' ELSE 'converted' END AS outcome,
   {', '.join(_V2)} FROM j LEFT JOIN c USING (doc_id)""")
 def convert_labels(spark, sf):
-    done = _answers(spark, sf).withColumn("out", labels.convert_output(F.col("raw")))
+    done = compute_once(_answers(spark, sf), out=labels.convert_output(F.col("raw")))
     v = jsonx.parse_strict(F.col("out"))
     outcome = (
         F.when(F.col("out").isNull(), "failed").when(F.col("out") == F.col("raw"), "unchanged").otherwise("converted")
     )
-    parsed = done.withColumn("outcome", outcome).withColumn("v", v)
+    parsed = compute_once(done, outcome=outcome, v=v)
     text = lambda k: jsonx.as_text(jsonx.first_truthy(jsonx.member(F.col("v"), k)))
     default = {"object": "", "summary": ""}
     return parsed.select(

@@ -12,7 +12,6 @@ WORD = r"\p{L}\p{N}_"
 SPACE = r"\p{Z}\x09-\x0d\x1c-\x1f\x85"
 DIGIT = r"\p{Nd}"
 
-WORD_START = rf"(?<![{WORD}])"
 WORD_END = rf"(?![{WORD}])"
 WORD_EDGE = rf"(?:(?<=[{WORD}])(?![{WORD}])|(?<![{WORD}])(?=[{WORD}]))"
 

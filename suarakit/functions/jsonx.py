@@ -50,14 +50,14 @@ def kind(v: Column) -> Column:
     )
 
 
+def status(v: Column) -> Column:
+    """Status of a parsed value: ``ok``, ``not_object`` or ``unparsable``."""
+    return F.when(v.isNull(), "unparsable").when(kind(v) == "object", "ok").otherwise("not_object")
+
+
 def parse_status(c: Column) -> Column:
     """``ok``, ``not_object`` or ``unparsable``."""
-    return let(
-        parse_tolerant(c),
-        lambda v: F.when(v.isNull(), "unparsable")
-        .when(kind(v) == "object", "ok")
-        .otherwise("not_object"),
-    )
+    return let(parse_tolerant(c), status)
 
 
 def member(v: Column, key: str) -> Column:

@@ -2,49 +2,34 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from suarakit import constants as K
-from suarakit.functions.binding import let
-from suarakit.functions.chars import DIGIT, SPACE, WORD_EDGE, WORD_END, WORD_START
-
-# The shapes that count as personal data.
-EMAIL = rf"{WORD_EDGE}[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{{2,}}{WORD_EDGE}"
+from suarakit.functions.binding import let, replace_matches
+from suarakit.functions.chars import DIGIT, SPACE, WORD, WORD_EDGE, WORD_END
+
+# The shapes that count as personal data. Most of a text is skipped fastest by a
+# pattern that starts with a character and looks at its surroundings afterwards.
+_LOCAL = "A-Za-z0-9._%+-"
+_DOMAIN = r"@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}"
+# An address starts at the first word edge of the characters before its @; group 1 precedes it.
+EMAIL = (
+    rf"(?<![{_LOCAL}])(?=[{_LOCAL}]++@)([{_LOCAL}]*?){WORD_EDGE}[{_LOCAL}]++{_DOMAIN}{WORD_EDGE}"
+)
 MOBILE = rf"(\+62|08)([{SPACE}]?[{DIGIT}-]{{2,4}}){{2,4}}{WORD_EDGE}"
+# All area codes start with 0.
 LANDLINE = (
-    rf"{WORD_START}({'|'.join(K.AREA_CODES)})[{SPACE}-]?{DIGIT}{{3,4}}[{SPACE}-]?{DIGIT}{{3,4}}{WORD_END}"
+    rf"0(?<![{WORD}]0)(?:{'|'.join(code[1:] for code in K.AREA_CODES)})"
+    rf"[{SPACE}-]?{DIGIT}{{3,4}}[{SPACE}-]?{DIGIT}{{3,4}}{WORD_END}"
+)
+LONG_NUMBER = (
+    rf"{DIGIT}(?<![{WORD}]{DIGIT})[{SPACE}.-]?(?:{DIGIT}[{SPACE}.-]?){{9,15}}{WORD_EDGE}"
 )
-LONG_NUMBER = rf"{WORD_START}(?:{DIGIT}[{SPACE}.-]?){{10,16}}{WORD_EDGE}"
-
-
-def replace_matches(c: Column, pattern: str, decide: Callable[[Column], Column]) -> Column:
-    """Replace every match of ``pattern`` by ``decide(match)``, without leaving the JVM.
-
-    The text between matches and the matches themselves alternate, so the two arrays zip
-    back together. Texts without a match skip all of it.
-    """
-
-    def rebuild(text: Column) -> Column:
-        pieces = F.transform(
-            F.arrays_zip(
-                F.split(text, pattern, -1).alias("gap"),
-                F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"),
-            ),
-            # One more gap than matches: the last gap pairs with NULL.
-            lambda z: F.concat(
-                z["gap"], F.when(z["hit"].isNull(), F.lit("")).otherwise(decide(z["hit"]))
-            ),
-        )
-        return F.when(F.rlike(text, F.lit(pattern)), F.array_join(pieces, "")).otherwise(text)
-
-    return let(c, rebuild)
 
 
 def mask_email(c: Column) -> Column:
-    masked = F.regexp_replace(c, EMAIL, "[EMAIL]")
+    masked = F.regexp_replace(c, EMAIL, "$1[EMAIL]")
     return F.when(F.contains(c, F.lit("@")), masked).otherwise(c)
 
 

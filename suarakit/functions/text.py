@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable
 from itertools import chain
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from suarakit import constants as K
-from suarakit.functions.chars import DIGIT, SPACE, WORD, WORD_END, WORD_START, squeeze_space
+from suarakit.functions.binding import replace_matches
+from suarakit.functions.chars import DIGIT, SPACE, WORD, WORD_END, squeeze_space
 
 _CLEAN_KEEP = rf"{WORD}.,!?;:()\-'"
 _NORMAL_KEEP = rf"{WORD}.,!?"
@@ -35,12 +38,14 @@ def clean_text(c: Column) -> Column:
     """URLs out; entities, symbols and white space become single blanks; NULL becomes ''.
 
     Entities, symbols and white space all end as one blank per run, so a single pass over
-    the text does the work of three. The possessive ``++`` keeps the regex engine iterative
+    the text does the work of three. The possessive ``*+`` keeps the regex engine iterative
     on long runs.
     """
     no_urls = strip_urls(F.coalesce(c, F.lit("")))
-    run = rf"(?:[^{_CLEAN_KEEP}&]+|&(?:[a-z]+;)?)++"
-    return F.trim(F.regexp_replace(no_urls, run, " "))
+    # A lone blank between words is already what it should be.
+    start = rf"(?: (?=[^{_CLEAN_KEEP}])|[^{_CLEAN_KEEP}& ]|&(?:[a-z]+;)?)"
+    rest = rf"(?:[^{_CLEAN_KEEP}&]+|&(?:[a-z]+;)?)*+"
+    return F.trim(F.regexp_replace(no_urls, start + rest, " "))
 
 
 # --- title case -------------------------------------------------------------------------
@@ -66,18 +71,39 @@ def lookup(mapping: dict[str, str], key: Column, default: Column | None = None)
     return F.when(key.isin(*mapping), value).otherwise(default)
 
 
-def expand_slang(c: Column, slang: dict[str, str] | None = None) -> Column:
-    """Replace known short forms word by word, keeping punctuation attached to them."""
+def _known_words(words: Iterable[str]) -> str:
+    """Alternatives grouped by first letter, so that most words fail on one comparison each."""
+    by_first: dict[str, list[str]] = {}
+    for w in words:
+        by_first.setdefault(w[0], []).append(re.escape(w[1:]))
+    return "|".join(f"{re.escape(first)}(?:{'|'.join(rest)})" for first, rest in by_first.items())
+
+
+def replace_slang(c: Column, slang: dict[str, str] | None = None, folded: bool = False) -> Column:
+    """Replace known short forms, keeping white space and punctuation around them.
+
+    ``folded`` promises lower-case text.
+    """
     slang = K.SLANG if slang is None else slang
+    edge = re.escape(K.SLANG_EDGE_PUNCTUATION)
 
-    def expand(word: Column) -> Column:
+    def expand(hit: Column) -> Column:
+        word = F.substr(hit, F.lit(2))
         core = F.btrim(word, F.lit(K.SLANG_EDGE_PUNCTUATION))
-        key = F.lower(core)
-        return F.when(
-            key.isin(*slang), F.replace(word, core, F.try_element_at(_literal_map(slang), key))
-        ).otherwise(word)
+        long = F.try_element_at(_literal_map(slang), F.lower(core))
+        return F.coalesce(F.concat(F.left(hit, F.lit(1)), F.replace(word, core, long)), hit)
+
+    # The flags cover the words only: they would slow down the classes around them.
+    known = f"(?{'' if folded else 'iu'}:{_known_words(slang)})"
+    pattern = rf"[{SPACE}][{edge}]*+{known}[{edge}]*+(?=[{SPACE}]|\z)"
+    # With a blank in front, every word starts after white space.
+    words = F.concat(F.lit(" "), c)
+    return F.substr(replace_matches(words, pattern, expand), F.lit(2))
 
-    return F.array_join(F.transform(F.split(squeeze_space(c), " "), expand), " ")
+
+def expand_slang(c: Column, slang: dict[str, str] | None = None) -> Column:
+    """Replace known short forms word by word; words end up one blank apart."""
+    return replace_slang(squeeze_space(c), slang)
 
 
 # --- normalisation ----------------------------------------------------------------------
@@ -100,7 +126,7 @@ def collapse_marks(c: Column) -> Column:
 
 def drop_long_numbers(c: Column) -> Column:
     """Delete stand-alone numbers of five digits or more."""
-    return F.regexp_replace(c, rf"{WORD_START}{DIGIT}{{5,}}{WORD_END}", "")
+    return F.regexp_replace(c, rf"{DIGIT}(?<![{WORD}]{DIGIT}){DIGIT}{{4,}}{WORD_END}", "")
 
 
 def keep_plain(c: Column) -> Column:
@@ -110,5 +136,6 @@ def keep_plain(c: Column) -> Column:
 
 def normalise(c: Column) -> Column:
     """Lower-case, expand slang and reduce to plain text while keeping personal-data tags."""
-    words = expand_slang(F.lower(protect_tags(c)))
+    # keep_plain squeezes the white space that expand_slang would.
+    words = replace_slang(F.lower(protect_tags(c)), folded=True)
     return restore_tags(keep_plain(drop_long_numbers(collapse_marks(words))))

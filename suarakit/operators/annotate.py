@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from suarakit import constants as K
 from suarakit.functions import jsonx as J
 from suarakit.functions import labels as L
+from suarakit.functions.binding import compute_once
 from suarakit.functions.prompts import full_label_prompt, urgency_prompt
 from suarakit.schemas import LABEL_COLUMNS
 from suarakit.session import scratch_path
@@ -143,10 +144,8 @@ def parse_urgency(answered: DataFrame) -> DataFrame:
 
 def parse_full_labels(answered: DataFrame) -> DataFrame:
     """Validated labels from raw answers; failed calls yield the defaults."""
-    parsed = answered.withColumn(
-        "_labels",
-        L.validate(F.coalesce(F.col("raw"), F.lit("")), F.col("kategori")),
-    )
+    raw = F.coalesce(F.col("raw"), F.lit(""))
+    parsed = compute_once(answered, _labels=L.validate(raw, F.col("kategori")))
     return parsed.withColumns({c: F.col(f"_labels.{c}") for c in LABEL_COLUMNS}).drop("_labels")
 
 
@@ -184,6 +183,5 @@ def annotate_full(
 def intake_labels(masked: DataFrame, responses: DataFrame, id_col: str = "id") -> DataFrame:
     """Rows with ``status`` and parsed ``result`` (VARIANT, NULL if unusable) per answer."""
     joined = masked.join(responses.select(id_col, "raw"), id_col, "left")
-    return joined.withColumn("result", J.parse_tolerant(F.col("raw"))).withColumn(
-        "parsed", F.col("result").isNotNull() & J.truthy(F.col("result"))
-    )
+    parsed = compute_once(joined, result=J.parse_tolerant(F.col("raw")))
+    return parsed.withColumn("parsed", J.truthy(F.col("result")))

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from suarakit import constants as K
+from suarakit.functions.binding import compute_once
 from suarakit.functions.category import normalise_category
 from suarakit.functions.chars import is_blank
 from suarakit.functions.prompts import inference_input
@@ -21,11 +22,11 @@ def drop_columns(df: DataFrame, cols: Sequence[str] = ("url",)) -> DataFrame:
 
 
 def clean_columns(df: DataFrame, cols: Sequence[str] = ("judul", "isi")) -> DataFrame:
-    return df.withColumns({c: clean_text(F.col(c)) for c in cols})
+    return compute_once(df, **{c: clean_text(F.col(c)) for c in cols})
 
 
 def normalise_categories(df: DataFrame, col: str = "kategori") -> DataFrame:
-    return df.withColumn(col, normalise_category(F.col(col)))
+    return compute_once(df, **{col: normalise_category(F.col(col))})
 
 
 def keep_first(df: DataFrame, keys: Sequence[str | Column], order: str) -> DataFrame:

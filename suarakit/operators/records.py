@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from suarakit import constants as K
 from suarakit.functions import jsonx as J
 from suarakit.functions import labels as L
-from suarakit.functions.binding import let
+from suarakit.functions.binding import compute_once, let
 from suarakit.functions.chars import strip_space
 from suarakit.functions.prompts import inference_input, intake_prompt
 from suarakit.operators.quality import drop_blank_lines
@@ -87,7 +87,7 @@ def convert_lines(lines: DataFrame, col: str = "value") -> DataFrame:
         return F.when((J.kind(v) == "object") & new.isNotNull(), record)
 
     parsed = J.parse_strict(strip_space(F.col(col)))
-    return drop_blank_lines(lines, col).withColumn("record", let(parsed, convert))
+    return compute_once(drop_blank_lines(lines, col), record=let(parsed, convert))
 
 
 def conversation_records(turns: DataFrame) -> DataFrame:

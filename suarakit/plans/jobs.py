@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from suarakit import constants as K
+from suarakit.functions.binding import compute_once
 from suarakit.functions.labels import is_complete
 from suarakit.functions.pii import mask_pii
 from suarakit.functions.prompts import intake_prompt
@@ -137,9 +138,8 @@ def converted_distributions(converted: DataFrame) -> DataFrame:
     """Label counts of converted records; outputs that are no JSON count as NULL."""
     names = ("intent", "category", "urgency", "sentiment")
     schema = "struct<" + ", ".join(f"{n}: string" for n in names) + ">"
-    labels = converted.filter(F.col("record").isNotNull()).select(
-        F.from_json("record.output", schema).alias("l")
-    )
+    good = converted.filter(F.col("record").isNotNull()).select("record.output")
+    labels = compute_once(good, l=F.from_json("output", schema))
     return report.label_distributions(labels.select("l.*"), names, keep_null=True)
 
 
@@ -147,7 +147,7 @@ def converted_distributions(converted: DataFrame) -> DataFrame:
 
 def masked_prompts(df: DataFrame, text_col: str = "isi") -> DataFrame:
     """Adds ``masked`` and the prompt built from it; raw text never reaches the prompt."""
-    masked = df.withColumn("masked", mask_pii(F.col(text_col)))
+    masked = compute_once(df, masked=mask_pii(F.col(text_col)))
     return masked.withColumn("prompt", intake_prompt(F.col("masked")))
 
 

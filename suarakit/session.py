@@ -28,6 +28,7 @@ def local_session(cores: str = "*", **conf: str) -> SparkSession:
         SparkSession.builder.master(f"local[{cores}]")
         .appName("suarakit")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
