@@ -153,7 +153,7 @@ MODEL_ANSWER = "CASE doc_id % 8 " + " ".join(
 
 def annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Complaints with the labels the ``labels`` table can supply; the rest is missing."""
-    docs = documents(spark, sf_dir, "doc_id", "text", "source", "lang")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
     joined = docs.join(table(spark, sf_dir, "labels"), "doc_id", "left")
     toxic, good, bad = F.col("toxic") == 1, F.col("quality") == 1, F.col("quality") == 0
     return joined.select(

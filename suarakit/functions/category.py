@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from suarakit import constants as K
+from suarakit.functions.binding import let
 from suarakit.functions.chars import strip_space
 from suarakit.functions.text import title_case
 
@@ -25,7 +26,6 @@ def normalise_category(c: Column, keywords: dict[str, str] | None = None) -> Col
     Keywords match inside longer words on purpose: that is the established behaviour.
     """
     keywords = K.CATEGORY_KEYWORDS if keywords is None else keywords
-    folded = strip_space(F.lower(c))
-    return F.when(c.isNull(), F.lit(K.OTHER_CATEGORY)).otherwise(
-        first_keyword(folded, keywords, title_case(c))
-    )
+    unknown = F.lit(None).cast("string")
+    topic = let(strip_space(F.lower(c)), lambda folded: first_keyword(folded, keywords, unknown))
+    return F.coalesce(F.when(c.isNull(), F.lit(K.OTHER_CATEGORY)), topic, title_case(c))

@@ -42,8 +42,7 @@ def empty_streak_cut(log: DataFrame, streak: int = K.EMPTY_PAGES_TO_STOP) -> Dat
     the ``streak`` pages it could help to complete; a page with all votes completes a run.
     Votes aggregate by (source, page), so a long source is never sorted in one task.
     """
-    empty = log.filter(F.col("n_links") == 0).select("source", "page").distinct()
-    votes = empty.select(
+    votes = log.filter(F.col("n_links") == 0).select(
         "source", F.explode(F.sequence("page", F.col("page") + (streak - 1))).alias("page")
     )
     cuts = (

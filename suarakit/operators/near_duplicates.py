@@ -80,7 +80,7 @@ def first_come(
     )
 
     # Later copies of the same vector share the fate of a duplicate.
-    undecided = materialise(keep_first(rows.filter(directed), ["vec"], "ord"))
+    undecided = materialise(keep_first(rows.filter(directed), ["vec"], "ord", long_keys=True))
     while (n := undecided.count()) > block_rows:
         flags = nearest(undecided, undecided, **search)
         split = materialise(undecided.join(flags, "id"))

@@ -296,7 +296,7 @@ def nearest(
     if not distinct_store:
         # Identical stored vectors tie, and the first of them wins: the others cannot matter.
         tie = F.struct("ord", "id")
-        s = keep_first(s.withColumn("_tie", tie), ["vec"], "_tie").drop("_tie")
+        s = keep_first(s.withColumn("_tie", tie), ["vec"], "_tie", long_keys=True).drop("_tie")
 
     if method == "lsh":
         lsh = lsh or Lsh()

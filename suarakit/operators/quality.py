@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -29,15 +29,18 @@ def normalise_categories(df: DataFrame, col: str = "kategori") -> DataFrame:
     return compute_once(df, **{col: normalise_category(F.col(col))})
 
 
-def keep_first(df: DataFrame, keys: Sequence[str | Column], order: str) -> DataFrame:
+def keep_first(
+    df: DataFrame, keys: Sequence[str], order: str, long_keys: bool = False
+) -> DataFrame:
     """First row per key in ``order``; rows with a NULL key form one group.
 
     The rank filter lets Spark keep one row per key and task *before* the shuffle, so a key
-    holding a third of the table sends a handful of rows, not a third of the table. The
-    leading hash makes the local sort compare long keys only when their hashes agree.
+    holding a third of the table sends a handful of rows, not a third of the table. With
+    ``long_keys`` a leading hash makes the sort compare whole keys only where hashes agree;
+    without it the result is partitioned by the keys and can be joined on them as it is.
     """
-    keys = [F.col(k) if isinstance(k, str) else k for k in keys]
-    first = W.partitionBy(F.xxhash64(*keys), *keys).orderBy(order)
+    by = [F.xxhash64(*keys), *keys] if long_keys else list(keys)
+    first = W.partitionBy(*by).orderBy(order)
     return df.withColumn("_rank", F.row_number().over(first)).filter("_rank = 1").drop("_rank")
 
 
@@ -50,7 +53,7 @@ def filter_quality(
 ) -> DataFrame:
     """Rows with title and body, a body of at least ``min_length`` characters, first copy only."""
     present = df.na.drop(subset=[body] + ([title] if title else []))
-    return keep_first(present.filter(F.length(body) >= min_length), [body], order)
+    return keep_first(present.filter(F.length(body) >= min_length), [body], order, long_keys=True)
 
 
 def drop_hopeless_bodies(

@@ -52,17 +52,21 @@ def samples_per_label(
     df: DataFrame,
     label: str,
     order: str,
+    values: Sequence[str],
     n: int = 2,
-    values: Sequence[str] | None = None,
     limits: dict[str, int] | None = None,
 ) -> DataFrame:
-    """First ``n`` rows per label value, long texts cut for display."""
-    rows = df.filter(F.col(label).isin(*values)) if values else df.na.drop(subset=[label])
-    ranked = rows.withColumn(
-        "_rank", F.row_number().over(W.partitionBy(label).orderBy(order))
-    ).filter(F.col("_rank") <= n)
+    """First ``n`` rows of each of the label ``values``, long texts cut for display.
+
+    ``order`` is unique. Ranking sees only label and order; the texts of the few winners, at
+    most ``n`` per value, are fetched by a join with that bounded list.
+    """
+    narrow = df.filter(F.col(label).isin(*values)).select(label, order)
+    rank = F.row_number().over(W.partitionBy(label).orderBy(order))
+    winners = narrow.withColumn("_rank", rank).filter(F.col("_rank") <= n).select(order)
+    rows = df.join(F.broadcast(winners), order, "left_semi")
     cut = {c: F.left(F.col(c), F.lit(size)) for c, size in (limits or {}).items()}
-    return (ranked.withColumns(cut) if cut else ranked).drop("_rank")
+    return rows.withColumns(cut) if cut else rows
 
 
 def preview(df: DataFrame, order: str, n: int = 3, limits: dict[str, int] | None = None) -> DataFrame:
