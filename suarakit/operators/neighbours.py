@@ -1,7 +1,7 @@
 """Nearest stored vector by cosine similarity.
 
 Both tables are cut into blocks of a bounded number of vectors. Blocks that can matter to
-each other meet in an equi-join, a task multiplies two blocks as matrices and passes on one
+each other meet in an equi-join (a store below a checked size is broadcast instead), a task multiplies two blocks as matrices and passes on one
 row per query vector, and an aggregation keeps the best. Neither all pairs of vectors nor a
 whole table ever exist in one place.
 
@@ -27,13 +27,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from suarakit.operators.quality import keep_first
+from suarakit.session import materialise
 
 BLOCK_ROWS = 4096
 BLOCK_BYTES = 4 << 20
+BROADCAST_BYTES = 32 << 20
 MAX_PIVOTS = 256
-_CHUNK = 512
-# Decimals that survive different summation orders; ties are judged on them.
+_CHUNK = 256
+# Similarities closer than this tie, whatever order they were summed in.
 _STABLE = 9
+_TIE = 10.0**-_STABLE
 
 # (unit vectors, order) -> (row numbers, cells), both sorted by cell
 Router = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
@@ -103,11 +106,15 @@ def _pivot_router(
     return route
 
 
+def _n_pivots(n: int, block_rows: int) -> int:
+    return max(1, min(MAX_PIVOTS, n // (4 * block_rows)))
+
+
 def _pivot_cells(
     s: DataFrame, n: int, block_rows: int, ordered: bool, min_similarity: float | None
 ) -> tuple[DataFrame, Router, list[int]]:
     """Stored rows with their cell, the query router, and the number of parts per cell."""
-    n_pivots = max(1, min(MAX_PIVOTS, n // (4 * block_rows)))
+    n_pivots = _n_pivots(n, block_rows)
     if n_pivots == 1:
         everything = lambda units, order: (
             np.arange(len(units)), np.zeros(len(units), dtype=np.int64)
@@ -202,6 +209,20 @@ def _pack_store(s: DataFrame) -> DataFrame:
     )
 
 
+def _meet(asked: DataFrame, stored: DataFrame, n_blocks: int) -> DataFrame:
+    """Pairs of blocks, spread over several tasks per core however few store blocks there are.
+
+    Each store block is copied to as many slices as that takes; a query block goes to one.
+    """
+    cores = asked.sparkSession.sparkContext.defaultParallelism
+    slices = F.lit(max(1, math.ceil(4 * cores / n_blocks)))
+    one = F.pmod(F.xxhash64(F.get("q_rows", F.lit(0))["id"]), slices).cast("int")
+    every = F.explode(F.sequence(F.lit(0), slices - 1))
+    return asked.withColumn("slice", one).join(
+        stored.withColumn("slice", every), ["cell", "part", "slice"]
+    )
+
+
 def _best_matches(pairs: DataFrame, ordered: bool, min_similarity: float | None) -> DataFrame:
     """For each pair of blocks, every query's best stored vector, as ``id, far, s_ord, s_id``."""
     q_type = pairs.schema["q_rows"].dataType.elementType
@@ -230,19 +251,20 @@ def _best_matches(pairs: DataFrame, ordered: bool, min_similarity: float | None)
                 for lo in range(0, len(q), _CHUNK):
                     part = q.slice(lo, _CHUNK)
                     sims = _matrix(part.field("vec")) @ s_units.T
-                    score = np.round(sims, _STABLE)
                     if ordered:
-                        score[s_ord[None, :] >= part.field("ord").to_numpy()[:, None]] = -np.inf
-                    best = score.argmax(axis=1)
+                        sims[s_ord[None, :] >= part.field("ord").to_numpy()[:, None]] = -np.inf
+                    top = sims.max(axis=1)
+                    # Copies may differ in the last bits; the first of them wins.
+                    best = (sims >= top[:, None] - _TIE).argmax(axis=1)
                     rows = np.arange(len(best))
-                    good = np.isfinite(score[rows, best])
+                    good = np.isfinite(top)
                     if min_similarity is not None:
                         good &= np.round(sims[rows, best], 4) >= min_similarity
                     rows, best = rows[good], best[good]
                     yield pa.RecordBatch.from_arrays(
                         [
                             part.field("id").take(pa.array(rows)),
-                            pa.array(-score[rows, best]),
+                            pa.array(-np.round(sims[rows, best], _STABLE)),
                             pa.array(sims[rows, best]),
                             pa.array(s_ord[best]),
                             s.field("id").take(pa.array(best)),
@@ -273,6 +295,7 @@ def nearest(
     method: str = "exact",
     lsh: Lsh | None = None,
     block_rows: int | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
     distinct_store: bool = False,
 ) -> DataFrame:
     """``id, similarity, nearest_id`` for every row of ``batch``; NULLs without a neighbour.
@@ -297,6 +320,9 @@ def nearest(
         # Identical stored vectors tie, and the first of them wins: the others cannot matter.
         tie = F.struct("ord", "id")
         s = keep_first(s.withColumn("_tie", tie), ["vec"], "_tie", long_keys=True).drop("_tie")
+        if _n_pivots(size["n"], block_rows) > 1:
+            # Choosing pivots, measuring cells and packing blocks all read the store.
+            s = materialise(s)
 
     if method == "lsh":
         lsh = lsh or Lsh()
@@ -318,10 +344,16 @@ def nearest(
     else:
         raise ValueError(f"unknown method {method!r}")
 
+    copies = lsh.bands if method == "lsh" else 1
     stored = _pack_store(with_parts(routed))
     part = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")
     asked = with_parts(_pack_queries(q, router, block_rows)).select("cell", part, "q_rows")
-    found = _best_matches(asked.join(stored, ["cell", "part"]), ordered, min_similarity)
+    if copies * size["n"] * size["dim"] * 4 <= broadcast_bytes:
+        # A store of this checked size goes to every task, and the batch is not shuffled.
+        pairs = asked.join(F.broadcast(stored), ["cell", "part"])
+    else:
+        pairs = _meet(asked, stored, copies * math.ceil(size["n"] / block_rows))
+    found = _best_matches(pairs, ordered, min_similarity)
     best = found.groupBy("id").agg(F.min(F.struct("far", "s_ord", "s_id", "sim")).alias("b"))
     return ids.join(best, "id", "left").select(
         "id", F.col("b.sim").alias("similarity"), F.col("b.s_id").alias("nearest_id")

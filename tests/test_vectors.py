@@ -33,12 +33,14 @@ def brute_top1(m, ordered):
     return [(None if s[i, b] == -np.inf else int(b)) for i, b in enumerate(best)], s.max(axis=1)
 
 
-@pytest.mark.parametrize("block_rows", [None, 16])
+@pytest.mark.parametrize("block_rows,broadcast_bytes", [(None, 1 << 20), (16, 1 << 20), (16, 0), (400, 0)])
 @pytest.mark.parametrize("ordered", [False, True])
-def test_exact_search_equals_brute_force(spark, block_rows, ordered):
+def test_exact_search_equals_brute_force(spark, block_rows, broadcast_bytes, ordered):
     m = clustered()
     df = frame(spark, enumerate(m.astype(np.float32)))
-    found = nearest(df, df, order_col="vec_id" if ordered else None, block_rows=block_rows).collect()
+    found = nearest(
+        df, df, order_col="vec_id" if ordered else None, block_rows=block_rows, broadcast_bytes=broadcast_bytes
+    ).collect()
     ids, sims = brute_top1(m, ordered)
     got = {r["id"]: r for r in found}
     assert len(found) == len(m) == len(got)
@@ -54,7 +56,7 @@ def test_exact_search_equals_brute_force(spark, block_rows, ordered):
 def test_threshold_prunes_only_what_cannot_matter(spark):
     m = clustered(300)
     df = frame(spark, enumerate(m.astype(np.float32)))
-    got = {r["id"]: r["nearest_id"] for r in nearest(df, df, order_col="vec_id", min_similarity=0.9, block_rows=8).collect()}
+    got = {r["id"]: r["nearest_id"] for r in nearest(df, df, order_col="vec_id", min_similarity=0.9, block_rows=8, broadcast_bytes=0).collect()}
     s = np.round(m @ m.T, 4)
     for i in range(len(m)):
         assert (got[i] is not None) == bool((s[i, :i] >= 0.9).any())
