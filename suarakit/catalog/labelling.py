@@ -12,6 +12,7 @@ from suarakit.functions.binding import compute_once
 from suarakit.operators import annotate as A
 from suarakit.plans import jobs
 from suarakit.schemas import LABEL_COLUMNS
+from suarakit.session import spread
 
 QUERIES, SQL = {}, {}
 
@@ -52,7 +53,7 @@ def parse_json_tolerant(spark, sf):
   NOT json_valid('note: ' || props || ' end') AS noisy_is_bad FROM events""")
 def parse_event_props(spark, sf):
     """Strict parsing accepts the properties as they are and rejects them inside other text."""
-    events = table(spark, sf, "events").select("event_id", "props")
+    events = spread(table(spark, sf, "events").select("event_id", "props"))
     noisy = F.concat(F.lit("note: "), "props", F.lit(" end"))
     return events.select(
         "event_id",

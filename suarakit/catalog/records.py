@@ -100,24 +100,27 @@ def conversation_records(spark, sf):
 
 
 def _jsonl_lines(spark, sf):
-    """Instruction records whose output is a model answer, as JSON lines; some are damaged."""
+    """Instruction records whose output is a model answer, as JSON lines.
+
+    Lines of three languages are damaged in three ways, and some records have no output.
+    """
     docs = documents(spark, sf, "doc_id", "text", "source", "lang")
     record = F.to_json(
         F.struct(F.lit("i").alias("instruction"), F.col("source").alias("input"), model_answer().alias("output"))
     )
-    d = F.col("doc_id")
+    lang = F.col("lang")
     line = (
-        F.when(d % 10 == 3, F.concat(record, F.lit(" x")))
-        .when(d % 10 == 5, F.lit(" \t"))
-        .when(d % 10 == 7, F.concat(F.lit('["'), "source", F.lit('"]')))
-        .when(d % 10 == 9, F.concat(F.lit('{"input":"'), "source", F.lit('"}')))
+        F.when(lang == "fr", F.concat(record, F.lit(" x")))
+        .when(lang == "es", F.lit(" \t"))
+        .when(lang == "de", F.concat(F.lit('["'), "source", F.lit('"]')))
+        .when(F.col("source").isin("src1", "src7"), F.concat(F.lit('{"input":"'), "source", F.lit('"}')))
         .otherwise(F.concat(F.lit("  "), record))
     )
     return docs.select("doc_id", line.alias("value"))
 
 
-_LINES = f"""r AS (SELECT doc_id, source, CASE WHEN doc_id % 10 = 9 THEN '{{}}' ELSE {MODEL_ANSWER} END AS raw
-  FROM documents WHERE doc_id % 10 NOT IN (3, 5, 7)),
+_LINES = f"""r AS (SELECT doc_id, source, CASE WHEN source IN ('src1', 'src7') THEN '{{}}' ELSE {MODEL_ANSWER} END AS raw
+  FROM documents WHERE lang NOT IN ('fr', 'es', 'de')),
 j AS MATERIALIZED (SELECT *, {S.parsed('raw')} AS j FROM r),
 c AS (SELECT doc_id, {_CONVERTED} FROM j WHERE json_type(j) = 'OBJECT'),
 kept AS (SELECT j.doc_id, j.source, j.j IS NULL AS unchanged, {', '.join(f'c.{n}' for n in _V2)}
@@ -141,7 +144,7 @@ def convert_jsonl(spark, sf):
     ).select("doc_id", "instruction", "input", "unchanged", "o.*")
 
 
-@query(f"""WITH {_LINES} SELECT doc_id FROM documents WHERE doc_id % 10 <> 5 AND doc_id NOT IN (SELECT doc_id FROM kept)""")
+@query(f"""WITH {_LINES} SELECT doc_id FROM documents WHERE lang <> 'es' AND doc_id NOT IN (SELECT doc_id FROM kept)""")
 def convert_jsonl_quarantine(spark, sf):
     return records.split_bad(records.convert_lines(_jsonl_lines(spark, sf)))[1].select("doc_id")
 

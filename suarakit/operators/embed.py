@@ -30,4 +30,5 @@ def embed(
             unit = np.divide(m, size, out=np.zeros_like(m), where=size > 0)
             yield pd.Series(list(unit.astype(np.float32)))
 
-    return df.withColumn(out, encode(F.col(text_col)))
+    # The optimizer repeats deterministic functions in filters on their result.
+    return df.withColumn(out, encode.asNondeterministic()(F.col(text_col)))

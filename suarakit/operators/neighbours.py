@@ -22,6 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -78,7 +79,8 @@ def _pivot_cell(pivots: np.ndarray):
         cell = angle.argmin(axis=1)
         return pd.DataFrame({"cell": cell, "angle": angle[np.arange(len(cell)), cell]})
 
-    return assign
+    # Not repeated in the steps that use the cell.
+    return assign.asNondeterministic()
 
 
 def _pivot_router(
@@ -243,7 +245,7 @@ def _best_matches(pairs: DataFrame, ordered: bool, min_similarity: float | None)
                 q = batch.column("q_rows")[i].values
                 s = batch.column("s_rows")[i].values
                 # In (order, id) order the first maximum is also the tie winner.
-                s = s.take(pa.compute.sort_indices(
+                s = s.take(pc.sort_indices(
                     pa.RecordBatch.from_arrays([s.field("ord"), s.field("id")], ["ord", "id"]),
                     sort_keys=[("ord", "ascending"), ("id", "ascending")],
                 ))
