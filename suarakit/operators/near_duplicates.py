@@ -69,18 +69,28 @@ def first_come(
     two neighbour searches that return one flag per row, so dense groups never turn into
     edge lists. What is left of at most one block is decided in a single step.
     """
+    return df.join(
+        _kept_ids(df, id_col, vec_col, order_col, threshold, block_rows), id_col, "left_semi"
+    )
+
+
+def _kept_ids(
+    df: DataFrame, id_col: str, vec_col: str, order_col: str, threshold: float, block_rows: int
+) -> DataFrame:
     rows = df.select(
         F.col(id_col).alias("id"), F.col(order_col).cast("long").alias("ord"), F.col(vec_col).alias("vec")
     )
     directed = F.exists("vec", lambda x: x != 0)
-    kept = [rows.filter(~directed).select("id")]
     search = dict(
         id_col="id", vec_col="vec", order_col="ord", min_similarity=threshold,
         block_rows=block_rows, distinct_store=True,
     )
 
-    # Later copies of the same vector share the fate of a duplicate.
-    undecided = materialise(keep_first(rows.filter(directed), ["vec"], "ord", long_keys=True))
+    # Later copies of the same vector are duplicates, but zero vectors resemble nothing.
+    own = F.when(~directed, F.col("id"))
+    rows = materialise(keep_first(rows.withColumn("_own", own), ["vec", "_own"], "ord", long_keys=True))
+    kept = [rows.filter(~directed).select("id")]
+    undecided = rows.filter(directed).select("id", "ord", "vec")
     while (n := undecided.count()) > block_rows:
         flags = nearest(undecided, undecided, **search)
         split = materialise(undecided.join(flags, "id"))
@@ -97,8 +107,7 @@ def first_come(
             .groupBy("_block")
             .applyInPandas(_greedy_block(threshold), undecided.select("id").schema)
         )
-    chosen = reduce(DataFrame.unionAll, kept).withColumnRenamed("id", id_col)
-    return df.join(chosen, id_col, "left_semi")
+    return reduce(DataFrame.unionAll, kept).withColumnRenamed("id", id_col)
 
 
 def deduplicate_arrivals(
@@ -127,7 +136,8 @@ def deduplicate_arrivals(
             new, seeds, id_col, vec_col, min_similarity=threshold, block_rows=block_rows
         ).filter(F.col("nearest_id").isNull())
         fresh = new.join(flags.select(F.col("id").alias(id_col)), id_col, "left_semi")
-    kept = materialise(first_come(fresh, id_col, vec_col, "_ord", threshold, block_rows))
+    chosen = _kept_ids(fresh, id_col, vec_col, "_ord", threshold, block_rows)
+    kept = materialise(arrivals.join(chosen, id_col, "left_semi"))
     candidates = kept if seeds is None else seeds.unionByName(kept)
     verdicts = check_duplicates(
         arrivals, candidates, id_col, vec_col, "_ord", threshold, block_rows=block_rows
