@@ -2,14 +2,36 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package to the Python workers, once per application.
+
+    Workers start in folders of their own, so a path that only the driver has does not help them.
+    """
+    application = spark.sparkContext.applicationId
+    if application not in _shipped:
+        package = os.path.dirname(os.path.abspath(__file__))
+        folder = tempfile.mkdtemp(prefix="suarakit-ship-")
+        copy = os.path.join(folder, "content", os.path.basename(package))
+        shutil.copytree(package, copy, ignore=shutil.ignore_patterns("__pycache__"))
+        archive = shutil.make_archive(os.path.join(folder, "suarakit"), "zip", os.path.dirname(copy))
+        spark.sparkContext.addPyFile(archive)
+        _shipped.add(application)
+    return spark
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the operators need to an existing session."""
+    ship(spark)
     # Model output may repeat a key; the last one wins, as in most JSON readers.
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     # Ids seen by a stream outgrow executor memory; RocksDB keeps them on disk.
