@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from suarakit import constants as K
 from suarakit.catalog import sql as S
-from suarakit.catalog.tables import ANNOTATED, MODEL_ANSWER, annotated, documents, model_answer, table
+from suarakit.catalog.tables import (
+    ANNOTATED, CONTACT_TEXT, MODEL_ANSWER, annotated, contact_text, documents, model_answer, table,
+)
 from suarakit.functions import jsonx, labels
 from suarakit.functions.binding import compute_once
 from suarakit.operators import annotate as A
@@ -131,15 +133,22 @@ def complete_rows(spark, sf):
 
 @query(f"""WITH {ANNOTATED}, {_PARSED},
 v AS (SELECT a.id, {_validated('j.j', 'a.kategori')} FROM j JOIN annotated a USING (doc_id)),
-a AS (SELECT *, {' AND '.join(f"regexp_matches(coalesce({c}, ''), '[^{S.SPACE}]')" for c in LABEL_COLUMNS)} AS done FROM annotated)
-SELECT a.id, {', '.join(f'CASE WHEN done THEN a.{c} ELSE v.{c} END AS {c}' for c in LABEL_COLUMNS)} FROM a JOIN v USING (id)""")
+a AS (SELECT *, {' AND '.join(f"regexp_matches(coalesce({c}, ''), '[^{S.SPACE}]')" for c in LABEL_COLUMNS)} AS done FROM annotated),
+u AS (SELECT * FROM a UNION ALL SELECT * FROM a WHERE doc_id % 5 = 0)
+SELECT CASE WHEN a.doc_id % 11 <> 0 THEN a.id END AS id, a.doc_id,
+  {', '.join(f'CASE WHEN done OR a.doc_id % 11 = 0 THEN a.{c} ELSE v.{c} END AS {c}' for c in LABEL_COLUMNS)}
+FROM u a JOIN v USING (id)""")
 def annotate_resume_merge(spark, sf):
-    """Rows with missing labels get them from stored model answers; complete rows keep theirs."""
+    """Rows with missing labels get them from stored model answers; complete rows keep theirs.
+
+    Some rows come twice, and some without an id, for which no answer is stored.
+    """
     answers = _answers(spark, sf).select(
         F.col("doc_id").cast("string").alias("id"), "raw", F.lit("ok").alias("status")
     )
-    done = jobs.annotated_with(annotated(spark, sf), answers)
-    return done.select("id", *LABEL_COLUMNS)
+    rows = annotated(spark, sf).withColumn("id", F.when(F.col("doc_id") % 11 != 0, F.col("id")))
+    done = jobs.annotated_with(rows.unionByName(rows.filter("doc_id % 5 = 0")), answers)
+    return done.select("id", "doc_id", *LABEL_COLUMNS)
 
 
 def _length_model():
@@ -149,9 +158,13 @@ def _length_model():
 
 @query(f"""WITH {ANNOTATED}, p AS (SELECT *, length({S.fill(K.URGENCY_PROMPT, K.URGENCY_PROMPT_LIMITS, judul='judul', isi='isi')}) AS n
   FROM annotated)
-SELECT id, CASE WHEN urgency IS NOT NULL THEN urgency ELSE (['high', 'medium', 'unknown'])[n % 3 + 1] END AS urgency FROM p""")
+SELECT CASE WHEN doc_id % 11 = 0 THEN NULL WHEN doc_id % 7 = 0 THEN 'same' ELSE id END AS id, doc_id,
+  CASE WHEN urgency IS NOT NULL THEN urgency ELSE (['high', 'medium', 'unknown'])[n % 3 + 1] END AS urgency FROM p""")
 def annotate_urgency_with_model(spark, sf):
-    return A.annotate_urgency(annotated(spark, sf), _length_model).select("id", "urgency")
+    """Rows with missing and repeated ids are labelled like all others."""
+    d = F.col("doc_id")
+    rows = annotated(spark, sf).withColumn("id", F.when(d % 11 == 0, None).when(d % 7 == 0, "same").otherwise(F.col("id")))
+    return A.annotate_urgency(rows, _length_model).select("id", "doc_id", "urgency")
 
 
 @query(f"""WITH {ANNOTATED}, n AS (SELECT doc_id::VARCHAR AS id, source AS judul, text AS isi FROM documents)
@@ -165,13 +178,29 @@ def resume_previous_labels(spark, sf):
     return A.resume(base, done, ("urgency", "summary")).select("id", "urgency", "summary")
 
 
-@query(f"""WITH {_PARSED} SELECT doc_id, coalesce(j NOT IN ('[]', '{{}}', 'null', '""', '0', 'false'), false) AS parsed,
-  CASE WHEN json_type(j) = 'OBJECT' THEN json_extract_string(j, '$.urgency') END AS urgency FROM j""")
+_MASKED = S.staged("documents", "doc_id", CONTACT_TEXT, S.email, S.mobile, S.landline, S.numbers)
+
+
+@query(f"""WITH {_PARSED}, m AS ({_MASKED})
+SELECT doc_id, coalesce(j NOT IN ('[]', '{{}}', 'null', '""', '0', 'false'), false) AS parsed,
+  CASE WHEN json_type(j) = 'OBJECT' THEN json_extract_string(j, '$.urgency') END AS urgency,
+  len(regexp_extract_all(t, '\\[(?:EMAIL|PHONE|NIK|REKENING)\\]'))::INT AS tags
+FROM j JOIN m USING (doc_id)""")
 def intake_results(spark, sf):
     """Mask, prompt, stored answer, parse."""
-    docs = documents(spark, sf, "doc_id", "text")
+    docs = documents(spark, sf, "doc_id", "text").withColumn("isi", contact_text())
     answers = _answers(spark, sf).select("doc_id", "raw")
-    result = jobs.intake(docs, lambda prompts: answers, id_col="doc_id", text_col="text")
+
+    def answered(prompts):
+        """The stored answer, with what the model could see of the personal data."""
+        seen = F.size(F.split("prompt", r"\[(?:EMAIL|PHONE|NIK|REKENING)\]", -1)) - 1
+        # One sign stays by the rule: no address ends before an underscore.
+        leaked = F.regexp_count("prompt", F.lit("@")) > F.regexp_count("isi_", F.lit("@")) + 1
+        mine = prompts.join(docs.select("doc_id", F.col("text").alias("isi_")), "doc_id").join(answers, "doc_id")
+        return mine.select("doc_id", F.when(leaked, F.concat(F.lit("leak "), seen.cast("string"))).otherwise(F.col("raw")).alias("raw"))
+
+    result = jobs.intake(docs, answered, id_col="doc_id", text_col="isi")
     return result.select(
-        "doc_id", "parsed", F.try_variant_get("result", F.lit("$.urgency"), "string").alias("urgency")
+        "doc_id", "parsed", F.try_variant_get("result", F.lit("$.urgency"), "string").alias("urgency"),
+        F.regexp_count("masked", F.lit(r"\[(?:EMAIL|PHONE|NIK|REKENING)\]")).alias("tags"),
     )

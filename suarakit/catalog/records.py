@@ -44,15 +44,14 @@ def _finetune(spark, sf):
 
 _FINETUNE_SQL = f"""SELECT doc_id AS id, {quoted(K.FINETUNE_SYSTEM)} AS system,
   {S.fill(K.INPUT_TEMPLATE, judul='source', isi='text')} AS user, source AS kategori,
-  NULL::VARCHAR AS intent, NULL::VARCHAR AS summary FROM documents WHERE lang <> 'es'"""
+  {', '.join(f'NULL::VARCHAR AS {c}' for c in LABEL_COLUMNS if c != 'kategori')} FROM documents WHERE lang <> 'es'"""
 
 
 @query(_FINETUNE_SQL)
 def finetune_records(spark, sf):
     good, _ = records.split_bad(_finetune(spark, sf))
     return good.select(
-        "record.id", "record.system", "record.user", "record.label.kategori", "record.label.intent",
-        "record.label.summary",
+        "record.id", "record.system", "record.user", *[f"record.label.{c}" for c in LABEL_COLUMNS]
     )
 
 
@@ -67,9 +66,9 @@ def finetune_jsonl_file(spark, sf):
     path = scratch_path(spark, "finetune")
     writers.write_records(_finetune(spark, sf), path)
     back = spark.read.schema(
-        "id long, system string, user string, label struct<kategori: string, intent: string, summary: string>"
+        f"id long, system string, user string, label struct<{', '.join(f'{c}: string' for c in LABEL_COLUMNS)}>"
     ).json(path)
-    return back.select("id", "system", "user", "label.kategori", "label.intent", "label.summary")
+    return back.select("id", "system", "user", *[f"label.{c}" for c in LABEL_COLUMNS])
 
 
 _COMPLETE = " AND ".join(f"regexp_matches(coalesce({c}, ''), '[^{S.SPACE}]')" for c in LABEL_COLUMNS)
@@ -129,12 +128,12 @@ kept AS (SELECT j.doc_id, j.source, j.j IS NULL AS unchanged, {', '.join(f'c.{n}
 
 @query(f"""WITH {_LINES}
 SELECT doc_id, {S.fill(K.INTAKE_PROMPT, text='source')} AS instruction, '' AS input,
-  unchanged, intent, category, location, urgency, sentiment
+  unchanged, {', '.join(_V2)}
 FROM kept""")
 def convert_jsonl(spark, sf):
     """Line by line conversion; damaged lines and records without an object are left out."""
     good, _ = records.split_bad(records.convert_lines(_jsonl_lines(spark, sf)))
-    schema = "struct<intent: string, category: string, location: string, urgency: string, sentiment: string>"
+    schema = "struct<" + ", ".join(f"{n}: string" for n in _V2) + ">"
     looks_json = F.startswith("record.output", F.lit('{"intent":')) & F.contains(
         "record.output", F.lit('"category":')
     ) & F.endswith("record.output", F.lit("}"))
@@ -160,16 +159,16 @@ def converted_distributions(spark, sf):
     return jobs.converted_distributions(readers.read_converted_jsonl(spark, path))
 
 
-@query("""SELECT doc_id::VARCHAR AS id, nullif(source, '') AS judul, nullif(text, '') AS isi,
+@query("""SELECT doc_id::VARCHAR AS id, '  ' || source || ' ' AS judul, text || chr(10) || ' ' AS isi,
   CASE WHEN lang <> 'fr' THEN lang END AS kategori, 'https://example.org/' || doc_id AS url FROM documents""")
 def csv_file(spark, sf):
-    """Complaints with quotes and line breaks written as CSV and read back."""
+    """Complaints with quotes, line breaks and outer blanks written as CSV and read back."""
     path = scratch_path(spark, "csv")
     docs = documents(spark, sf, "doc_id", "text", "source", "lang")
     complaints = docs.select(
         F.col("doc_id").cast("string").alias("id"),
-        F.col("source").alias("judul"),
-        F.col("text").alias("isi"),
+        F.concat(F.lit("  "), F.col("source"), F.lit(" ")).alias("judul"),
+        F.concat(F.col("text"), F.lit("\n ")).alias("isi"),
         F.when(F.col("lang") != "fr", F.col("lang")).alias("kategori"),
         F.concat(F.lit("https://example.org/"), F.col("doc_id").cast("string")).alias("url"),
     ).select(*RAW_COMPLAINT.fieldNames())

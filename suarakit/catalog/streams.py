@@ -22,18 +22,22 @@ def query(sql: str | None = None):
     return register
 
 
-@query("SELECT DISTINCT user_id || '-' || event_type || '-' || props AS id, user_id, event_type FROM events")
+@query("""SELECT user_id || '-' || event_type AS id, event_id, props FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) = 1""")
 def distinct_ids_stream(spark, sf):
-    """Events replayed as a stream, one row per id kept."""
+    """Events replayed as a stream, the first record of each id kept; arrival runs against the event ids."""
     prepare(spark)
     schema = table(spark, sf, "events").schema
     events = ingest.stream_files(spark, f"{sf}/events*.parquet", schema)
     ids = events.select(
-        F.concat_ws("-", F.col("user_id").cast("string"), "event_type", "props").alias("id"), "user_id", "event_type"
+        F.concat_ws("-", F.col("user_id").cast("string"), "event_type").alias("id"),
+        "event_id",
+        "props",
+        (-F.col("event_id")).alias("arrival"),
     )
     out = scratch_path(spark, "ingest")
-    ingest.start_ingest(ingest.distinct_ids(ids), f"{out}/table", f"{out}/checkpoint").awaitTermination()
-    return spark.read.schema("id string, user_id long, event_type string").parquet(f"{out}/table")
+    ingest.start_first_records(ids, f"{out}/table", f"{out}/checkpoint", "arrival").awaitTermination()
+    return spark.read.parquet(f"{out}/table").select("id", "event_id", "props")
 
 
 @query(_GREEDY)

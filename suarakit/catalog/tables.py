@@ -68,6 +68,7 @@ def contact_text() -> Column:
         F.lit(", NIK 357812"), number(d * 37 % 80, 2), number(d % 15, 2), F.lit("98"), number(d % 10000, 4),
         F.lit(" email u"), d.cast("string"), F.lit("@mail.example.com rek "), number(d * 65537 % 100000000000, 11),
         F.lit(". Kantor 0341 555"), number(d % 1000, 3),
+        F.lit(" surel a@x.co-b"), d.cast("string"), F.lit("@y.id.c@z.org%d@w.net+e@v.com _f@u.com, -g@t.co_h@s.info"),
     )
 
 
@@ -77,7 +78,8 @@ CONTACT_TEXT = """text || ' Telp 021-' || lpad((doc_id * 7919 % 10000000)::VARCH
   || ', NIK 357812' || lpad((doc_id * 37 % 80)::VARCHAR, 2, '0') || lpad((doc_id % 15)::VARCHAR, 2, '0')
   || '98' || lpad((doc_id % 10000)::VARCHAR, 4, '0')
   || ' email u' || doc_id::VARCHAR || '@mail.example.com rek ' || lpad((doc_id * 65537 % 100000000000)::VARCHAR, 11, '0')
-  || '. Kantor 0341 555' || lpad((doc_id % 1000)::VARCHAR, 3, '0')"""
+  || '. Kantor 0341 555' || lpad((doc_id % 1000)::VARCHAR, 3, '0')
+  || ' surel a@x.co-b' || doc_id::VARCHAR || '@y.id.c@z.org%d@w.net+e@v.com _f@u.com, -g@t.co_h@s.info'"""
 
 
 # --- slang ------------------------------------------------------------------------------
@@ -93,13 +95,13 @@ def slang_text() -> Column:
     return F.concat(
         F.lit("Jln "), F.col("source"), F.lit(" bgt, [NIK] "), F.col("text"),
         F.lit(" (YG) tdk; "), word, F.lit("!! [PHONE]"), F.col("doc_id").cast("string"),
-        F.lit(" no 1234567 - 12345? ??"),
+        F.lit(" no 1234567 - 12345? ?? __pii_nik__ __PII_phone__ \uaa60a"),
     )
 
 
 SLANG_TEXT = f"""'Jln ' || source || ' bgt, [NIK] ' || text || ' (YG) tdk; '
   || ([{', '.join(quoted(k) for k in _SLANG)}])[doc_id % {len(_SLANG)} + 1]
-  || '!! [PHONE]' || doc_id::VARCHAR || ' no 1234567 - 12345? ??'"""
+  || '!! [PHONE]' || doc_id::VARCHAR || ' no 1234567 - 12345? ?? __pii_nik__ __PII_phone__ \uaa60a'"""
 
 
 # --- model answers ----------------------------------------------------------------------

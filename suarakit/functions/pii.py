@@ -14,8 +14,9 @@ from suarakit.functions.chars import DIGIT, SPACE, WORD, WORD_EDGE, WORD_END
 _LOCAL = "A-Za-z0-9._%+-"
 _DOMAIN = r"@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}"
 # An address starts at the first word edge of the characters before its @; group 1 precedes it.
+# Those characters begin after any other one, or right where the address before them ended.
 EMAIL = (
-    rf"(?<![{_LOCAL}])(?=[{_LOCAL}]++@)([{_LOCAL}]*?){WORD_EDGE}[{_LOCAL}]++{_DOMAIN}{WORD_EDGE}"
+    rf"(?:(?<![{_LOCAL}])|\G)(?=[{_LOCAL}]++@)([{_LOCAL}]*?){WORD_EDGE}[{_LOCAL}]++{_DOMAIN}{WORD_EDGE}"
 )
 MOBILE = rf"(\+62|08)([{SPACE}]?[{DIGIT}-]{{2,4}}){{2,4}}{WORD_EDGE}"
 # All area codes start with 0.

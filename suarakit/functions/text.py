@@ -108,15 +108,27 @@ def expand_slang(c: Column, slang: dict[str, str] | None = None) -> Column:
 
 # --- normalisation ----------------------------------------------------------------------
 
+# A letter without case that no ordinary text has; with one of these letters it stands for a tag.
+_TAG_MARK = "\uaa60"
+_TAG_CODES = {tag: _TAG_MARK + code for tag, code in zip(K.PII_TAGS, "abcdefgh")}
+_MARK_ITSELF = _TAG_MARK + "z"
+
+
 def protect_tags(c: Column) -> Column:
-    """Swap personal-data tags for word-like marks that survive lower-casing."""
-    return F.regexp_replace(c, rf"\[({'|'.join(K.PII_TAGS)})\]", "__pii_$1__")
+    """Swap personal-data tags for word-like codes that lower-casing and cleaning leave alone.
+
+    The mark itself is escaped, so text that holds a code keeps it and never turns into a tag.
+    """
+    c = F.replace(c, F.lit(_TAG_MARK), F.lit(_MARK_ITSELF))
+    for tag, code in _TAG_CODES.items():
+        c = F.replace(c, F.lit(f"[{tag}]"), F.lit(code))
+    return c
 
 
 def restore_tags(c: Column) -> Column:
-    for tag in K.PII_TAGS:
-        c = F.replace(c, F.lit(f"__pii_{tag.lower()}__"), F.lit(f"[{tag}]"))
-    return c
+    for tag, code in _TAG_CODES.items():
+        c = F.replace(c, F.lit(code), F.lit(f"[{tag}]"))
+    return F.replace(c, F.lit(_MARK_ITSELF), F.lit(_TAG_MARK))
 
 
 def collapse_marks(c: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import inspect
 import time
 from collections.abc import Callable, Iterator, Sequence
 
@@ -18,8 +19,9 @@ from suarakit.functions.prompts import full_label_prompt, urgency_prompt
 from suarakit.schemas import LABEL_COLUMNS
 from suarakit.session import scratch_path
 
-# Called once per task; returns the function that answers a batch of prompts.
-ModelFactory = Callable[[], Callable[[list[str]], list[str]]]
+# Called once per task; returns the function that answers a batch of prompts. A factory with a
+# parameter ``system`` gets the task's system instruction by that name.
+ModelFactory = Callable[..., Callable[[list[str]], list[str]]]
 
 
 def ensure_label_columns(df: DataFrame, cols: Sequence[str] = LABEL_COLUMNS) -> DataFrame:
@@ -37,6 +39,7 @@ def ask_model(
     pause: float = 2.0,
     batch_rows: int = 64,
     partitions: int | None = None,
+    system: str | None = None,
 ) -> DataFrame:
     """``id, raw, status`` with the model's answer to each prompt.
 
@@ -53,6 +56,8 @@ def ask_model(
         ]
     )
 
+    takes_system = "system" in inspect.signature(model).parameters
+
     def attempt(answer, texts: list[str]) -> tuple[list[str] | None, str]:
         status = "error"
         for turn in range(retries + 1):
@@ -70,7 +75,7 @@ def ask_model(
         return None, status
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        answer = model()
+        answer = model(system=system) if takes_system else model()
         for pdf in batches:
             for start in range(0, len(pdf), batch_rows):
                 part = pdf.iloc[start : start + batch_rows]
@@ -101,8 +106,27 @@ def ask_model_once(prompts: DataFrame, model: ModelFactory, path: str | None = N
     return spark.read.schema(answers.schema).parquet(path)
 
 
+# Names a row by its whole content, so rows without an id or with a repeated one stay apart;
+# rows equal in everything get the same labels.
+ROW = "_row"
+
+
+def with_row_key(df: DataFrame) -> DataFrame:
+    return df.withColumn(ROW, F.sha2(F.to_json(F.struct(*df.columns)), 256))
+
+
+def one_per_id(df: DataFrame, id_col: str = "id") -> DataFrame:
+    """One row for each id that is not null; of several the first in the order of their content."""
+    rest = [c for c in df.columns if c != id_col]
+    one = df.filter(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.min(F.struct(*rest)).alias("_one"))
+    return one.select(id_col, *[F.col("_one")[c].alias(c) for c in rest])
+
+
 def write_back(df: DataFrame, labels: DataFrame, cols: Sequence[str], id_col: str = "id") -> DataFrame:
-    """Replace ``cols`` where ``labels`` has a row for the id; keep the rest."""
+    """Replace ``cols`` where ``labels`` has a row for the id; keep the rest.
+
+    ``labels`` has at most one row for each id, so rows neither multiply nor get lost.
+    """
     marked = labels.select(
         id_col, F.lit(True).alias("_new"), *[F.col(c).alias(f"_n_{c}") for c in cols]
     )
@@ -112,9 +136,20 @@ def write_back(df: DataFrame, labels: DataFrame, cols: Sequence[str], id_col: st
 
 
 def resume(base: DataFrame, previous: DataFrame | None, cols: Sequence[str], id_col: str = "id") -> DataFrame:
-    """Rows of ``base`` with the labels an earlier run produced, if there was one."""
+    """Rows of ``base`` with the labels an earlier run produced, if there was one.
+
+    Rows without an id can't be told apart between runs and start without labels.
+    """
     base = ensure_label_columns(base, cols)
-    return base if previous is None else write_back(base, previous, cols, id_col)
+    if previous is None:
+        return base
+    return write_back(base, one_per_id(previous.select(id_col, *cols), id_col), cols, id_col)
+
+
+def stored_answers(answers: DataFrame, id_col: str = "id") -> Callable[[DataFrame], DataFrame]:
+    """Answers ``id, raw, status`` kept from earlier, as ``responses`` of :func:`annotate`."""
+    one = one_per_id(answers.select(id_col, "raw", "status"), id_col)
+    return lambda work: work.select(ROW, id_col).join(one, id_col).select(ROW, "raw", "status")
 
 
 def annotate(
@@ -123,19 +158,20 @@ def annotate(
     responses: Callable[[DataFrame], DataFrame],
     parse: Callable[[DataFrame], DataFrame],
     cols: Sequence[str],
-    id_col: str = "id",
+    needs: Sequence[str] = (),
     restart: bool = False,
 ) -> DataFrame:
-    """Label the rows where ``todo`` holds and write the labels back.
+    """Label the rows where ``todo`` holds and write the labels back, row by row.
 
-    ``responses`` turns those rows into ``id, raw, status``: a model call or a join with
-    stored answers. ``parse`` turns the answers, joined to the rows, into label columns.
-    ``restart`` ignores existing labels.
+    ``responses`` turns those rows into ``_row, raw, status``: a model call or a join with
+    stored answers. ``parse`` turns the answers, with the columns ``needs`` of their rows, into
+    label columns. ``restart`` ignores existing labels. There are as many rows out as in,
+    whatever their ids: rows are known by their content, and equal ones are asked about once.
     """
-    df = ensure_label_columns(df, cols)
+    df = with_row_key(ensure_label_columns(df, cols))
     work = df if restart else df.filter(todo)
-    answered = work.join(responses(work), id_col)
-    return write_back(df, parse(answered).select(id_col, *cols), cols, id_col)
+    answered = work.select(ROW, *needs).distinct().join(responses(work).dropDuplicates([ROW]), ROW)
+    return write_back(df, parse(answered).select(ROW, *cols), cols, ROW).drop(ROW)
 
 
 def parse_urgency(answered: DataFrame) -> DataFrame:
@@ -150,34 +186,37 @@ def parse_full_labels(answered: DataFrame) -> DataFrame:
 
 
 def annotate_urgency(
-    df: DataFrame, model: ModelFactory, id_col: str = "id", restart: bool = False, **kw
+    df: DataFrame, model: ModelFactory, restart: bool = False, **kw
 ) -> DataFrame:
     """Fill ``urgency`` where it is not yet a valid label."""
 
     def call(work: DataFrame) -> DataFrame:
-        prompts = work.select(id_col, urgency_prompt(F.col("judul"), F.col("isi")).alias("prompt"))
-        return ask_model_once(prompts, model, id_col=id_col, **kw)
+        prompts = work.select(ROW, urgency_prompt(F.col("judul"), F.col("isi")).alias("prompt"))
+        return ask_model_once(prompts.dropDuplicates([ROW]), model, id_col=ROW, **kw)
 
     todo = L.needs_urgency(F.col("urgency"))
-    return annotate(df, todo, call, parse_urgency, ("urgency",), id_col, restart)
+    return annotate(df, todo, call, parse_urgency, ("urgency",), restart=restart)
 
 
 def annotate_full(
     df: DataFrame,
     model: ModelFactory,
-    id_col: str = "id",
     restart: bool = False,
     nullable: tuple[str, ...] = (),
     **kw,
 ) -> DataFrame:
-    """Fill all seven labels of incompletely labelled rows."""
+    """Fill all seven labels of incompletely labelled rows.
+
+    The model gets the system instruction of this task if its factory takes ``system``.
+    """
 
     def call(work: DataFrame) -> DataFrame:
-        prompts = work.select(id_col, full_label_prompt(F.col("judul"), F.col("isi")).alias("prompt"))
-        return ask_model_once(prompts, model, id_col=id_col, **{"pause": 3.0, **kw})
+        prompts = work.select(ROW, full_label_prompt(F.col("judul"), F.col("isi")).alias("prompt"))
+        options = {"pause": 3.0, "system": K.FULL_LABEL_SYSTEM, **kw}
+        return ask_model_once(prompts.dropDuplicates([ROW]), model, id_col=ROW, **options)
 
     todo = ~L.is_complete(nullable)
-    return annotate(df, todo, call, parse_full_labels, LABEL_COLUMNS, id_col, restart)
+    return annotate(df, todo, call, parse_full_labels, LABEL_COLUMNS, ("kategori",), restart)
 
 
 def intake_labels(masked: DataFrame, responses: DataFrame, id_col: str = "id") -> DataFrame:

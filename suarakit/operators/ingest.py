@@ -37,12 +37,14 @@ def ingest(batch: DataFrame, store: DataFrame, order: str, id_col: str = "id") -
 def empty_streak_cut(log: DataFrame, streak: int = K.EMPTY_PAGES_TO_STOP) -> DataFrame:
     """Crawl-log rows a crawler would have visited before giving up.
 
-    ``log`` holds one row per ``source`` and consecutive ``page`` number. A source ends at
+    ``log`` holds rows of ``source`` and consecutive ``page`` numbers; a page that a resumed
+    crawl logged again counts once, and as empty if it was empty every time. A source ends at
     the page completing its first run of ``streak`` empty pages. Each empty page votes for
     the ``streak`` pages it could help to complete; a page with all votes completes a run.
     Votes aggregate by (source, page), so a long source is never sorted in one task.
     """
-    votes = log.filter(F.col("n_links") == 0).select(
+    distinct = log.groupBy("source", "page").agg(F.max("n_links").alias("n_links"))
+    votes = distinct.filter(F.col("n_links") == 0).select(
         "source", F.explode(F.sequence("page", F.col("page") + (streak - 1))).alias("page")
     )
     cuts = (

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from suarakit import constants as K
+from suarakit.functions import jsonx
 from suarakit.functions.binding import compute_once
 from suarakit.functions.labels import is_complete
 from suarakit.functions.pii import mask_pii
@@ -116,10 +117,7 @@ def annotated_with(
     df: DataFrame, responses: DataFrame, cols: tuple[str, ...] = LABEL_COLUMNS
 ) -> DataFrame:
     """Full annotation from stored answers ``id, raw, status`` instead of a live model."""
-    return A.annotate(
-        df, ~is_complete(), lambda work: responses.join(work.select("id"), "id", "left_semi"),
-        A.parse_full_labels, cols,
-    )
+    return A.annotate(df, ~is_complete(), A.stored_answers(responses), A.parse_full_labels, cols, needs=("kategori",))
 
 
 # --- schema conversion ------------------------------------------------------------------
@@ -137,10 +135,10 @@ def run_conversion(spark: SparkSession, input_path: str, output_dir: str) -> Dat
 def converted_distributions(converted: DataFrame) -> DataFrame:
     """Label counts of converted records; outputs that are no JSON count as NULL."""
     names = ("intent", "category", "urgency", "sentiment")
-    schema = "struct<" + ", ".join(f"{n}: string" for n in names) + ">"
     good = converted.filter(F.col("record").isNotNull()).select("record.output")
-    labels = compute_once(good, l=F.from_json("output", schema))
-    return report.label_distributions(labels.select("l.*"), names, keep_null=True)
+    parsed = compute_once(good, v=jsonx.parse_strict(F.col("output")))
+    texts = [F.try_variant_get("v", F.lit(f"$.{n}"), "string").alias(n) for n in names]
+    return report.label_distributions(parsed.select(*texts), names, keep_null=True)
 
 
 # --- intake -----------------------------------------------------------------------------

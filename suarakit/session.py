@@ -66,7 +66,8 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by ``spark.checkpoint.dir``."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="suarakit-")
         spark.conf.set("spark.checkpoint.dir", root)

@@ -9,12 +9,14 @@ from suarakit.schemas import VECTOR_ROW
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """CSV with header and doubled quotes; NULL and '' both become an empty field."""
+    """CSV with header and doubled quotes, white space kept; NULL and '' both become an empty field."""
     (
         df.write.mode(mode)
         .option("header", True)
         .option("escape", '"')
         .option("emptyValue", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
 

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from suarakit import constants as K
+from suarakit.operators.ingest import new_records
 from suarakit.operators.near_duplicates import deduplicate_arrivals
 from suarakit.session import prepare
 
@@ -27,17 +28,48 @@ def stream_files(
 def distinct_ids(
     stream: DataFrame, id_col: str = "id", event_time: str | None = None, horizon: str | None = None
 ) -> DataFrame:
-    """First record per id.
+    """One record per id: of an earlier micro-batch first, within one whichever comes.
 
     Without a horizon every id ever seen stays in state, as full de-duplication requires.
     With ``event_time`` and ``horizon`` state is bounded and only repeats within the horizon
-    are dropped.
+    are dropped. Where the first record by some order must stay, use :func:`first_records_sink`.
     """
     if event_time and horizon:
         return stream.withWatermark(event_time, horizon).dropDuplicatesWithinWatermark([id_col])
     return stream.dropDuplicates([id_col])
 
 
+def first_records_sink(out: str, order_col: str, id_col: str = "id") -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function that stores the first record of every new id, in ``order_col`` order.
+
+    One folder per batch below ``out``. A batch is compared with earlier folders only and
+    replaces its own, so running it again changes nothing. A missing id counts as one id.
+    """
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        schema = T.StructType([*batch.schema.fields, T.StructField("batch", T.LongType())])
+        if batch_id > 0:
+            stored = batch.sparkSession.read.schema(schema).parquet(out).filter(F.col("batch") < batch_id)
+        else:
+            stored = batch.sparkSession.createDataFrame([], schema)
+        fresh = new_records(batch, stored, order_col, id_col)
+        fresh.select(*batch.columns).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    return process
+
+
+def start_first_records(
+    stream: DataFrame, out: str, checkpoint: str, order_col: str, id_col: str = "id"
+) -> StreamingQuery:
+    """Store first records until the input is used up; restart to resume."""
+    return (
+        stream.writeStream.foreachBatch(first_records_sink(out, order_col, id_col))
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def start_ingest(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     """Append to a Parquet table and stop when the input is used up; restart to resume."""
     return (

@@ -108,3 +108,27 @@ def test_resume_takes_labels_by_id(spark):
     got = {r["id"]: (r["urgency"], r["summary"]) for r in A.resume(base, old, ("urgency", "summary")).collect()}
     assert got == {"1": (None, None), "2": (None, None), "3": ("low", "x")}
     assert A.resume(base, None, ("urgency",)).columns[-1] == "urgency"
+
+
+def test_rows_without_or_with_repeated_ids(spark):
+    df = spark.createDataFrame(
+        [(None, "j", "a"), ("1", "j", "b"), ("1", "j", "c"), ("2", "j", "d"), ("2", "j", "d"), (None, "j", "e")],
+        "id string, judul string, isi string",
+    )
+    got = A.annotate_urgency(df, lambda: lambda texts: ["HIGH" for _ in texts]).collect()
+    assert sorted((r["isi"], r["urgency"]) for r in got) == [(x, "high") for x in "abcdde"]
+    old = spark.createDataFrame([("1", "low"), ("1", "high"), (None, "low")], "id string, urgency string")
+    got = A.resume(df, old, ("urgency",)).collect()
+    assert sorted((r["isi"], r["urgency"] or "") for r in got) == [
+        ("a", ""), ("b", "high"), ("c", "high"), ("d", ""), ("d", ""), ("e", "")
+    ]
+
+
+def test_the_system_instruction_reaches_the_model(spark):
+    def model(system):
+        return lambda texts: ['{"summary": "%s"}' % system[:10] for _ in texts]
+
+    got = A.annotate_full(rows(spark), model, pause=0).filter("id = '2'").first()
+    from suarakit.constants import FULL_LABEL_SYSTEM
+
+    assert got["summary"] == FULL_LABEL_SYSTEM[:10]

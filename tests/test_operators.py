@@ -109,3 +109,13 @@ def test_deeply_unclosed_page_does_not_recurse(spark):
     html = "<p>" * 5000 + "Tracking ID <b>#Z</b>"
     row = P.page_fields(spark.createDataFrame([("u", html)], "url string, html string")).first()
     assert row["id"] == "Z"
+
+
+def test_a_page_logged_twice_counts_once(spark):
+    def cut(pages):
+        log = spark.createDataFrame([("s", p, n) for p, n in pages], "source string, page int, n_links int")
+        return {r["cut_page"] for r in ingest.empty_streak_cut(log).collect()}
+
+    assert cut([(1, 3), (2, 0), (2, 0), (3, 0), (4, 5)]) == {None}
+    assert cut([(1, 0), (2, 0), (3, 0), (3, 0), (4, 1)]) == {3}
+    assert cut([(1, 0), (2, 0), (2, 4), (3, 0), (4, 0)]) == {None}

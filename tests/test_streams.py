@@ -20,6 +20,21 @@ def test_restart_takes_up_where_it_stopped(spark, tmp_path):
     assert deliver([("b", 9)]) == [("a", 1), ("b", 3), (None, 2)]
 
 
+def test_first_records_by_order(spark, tmp_path):
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    schema = "id string, seq int"
+
+    def deliver(rows):
+        spark.createDataFrame(rows, schema).repartition(3).write.mode("append").parquet(source)
+        stream = ingest.stream_files(spark, source, spark.createDataFrame([], schema).schema)
+        ingest.start_first_records(stream, out, state, "seq").awaitTermination()
+        return sorted(map(tuple, spark.read.parquet(out).select("id", "seq").collect()), key=str)
+
+    many = [("a", i) for i in range(300, 2, -1)] + [(None, i) for i in range(90, 40, -1)]
+    assert deliver(many) == [("a", 3), (None, 41)]
+    assert deliver([("a", 1), ("b", 7), ("b", 6), (None, 0)]) == [("a", 3), ("b", 6), (None, 41)]
+
+
 def test_bounded_state_variant_runs(spark, tmp_path):
     source = str(tmp_path / "in")
     df = spark.sql("SELECT timestamp'2024-01-01 00:00:00' AS ts, x AS id FROM VALUES ('a'), ('a'), ('b') t(x)")

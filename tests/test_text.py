@@ -145,3 +145,22 @@ def test_fixed_values():
     from suarakit import constants as K
 
     assert len(K.SLANG) == 40 and len(K.CATEGORY_KEYWORDS) == 18 and len(K.AREA_CODES) == 28
+
+
+def test_tags_cannot_be_forged(apply):
+    given = ["a __pii_nik__ b", "\uaa60a [NIK] \uaa60z", "[PHONE]123456 x", "__PII0__ [EMAIL][REKENING]"]
+    assert apply(given, text.normalise) == [
+        "a __pii_nik__ b", "\uaa60a [NIK] \uaa60z", "[PHONE]123456 x", "__pii0__ [EMAIL][REKENING]"
+    ]
+
+
+def test_joined_addresses_are_all_masked(apply):
+    import random
+    import re
+
+    rule = re.compile(r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b")
+    rng = random.Random(5)
+    parts = ["budi@mail.com", "a@b.co", "@", ".", "-", "%", "+", "_", " ", "é", "1", "x", "com", "b.id", "|", ",", "@x.yz"]
+    given = ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 14))) for _ in range(3000)]
+    given += ["budi@mail.com-andi@mail.com", "a@b.com.c@d.com", "a@b.com%c@d.com+e@f.id"]
+    assert apply(given, pii.mask_email) == [rule.sub("[EMAIL]", t) for t in given]
