@@ -16,7 +16,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -25,7 +25,7 @@ from suarakit.llm.common import bit_map, column, fresh, in_bit_map, small_batche
 
 WINDOW = 4  # lines among which the smallest rolling hash ends a chunk
 FOLD = 6  # one word in so many ends a line besides punctuation
-AROUND = 5  # lines on each side that a match may be extended by
+AROUND = 5  # lines on each side of a chunk that a match may be extended by
 
 _ENDS = np.zeros(256, bool)
 _ENDS[list(b".!?,;:")] = True
@@ -115,11 +115,14 @@ def _count_batches(least_words: int):
     return run
 
 
-_OCCURRENCE = "h bigint, low int, high int, body string, before array<string>, after array<string>"
+_RUN = "low int, body string, chunks array<struct<h:bigint,at:int,n:int>>"
 
 
-def _occurrence_batches(least_words: int, probe):
-    """Every chunk whose hash may be repeated: place, bytes, and the lines around it, nearest first."""
+def _run_batches(least_words: int, probe):
+    """Neighbouring chunks whose hash may be repeated, as one run with a few lines around it.
+
+    A run has its first line's place in the row, its lines, and its chunks by their place in the run.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -128,42 +131,79 @@ def _occurrence_batches(least_words: int, probe):
                 chunks = cut(lines)
                 found = _anchors(chunks, least_words)
                 found = found[in_bit_map(probe.value, chunks.hashes[found])]
-                raw = piece.data.tobytes()
-                starts, ends = lines.starts.tolist(), lines.ends.tolist()
-
-                def text(i: int) -> str:
-                    return raw[starts[i] : ends[i]].decode()
-
-                rows, low, high = chunks.row[found], chunks.low[found], chunks.high[found]
-                from_row, to_row = lines.first[rows], lines.first[rows + 1]
-                body, before, after = [], [], []
-                for a, b, x, y in zip(low.tolist(), high.tolist(), from_row.tolist(), to_row.tolist()):
-                    body.append("\n".join(map(text, range(a, b))))
-                    before.append([text(i) for i in range(a - 1, max(x, a - AROUND) - 1, -1)])
-                    after.append([text(i) for i in range(b, min(y, b + AROUND))])
-                take = pa.array(rows + piece.first)
+                if not len(found):
+                    continue
+                rows = chunks.row[found]
+                low = np.maximum(chunks.low[found] - AROUND, lines.first[rows])
+                high = np.minimum(chunks.high[found] + AROUND, lines.first[rows + 1])
+                # Chunks whose surroundings meet are one run.
+                opens = np.append(True, (rows[1:] != rows[:-1]) | (low[1:] > high[:-1]))
+                head = np.flatnonzero(opens)
+                tail = np.append(head[1:], len(found)) - 1
+                raw, starts, ends = piece.data.tobytes(), lines.starts.tolist(), lines.ends.tolist()
+                body = [
+                    "\n".join([raw[starts[i] : ends[i]].decode() for i in range(a, b)])
+                    for a, b in zip(low[head].tolist(), high[tail].tolist())
+                ]
+                own = low[head][np.cumsum(opens) - 1]
+                items = pa.StructArray.from_arrays(
+                    [
+                        pa.array(chunks.hashes[found].view(np.int64)),
+                        pa.array((chunks.low[found] - own).astype(np.int32)),
+                        pa.array((chunks.high[found] - chunks.low[found]).astype(np.int32)),
+                    ],
+                    names=["h", "at", "n"],
+                )
+                take = pa.array(rows[head] + piece.first)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(take),
                         batch.column(1).take(take),
-                        pa.array(chunks.hashes[found].view(np.int64)),
-                        pa.array((low - from_row).astype(np.int32)),
-                        pa.array((high - from_row).astype(np.int32)),
+                        pa.array((low[head] - lines.first[rows[head]]).astype(np.int32)),
                         pa.array(body, pa.string()),
-                        pa.array(before, pa.list_(pa.string())),
-                        pa.array(after, pa.list_(pa.string())),
+                        pa.ListArray.from_arrays(pa.array(np.append(head, len(found)).astype(np.int32)), items),
                     ],
-                    names=["id", "key", *[x.split()[0] for x in _OCCURRENCE.split(", ")]],
+                    names=["id", "key", "low", "body", "chunks"],
                 )
 
     return run
 
 
-def _equal_head(a: Column, b: Column) -> Column:
-    """Number of leading elements two arrays share."""
-    shared = F.least(F.size(a), F.size(b))
-    first = F.array_position(F.zip_with(F.slice(a, 1, shared), F.slice(b, 1, shared), lambda x, y: x != y), True)
-    return F.when(first == 0, shared).otherwise(first - 1).cast("int")
+def _matched(ours: list[str], theirs: list[str], chunks: list[dict]) -> list[tuple[int, int]]:
+    """Spans of ``ours`` equal to ``theirs`` line by line: each shared chunk, extended both ways."""
+    spans, upto = [], {}
+    for c in sorted(chunks, key=lambda c: c["at"]):
+        a, b, n = c["at"], c["other"], c["n"]
+        if upto.get(a - b, 0) >= a + n:
+            continue  # an earlier match on this diagonal went past it
+        if ours[a : a + n] != theirs[b : b + n]:
+            continue  # equal hashes alone
+        low, high = a, a + n
+        while low and low - a + b and ours[low - 1] == theirs[low - a + b - 1]:
+            low -= 1
+        while high < len(ours) and high - a + b < len(theirs) and ours[high] == theirs[high - a + b]:
+            high += 1
+        upto[a - b] = high
+        spans.append((low, high))
+    return spans
+
+
+def _compare_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans of every run that equal its earlier counterpart, in lines of the document."""
+    for batch in batches:
+        ids, keys, found = [], [], []
+        for i in range(batch.num_rows):
+            ours, theirs = batch["body"][i].as_py().split("\n"), batch["first_body"][i].as_py().split("\n")
+            low = batch["low"][i].as_py()
+            spans = _matched(ours, theirs, batch["pairs"][i].as_py())
+            if spans:
+                ids.append(i)
+                found.append([{"low": low + a, "high": low + b} for a, b in spans])
+        take = pa.array(ids, pa.int64())
+        kind = pa.list_(pa.struct([("low", pa.int32()), ("high", pa.int32())]))
+        yield pa.RecordBatch.from_arrays(
+            [batch["id"].take(take), batch["key"].take(take), pa.array(found, kind)], names=["id", "key", "spans"]
+        )
 
 
 def repeated_spans(
@@ -173,7 +213,9 @@ def repeated_spans(
 
     Earlier means the smaller (id, key, place); null ids come last. Rows equal in id and text
     are one document. Two scans of the texts: the first counts chunk hashes, combined per
-    batch and before the shuffle; the second reports occurrences of repeated ones alone.
+    batch and before the shuffle; the second writes the runs of lines that hold repeated ones.
+    Only hashes and places are joined to find each chunk's first place; then every run meets the
+    runs that hold the first places of its chunks, once each, and is compared with their bytes.
     """
     spark = small_batches(docs.sparkSession)
     text = column(docs, text_column).cast("string")
@@ -181,21 +223,32 @@ def repeated_spans(
     counts = keyed.select("text").mapInArrow(_count_batches(least_words), "h bigint, n bigint")
     repeated = written(counts.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h"), "repeated")
     probe = spark.sparkContext.broadcast(bit_map(repeated, "h"))
-    schema = StructType([*keyed.schema.fields[:2], *StructType.fromDDL(_OCCURRENCE)])
-    found = written(keyed.mapInArrow(_occurrence_batches(least_words, probe), schema), "occurrences")
-    place = F.struct(F.col("id").isNull().alias("none"), "id", "key", "low")
-    firsts = found.groupBy("h").agg(
-        F.min(place).alias("place"), F.min_by(F.struct("body", "before", "after"), place).alias("first")
+    schema = StructType([*keyed.schema.fields[:2], *StructType.fromDDL(_RUN)])
+    runs = written(keyed.mapInArrow(_run_batches(least_words, probe), schema), "runs")
+
+    name = F.xxhash64("id", "key", "low")
+    chunks = runs.select("id", "key", "low", name.alias("run"), F.inline("chunks"))
+    place = F.struct(F.col("id").isNull().alias("none"), "id", "key", (F.col("low") + F.col("at")).alias("line"))
+    first = F.struct(place.alias("place"), F.col("run").alias("run"), F.col("key").alias("key"), F.col("at").alias("at"))
+    firsts = chunks.groupBy("h").agg(F.min(first).alias("first")).withColumnRenamed("h", "first_h")
+    later = chunks.join(firsts, F.col("h") == F.col("first_h")).where(place > F.col("first.place"))
+    pairs = later.groupBy("run", F.col("key").alias("own_key"), F.col("first.run").alias("first_run"), F.col("first.key").alias("first_key")).agg(
+        F.collect_set(F.struct("at", F.col("first.at").alias("other"), "n")).alias("pairs")
+    )
+    named = runs.select("id", "key", "low", "body", name.alias("own"))
+    # Rows equal in id and text have equal runs: one stands for all of them.
+    once = named.groupBy("own", "key").agg(F.first(F.struct("id", "low", "body")).alias("it"))
+    once = once.select("own", "key", "it.*")
+    mine = pairs.join(once, (F.col("run") == F.col("own")) & (F.col("own_key") == F.col("key"))).select(
+        "id", "key", "low", "body", "pairs", "first_run", "first_key"
     )
-    firsts = firsts.withColumnRenamed("h", "first_h")
-    later = found.join(firsts, F.col("h") == F.col("first_h")).where((place > F.col("place")) & (F.col("body") == F.col("first.body")))
-    spans = later.select(
-        "id",
-        "key",
-        (F.col("low") - _equal_head(F.col("before"), F.col("first.before"))).alias("low"),
-        (F.col("high") + _equal_head(F.col("after"), F.col("first.after"))).alias("high"),
+    theirs = once.select(F.col("own").alias("their_run"), F.col("key").alias("their_key"), F.col("body").alias("first_body"))
+    met = mine.join(theirs, (F.col("first_run") == F.col("their_run")) & (F.col("first_key") == F.col("their_key")))
+    spans = met.select("id", "key", "low", "body", "first_body", "pairs").mapInArrow(
+        _compare_batches,
+        StructType([*runs.schema.fields[:2], *StructType.fromDDL("spans array<struct<low:int,high:int>>")]),
     )
-    return spans.groupBy("id", "key").agg(F.array_sort(F.collect_set(F.struct("low", "high"))).alias("spans"))
+    return spans.groupBy("id", "key").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"))
 
 
 def _cleaned(text: str, spans: list[dict], least_run: int) -> tuple[str, int]:
