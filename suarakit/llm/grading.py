@@ -42,8 +42,9 @@ def features(piece: arrays.Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     # Letters and digits of each word, so that punctuation beside it makes no difference.
     inner = arrays.runs(piece, arrays.ALNUM)
     hashes = arrays.word_hashes(piece, inner)
-    pairs = np.unique(np.stack([inner.row.astype(np.uint64), hashes], axis=1).view([("r", "u8"), ("h", "u8")]).ravel())
-    row, h = pairs["r"].astype(np.int64), pairs["h"]
+    # Row and hash as one number, 20 and 44 bits: a piece has fewer rows than that.
+    pairs = np.unique(inner.row.astype(np.uint64) << np.uint64(44) | hashes >> np.uint64(20))
+    row, h = (pairs >> np.uint64(44)).astype(np.int64), pairs & np.uint64((1 << 44) - 1)
     distinct = np.bincount(row, minlength=rows)
     share = lambda part, whole: part / np.maximum(whole, 1)
     length = piece.ends - piece.starts
@@ -58,7 +59,7 @@ def features(piece: arrays.Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     levels.append(np.minimum(np.log2(n_words + 1).astype(np.int64), 12))
     shape = np.stack([100_000 + 100 * i + level for i, level in enumerate(levels)], axis=1).astype(np.uint64)
     mask = np.uint64(SLOTS - 1)
-    slots = np.concatenate([h & mask, (h >> np.uint64(32)) & mask, (arrays.mix(shape) & mask).ravel()]).astype(np.int32)
+    slots = np.concatenate([h & mask, (h >> np.uint64(22)) & mask, (arrays.mix(shape) & mask).ravel()]).astype(np.int32)
     # Each of the two slots of a word carries half of it; long texts are damped.
     damp = (0.5 / np.sqrt(np.sqrt(np.maximum(distinct, 1))))[row].astype(np.float32)
     values = np.concatenate([damp, damp, np.full(shape.size, 2, np.float32)])
@@ -117,16 +118,18 @@ def _sums(weights, thresholds: np.ndarray, emphasis: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         loss, total, slope, steps = 0.0, 0.0, np.zeros(SLOTS), np.zeros(len(thresholds))
         for batch in batches:
-            slots, values = batch.column(1), batch.column(2)
-            first = slots.offsets.to_numpy().astype(np.int64)
-            at, x = slots.flatten().to_numpy(), values.flatten().to_numpy()
-            first = first - first[0]
-            grades = batch.column(0).to_numpy().astype(np.int64)
-            latent = arrays.sums_exact(weights.value[at] * x.astype(np.float64), first)
-            weight = emphasis[grades]
-            some, by_latent, by_threshold = _loss(latent, grades, thresholds, weight)
-            loss, total, steps = loss + some, total + float(weight.sum()), steps + by_threshold
-            slope += np.bincount(at, np.repeat(by_latent, np.diff(first)) * x, SLOTS)
+            for at_row in range(0, batch.num_rows, 256):  # a few megabytes of features at a time
+                part = batch.slice(at_row, 256)
+                slots, values = part.column(1), part.column(2)
+                first = slots.offsets.to_numpy().astype(np.int64)
+                at, x = slots.flatten().to_numpy(), values.flatten().to_numpy()
+                first = first - first[0]
+                grades = part.column(0).to_numpy().astype(np.int64)
+                latent = arrays.sums_exact(weights.value[at] * x.astype(np.float64), first)
+                weight = emphasis[grades]
+                some, by_latent, by_threshold = _loss(latent, grades, thresholds, weight)
+                loss, total, steps = loss + some, total + float(weight.sum()), steps + by_threshold
+                slope += np.bincount(at, np.repeat(by_latent, np.diff(first)) * x, SLOTS)
         yield pa.RecordBatch.from_pydict(
             {"loss": [loss], "n": [total], "slope": [slope.astype(np.float32).tobytes()], "steps": [steps.tolist()]}
         )
