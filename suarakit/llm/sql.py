@@ -1,3 +1,34 @@
-"""Expected results in SQL."""
+"""Expected results in SQL of the queries that SQL can express."""
 
-SQL: dict[str, str] = {}
+from __future__ import annotations
+
+_DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+# 20 bits of the digest at a time, as five hex digits and as four of base 32.
+_BASE32 = f"""array_to_string(list_transform(range(0, 32), lambda i: substr('{_DIGITS}',
+  1 + (((('0x' || substr(x, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31))::INT, 1)), '')"""
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+SQL: dict[str, str] = {
+    "op1_warc_chunks": f"""WITH p AS MATERIALIZED (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x FROM pages),
+n AS (SELECT x, max(page_id) AS newest FROM p GROUP BY x)
+SELECT page_id, strlen(h) AS payload_bytes, {_BASE32} AS payload_digest,
+  CASE WHEN page_id = newest THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> newest THEN newest END AS refers_to, true AS intact
+FROM p JOIN n USING (x)""",
+    "op2_winnowing": f"""WITH d AS MATERIALIZED (SELECT doc_id, {_WORDS} AS w FROM documents),
+i AS (SELECT item_id, w, least(13, len(w)) AS k FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+windows AS MATERIALIZED (SELECT DISTINCT item_id, k, array_to_string(w[a : a + k - 1], ' ') AS g
+  FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS a FROM i)),
+grams AS (SELECT doc_id, k, a, array_to_string(w[a : a + k - 1], ' ') AS g
+  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS a FROM d JOIN (SELECT DISTINCT k FROM windows) ON len(w) >= k)),
+hits AS MATERIALIZED (SELECT doc_id, item_id, a, k FROM grams JOIN windows USING (k, g)),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM
+  (SELECT doc_id, unnest(range(a, a + k)) AS p FROM (SELECT DISTINCT doc_id, a, k FROM hits)) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS name FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(n, 0) > 0 AND 20 * coalesce(n, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)""",
+}
