@@ -36,7 +36,7 @@ def small_batches(spark: SparkSession) -> SparkSession:
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write once below the shared folder and read back: a lost executor costs no recomputation."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

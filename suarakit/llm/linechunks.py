@@ -169,53 +169,40 @@ def _run_batches(least_words: int, probe):
     return run
 
 
-def _matched(ours: list[str], theirs: list[str], chunks: list[dict]) -> list[tuple[int, int]]:
-    """Spans of ``ours`` equal to ``theirs`` line by line: each shared chunk, extended both ways."""
+def _matched(ours: list[bytes], low: int, theirs: list[bytes], pairs: list[dict]) -> list[tuple[int, int]]:
+    """Spans of ``ours`` equal to ``theirs`` byte by byte: each shared chunk, extended both ways.
+
+    ``pairs`` say which line after ``low`` (``at``) and which of theirs (``other``) start a
+    chunk of ``n`` lines with equal hashes.
+    """
     spans, upto = [], {}
-    for c in sorted(chunks, key=lambda c: c["at"]):
-        a, b, n = c["at"], c["other"], c["n"]
-        if upto.get(a - b, 0) >= a + n:
+    for c in sorted(pairs, key=lambda c: c["at"]):
+        a, b, n = low + c["at"], c["other"], c["n"]
+        if upto.get(a - b, -1) >= a + n:
             continue  # an earlier match on this diagonal went past it
         if ours[a : a + n] != theirs[b : b + n]:
             continue  # equal hashes alone
-        low, high = a, a + n
-        while low and low - a + b and ours[low - 1] == theirs[low - a + b - 1]:
-            low -= 1
-        while high < len(ours) and high - a + b < len(theirs) and ours[high] == theirs[high - a + b]:
-            high += 1
-        upto[a - b] = high
-        spans.append((low, high))
+        start, stop = a, a + n
+        while start and start - a + b and ours[start - 1] == theirs[start - a + b - 1]:
+            start -= 1
+        while stop < len(ours) and stop - a + b < len(theirs) and ours[stop] == theirs[stop - a + b]:
+            stop += 1
+        upto[a - b] = stop
+        spans.append((start, stop))
     return spans
 
 
-def _compare_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spans of every run that equal its earlier counterpart, in lines of the document."""
-    for batch in batches:
-        ids, keys, found = [], [], []
-        for i in range(batch.num_rows):
-            ours, theirs = batch["body"][i].as_py().split("\n"), batch["first_body"][i].as_py().split("\n")
-            low = batch["low"][i].as_py()
-            spans = _matched(ours, theirs, batch["pairs"][i].as_py())
-            if spans:
-                ids.append(i)
-                found.append([{"low": low + a, "high": low + b} for a, b in spans])
-        take = pa.array(ids, pa.int64())
-        kind = pa.list_(pa.struct([("low", pa.int32()), ("high", pa.int32())]))
-        yield pa.RecordBatch.from_arrays(
-            [batch["id"].take(take), batch["key"].take(take), pa.array(found, kind)], names=["id", "key", "spans"]
-        )
-
-
-def repeated_spans(
+def earlier_places(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", least_words: int = 5
 ) -> DataFrame:
-    """id, key, spans (array of low, high in folded lines) that repeat an earlier place.
-
-    Earlier means the smaller (id, key, place); null ids come last. Rows equal in id and text
-    are one document. Two scans of the texts: the first counts chunk hashes, combined per
-    batch and before the shuffle; the second writes the runs of lines that hold repeated ones.
-    Only hashes and places are joined to find each chunk's first place; then every run meets the
-    runs that hold the first places of its chunks, once each, and is compared with their bytes.
+    """id, key, places: where a document's chunks stand first, for all that stand elsewhere first.
+
+    A place has the lines of the earlier run (``body``) and the chunks shared with it. Earlier
+    means the smaller (id, key, line); null ids come last. Rows equal in id and text are one
+    document. Two scans of the texts: the first counts chunk hashes, combined per batch and
+    before the shuffle; the second writes the runs of lines that hold repeated ones. Only hashes
+    and places are joined to find each chunk's first place; then every run gets the lines of the
+    runs that hold the first places of its chunks, once each.
     """
     spark = small_batches(docs.sparkSession)
     text = column(docs, text_column).cast("string")
@@ -232,35 +219,33 @@ def repeated_spans(
     first = F.struct(place.alias("place"), F.col("run").alias("run"), F.col("key").alias("key"), F.col("at").alias("at"))
     firsts = chunks.groupBy("h").agg(F.min(first).alias("first")).withColumnRenamed("h", "first_h")
     later = chunks.join(firsts, F.col("h") == F.col("first_h")).where(place > F.col("first.place"))
-    pairs = later.groupBy("run", F.col("key").alias("own_key"), F.col("first.run").alias("first_run"), F.col("first.key").alias("first_key")).agg(
-        F.collect_set(F.struct("at", F.col("first.at").alias("other"), "n")).alias("pairs")
-    )
-    named = runs.select("id", "key", "low", "body", name.alias("own"))
-    # Rows equal in id and text have equal runs: one stands for all of them.
-    once = named.groupBy("own", "key").agg(F.first(F.struct("id", "low", "body")).alias("it"))
-    once = once.select("own", "key", "it.*")
-    mine = pairs.join(once, (F.col("run") == F.col("own")) & (F.col("own_key") == F.col("key"))).select(
-        "id", "key", "low", "body", "pairs", "first_run", "first_key"
-    )
-    theirs = once.select(F.col("own").alias("their_run"), F.col("key").alias("their_key"), F.col("body").alias("first_body"))
-    met = mine.join(theirs, (F.col("first_run") == F.col("their_run")) & (F.col("first_key") == F.col("their_key")))
-    spans = met.select("id", "key", "low", "body", "first_body", "pairs").mapInArrow(
-        _compare_batches,
-        StructType([*runs.schema.fields[:2], *StructType.fromDDL("spans array<struct<low:int,high:int>>")]),
+    pairs = later.groupBy(
+        "id", "key", "low", F.col("first.run").alias("first_run"), F.col("first.key").alias("first_key")
+    ).agg(F.collect_set(F.struct("at", F.col("first.at").alias("other"), "n")).alias("pairs"))
+    pairs = written(pairs, "pairs")
+    # The lines of runs that are first anywhere. Rows equal in id and text have equal runs.
+    wanted = pairs.select("first_run", "first_key").distinct()
+    bodies = runs.select(name.alias("run"), F.col("key").alias("run_key"), "body").join(
+        wanted, (F.col("run") == F.col("first_run")) & (F.col("run_key") == F.col("first_key")), "left_semi"
     )
-    return spans.groupBy("id", "key").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"))
+    bodies = bodies.groupBy("run", "run_key").agg(F.first("body").alias("body"))
+    met = pairs.join(bodies, (F.col("first_run") == F.col("run")) & (F.col("first_key") == F.col("run_key")))
+    return met.groupBy("id", "key").agg(F.collect_list(F.struct("low", "pairs", "body")).alias("places"))
 
 
-def _cleaned(text: str, spans: list[dict], least_run: int) -> tuple[str, int]:
+def _cleaned(text: str, places: list[dict], least_run: int) -> tuple[str, int]:
     """Text without the runs of matched lines of at least ``least_run`` words; words removed."""
     piece = next(arrays.pieces(pa.array([text])))
     lines = fold(piece)
+    raw = piece.data.tobytes()
+    ours = [raw[a:b] for a, b in zip(lines.starts.tolist(), lines.ends.tolist())]
     marked = np.zeros(len(lines.starts) + 1, np.int64)
-    for span in spans:
-        marked[span["low"]] += 1
-        marked[span["high"]] -= 1
+    for place in places:
+        for low, high in _matched(ours, place["low"], place["body"].encode().split(b"\n"), place["pairs"]):
+            marked[low] += 1
+            marked[high] -= 1
     edges = np.flatnonzero(np.diff(np.concatenate([[0], np.cumsum(marked)[:-1] > 0, [0]]).astype(np.int8)))
-    raw, kept, upto, gone = piece.data.tobytes(), [], 0, 0
+    kept, upto, gone = [], 0, 0
     for low, high in edges.reshape(-1, 2).tolist():
         words = int(lines.n_words[low:high].sum())
         if words >= least_run:
@@ -288,15 +273,15 @@ def remove_repeats(
     becomes empty; rows equal in id and text get the same text. No rows give no rows.
     """
     names = docs.columns
-    key, spans, other_id, other_key = (fresh(names, n) for n in ("key__", "spans__", "id__", "other_key__"))
+    key, places, other_id, other_key = (fresh(names, n) for n in ("key__", "places__", "id__", "other_key__"))
     gone = fresh(names, "gone__")
-    found = repeated_spans(docs, id_column, text_column).toDF(other_id, other_key, spans)
+    found = earlier_places(docs, id_column, text_column).toDF(other_id, other_key, places)
     keyed = docs.withColumn(key, text_key(column(docs, text_column).cast("string")))
     joined = keyed.join(
         found, column(keyed, id_column).eqNullSafe(found[other_id]) & (keyed[key] == found[other_key]), "left"
     )
     at = names.index(text_column)
-    joined = joined.select(*[column(docs, n) for n in names], spans)
+    joined = joined.select(*[column(docs, n) for n in names], places)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
