@@ -41,9 +41,10 @@ def verdict(
     no duplicate but keeps its score; without a neighbour the score is 0.
     """
     score = F.coalesce(F.round(similarity, 4), F.lit(0.0))
-    duplicate = nearest_id.isNotNull() & (score >= threshold)
+    duplicate = similarity.isNotNull() & (score >= threshold)
     if own_id is not None:
-        duplicate = duplicate & ~nearest_id.eqNullSafe(own_id)
+        # Rows without an id are not the same row.
+        duplicate = duplicate & F.coalesce(nearest_id != own_id, F.lit(True))
     return F.struct(
         duplicate.alias("is_duplicate"),
         score.alias("similarity_score"),

@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from suarakit import constants as K
 from suarakit.functions.vectors import verdict
-from suarakit.operators.neighbours import BLOCK_ROWS, _unit, nearest
-from suarakit.operators.quality import keep_first
+from suarakit.operators.neighbours import nearest
 from suarakit.session import materialise
 
 _FIRST = -(1 << 63)
@@ -37,21 +35,48 @@ def check_duplicates(
     return found.select(F.col("id").alias(id_col), v.alias("v")).select(id_col, "v.*")
 
 
-def _greedy_block(threshold: float):
-    """First-come selection within one bounded block, in order."""
+def numbered(
+    df: DataFrame, id_col: str, vec_col: str, order_col: str, carry: Sequence[str] = ()
+) -> DataFrame:
+    """Arrivals ``key, id, vec`` and carried columns; keys rise along the order, then the id.
 
-    def select(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["ord", "id"], kind="stable").reset_index(drop=True)
-        units = _unit(np.stack(pdf["vec"].to_numpy()))
-        kept = np.empty_like(units)
-        chosen: list[int] = []
-        for i, u in enumerate(units):
-            if not chosen or np.round((kept[: len(chosen)] @ u).max(), 4) < threshold:
-                kept[len(chosen)] = u
-                chosen.append(i)
-        return pdf.iloc[chosen][["id"]]
+    The order may be of any type that sorts. Rows are dealt by ranges and written once, so a
+    key belongs to one row for good, whether or not its id is unique or present.
+    """
+    rows = df.select(
+        F.col(id_col).alias("id"), F.col(vec_col).alias("vec"), F.col(order_col).alias("ord"),
+        *[F.col(c).alias(f"c_{c}") for c in carry],
+    )
+    rows = rows.repartitionByRange("ord", "id").sortWithinPartitions("ord", "id")
+    return materialise(rows.withColumn("key", F.monotonically_increasing_id()).drop("ord"))
 
-    return select
+
+def _kept_keys(rows: DataFrame, threshold: float, **search) -> DataFrame:
+    """Keys of the rows that are stored when each meets those stored before it.
+
+    A row is stored for certain once no earlier undecided row resembles it or has its id, and
+    left out for certain once an earlier stored row does. Rounds apply both rules to all
+    undecided rows until none is left; each costs two neighbour searches that return one flag
+    per row, so dense groups never turn into edge lists.
+    """
+    options = dict(id_col="key", vec_col="vec", order_col="key", min_similarity=threshold, **search)
+    kept = [rows.select("key").filter("false")]
+    undecided = rows.select("key", "id", "vec")
+    while not undecided.isEmpty():
+        near = nearest(undecided, undecided, **options).select(
+            F.col("id").alias("k"), F.col("nearest_id").isNotNull().alias("near")
+        )
+        first = undecided.groupBy(F.col("id").alias("i")).agg(F.min("key").alias("first"))
+        waits = F.col("near") | F.coalesce(F.col("first") < F.col("key"), F.lit(False))
+        joined = undecided.join(near, F.col("key") == F.col("k")).join(first, F.col("id") == F.col("i"), "left")
+        split = materialise(joined.select("key", "id", "vec", waits.alias("waits")))
+        fresh, rest = split.filter("not waits").drop("waits"), split.filter("waits").drop("waits")
+        kept.append(fresh.select("key"))
+        free = nearest(rest, fresh, **options).filter("similarity IS NULL").select(F.col("id").alias("k"))
+        taken = fresh.select(F.col("id").alias("i")).distinct()
+        open_rows = rest.join(free, F.col("key") == F.col("k")).join(taken, F.col("id") == F.col("i"), "left_anti")
+        undecided = materialise(open_rows.select("key", "id", "vec"))
+    return reduce(DataFrame.unionAll, kept)
 
 
 def first_come(
@@ -60,89 +85,59 @@ def first_come(
     vec_col: str = "embedding",
     order_col: str = "vec_id",
     threshold: float = K.DUPLICATE_THRESHOLD,
-    block_rows: int = BLOCK_ROWS,
-) -> DataFrame:
-    """Rows kept when each is compared, in order, with those kept before it.
-
-    A row is kept for certain once no earlier undecided row resembles it, and dropped once an
-    earlier kept row does. Rounds apply both rules to all undecided rows at once; each costs
-    two neighbour searches that return one flag per row, so dense groups never turn into
-    edge lists. What is left of at most one block is decided in a single step.
-    """
-    return df.join(
-        _kept_ids(df, id_col, vec_col, order_col, threshold, block_rows), id_col, "left_semi"
-    )
-
-
-def _kept_ids(
-    df: DataFrame, id_col: str, vec_col: str, order_col: str, threshold: float, block_rows: int
+    **search,
 ) -> DataFrame:
-    rows = df.select(
-        F.col(id_col).alias("id"), F.col(order_col).cast("long").alias("ord"), F.col(vec_col).alias("vec")
-    )
-    directed = F.exists("vec", lambda x: x != 0)
-    search = dict(
-        id_col="id", vec_col="vec", order_col="ord", min_similarity=threshold,
-        block_rows=block_rows, distinct_store=True,
-    )
-
-    # Later copies of the same vector are duplicates, but zero vectors resemble nothing.
-    own = F.when(~directed, F.col("id"))
-    rows = materialise(keep_first(rows.withColumn("_own", own), ["vec", "_own"], "ord", long_keys=True))
-    kept = [rows.filter(~directed).select("id")]
-    undecided = rows.filter(directed).select("id", "ord", "vec")
-    while (n := undecided.count()) > block_rows:
-        flags = nearest(undecided, undecided, **search)
-        split = materialise(undecided.join(flags, "id"))
-        fresh = split.filter(F.col("nearest_id").isNull()).select("id", "ord", "vec")
-        rest = split.filter(F.col("nearest_id").isNotNull()).select("id", "ord", "vec")
-        kept.append(fresh.select("id"))
-        flags = nearest(rest, fresh, **search)
-        undecided = materialise(
-            rest.join(flags.filter(F.col("nearest_id").isNull()).select("id"), "id")
-        )
-    if n:
-        kept.append(
-            undecided.withColumn("_block", F.lit(0))
-            .groupBy("_block")
-            .applyInPandas(_greedy_block(threshold), undecided.select("id").schema)
-        )
-    return reduce(DataFrame.unionAll, kept).withColumnRenamed("id", id_col)
+    """Rows kept when each is compared, in order, with those kept before it."""
+    rows = numbered(df, id_col, vec_col, order_col, df.columns)
+    kept = rows.join(_kept_keys(rows, threshold, **search), "key", "left_semi")
+    return kept.select(*[F.col(f"c_{c}").alias(c) for c in df.columns])
 
 
-def deduplicate_arrivals(
+def split_arrivals(
     batch: DataFrame,
     store: DataFrame | None = None,
     id_col: str = "vec_id",
     vec_col: str = "embedding",
     order_col: str = "vec_id",
     threshold: float = K.DUPLICATE_THRESHOLD,
-    block_rows: int = BLOCK_ROWS,
-) -> DataFrame:
-    """Check-then-store in arrival order: a verdict per row plus ``is_stored``.
+    carry: Sequence[str] = (),
+    **search,
+) -> tuple[DataFrame, DataFrame]:
+    """Check-then-store in arrival order: a verdict for every row, and the rows to store.
 
     Each row is compared with the store and with the rows stored before it; only rows that
-    are no duplicate are stored. A row whose id the store already holds is checked but not
-    stored again.
+    are no duplicate are stored. A row whose id is stored already, by the store or by an
+    earlier row of the batch, is checked but not stored again; rows without an id are told
+    apart. There are as many verdicts as rows. ``search`` goes to :func:`nearest`, for
+    instance ``method="lsh"``.
     """
-    columns = [id_col, vec_col, "_ord"]
-    arrivals = batch.withColumn("_ord", F.col(order_col).cast("long")).select(*columns)
-    fresh = arrivals
-    seeds = None
+    rows = numbered(batch, id_col, vec_col, order_col, carry)
+    fresh, seeds = rows, None
     if store is not None:
-        seeds = store.select(id_col, vec_col, F.lit(_FIRST).alias("_ord"))
-        new = arrivals.join(seeds.select(id_col), id_col, "left_anti")
-        flags = nearest(
-            new, seeds, id_col, vec_col, min_similarity=threshold, block_rows=block_rows
-        ).filter(F.col("nearest_id").isNull())
-        fresh = new.join(flags.select(F.col("id").alias(id_col)), id_col, "left_semi")
-    chosen = _kept_ids(fresh, id_col, vec_col, "_ord", threshold, block_rows)
-    kept = materialise(arrivals.join(chosen, id_col, "left_semi"))
-    candidates = kept if seeds is None else seeds.unionByName(kept)
-    verdicts = check_duplicates(
-        arrivals, candidates, id_col, vec_col, "_ord", threshold, block_rows=block_rows
-    )
-    stored = kept.select(id_col, F.lit(True).alias("_kept"))
-    return verdicts.join(stored, id_col, "left").select(
-        *verdicts.columns, F.coalesce("_kept", F.lit(False)).alias("is_stored")
+        seeds = store.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec"), F.lit(_FIRST).alias("ord"))
+        new = rows.join(seeds.select("id").distinct(), "id", "left_anti")
+        free = nearest(
+            new, seeds, "key", "vec", min_similarity=threshold, store_id_col="id", **search
+        ).filter("similarity IS NULL")
+        fresh = new.join(free.select(F.col("id").alias("key")), "key", "left_semi")
+    keys = materialise(_kept_keys(fresh, threshold, **search))
+    kept = rows.join(keys, "key", "left_semi")
+    candidates = kept.select("id", "vec", F.col("key").alias("ord"))
+    found = nearest(
+        rows, candidates if seeds is None else seeds.unionByName(candidates), "key", "vec", "key",
+        store_id_col="id", store_order_col="ord", **search,
+    ).withColumnRenamed("id", "key")
+    v = verdict(F.col("similarity"), F.col("nearest_id"), F.col("id"), threshold)
+    judged = rows.select("key", "id").join(found, "key").join(keys.withColumn("stored", F.lit(True)), "key", "left")
+    verdicts = judged.select(
+        F.col("id").alias(id_col), v.alias("v"), F.coalesce("stored", F.lit(False)).alias("is_stored")
+    ).select(id_col, "v.*", "is_stored")
+    stored = kept.select(
+        F.col("id").alias(id_col), F.col("vec").alias(vec_col), *[F.col(f"c_{c}").alias(c) for c in carry]
     )
+    return verdicts, stored
+
+
+def deduplicate_arrivals(batch: DataFrame, store: DataFrame | None = None, *args, **options) -> DataFrame:
+    """The verdicts of :func:`split_arrivals`: one row per arrival, plus ``is_stored``."""
+    return split_arrivals(batch, store, *args, **options)[0]

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from suarakit import constants as K
 from suarakit.operators.quality import keep_first
 from suarakit.session import materialise
 
@@ -35,9 +36,8 @@ BLOCK_BYTES = 4 << 20
 BROADCAST_BYTES = 32 << 20
 MAX_PIVOTS = 256
 _CHUNK = 256
-# Similarities closer than this tie, whatever order they were summed in.
+# Similarities equal to so many places tie, whatever order they were summed in.
 _STABLE = 9
-_TIE = 10.0**-_STABLE
 
 # (unit vectors, order) -> (row numbers, cells), both sorted by cell
 Router = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
@@ -51,6 +51,18 @@ class Lsh:
     bits: int = 8
     seed: int = 7
 
+    @staticmethod
+    def sized(rows: int, similarity: float = K.DUPLICATE_THRESHOLD, recall: float = 0.9) -> Lsh:
+        """Layout for a store of so many rows: two vectors of this similarity share a band so often.
+
+        Bits grow with the logarithm of the store, so a cell holds about as many vectors at any
+        size; the number of bands follows from the recall wanted.
+        """
+        bits = max(8, math.ceil(math.log2(max(rows, 2))) + 1)
+        agree = 1 - math.acos(min(1.0, max(-1.0, similarity))) / math.pi
+        bands = math.ceil(math.log(1 - recall) / math.log1p(-(agree**bits)))
+        return Lsh(bands, bits)
+
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
     m = vectors.astype(np.float64)
@@ -252,12 +264,13 @@ def _best_matches(pairs: DataFrame, ordered: bool, min_similarity: float | None)
                 s_units, s_ord = _matrix(s.field("vec")), s.field("ord").to_numpy()
                 for lo in range(0, len(q), _CHUNK):
                     part = q.slice(lo, _CHUNK)
-                    sims = _matrix(part.field("vec")) @ s_units.T
+                    sims = np.round(_matrix(part.field("vec")) @ s_units.T, _STABLE)
                     if ordered:
                         sims[s_ord[None, :] >= part.field("ord").to_numpy()[:, None]] = -np.inf
                     top = sims.max(axis=1)
-                    # Copies may differ in the last bits; the first of them wins.
-                    best = (sims >= top[:, None] - _TIE).argmax(axis=1)
+                    # Copies may differ in the last bits: similarities are rounded once, and of
+                    # equal ones the first wins, within a block as between blocks.
+                    best = sims.argmax(axis=1)
                     rows = np.arange(len(best))
                     good = np.isfinite(top)
                     if min_similarity is not None:
@@ -266,7 +279,7 @@ def _best_matches(pairs: DataFrame, ordered: bool, min_similarity: float | None)
                     yield pa.RecordBatch.from_arrays(
                         [
                             part.field("id").take(pa.array(rows)),
-                            pa.array(-np.round(sims[rows, best], _STABLE)),
+                            pa.array(-sims[rows, best]),
                             pa.array(sims[rows, best]),
                             pa.array(s_ord[best]),
                             s.field("id").take(pa.array(best)),
@@ -299,16 +312,19 @@ def nearest(
     block_rows: int | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
     distinct_store: bool = False,
+    store_id_col: str | None = None,
+    store_order_col: str | None = None,
 ) -> DataFrame:
     """``id, similarity, nearest_id`` for every row of ``batch``; NULLs without a neighbour.
 
     With ``order_col`` only stored rows of a smaller order compete. ``min_similarity`` ignores
     worse neighbours (judged on the score rounded to four places) and prunes harder. Equal
     similarities go to the earlier, then the smaller id. ``distinct_store`` promises that no
-    two stored vectors are identical and saves collapsing them.
+    two stored vectors are identical and saves collapsing them. Ids of ``batch`` are unique;
+    the store may name its id and order columns otherwise.
     """
     q = _side(batch, id_col, vec_col, order_col)
-    s = _side(store, id_col, vec_col, order_col)
+    s = _side(store, store_id_col or id_col, vec_col, order_col and (store_order_col or order_col))
     ordered = order_col is not None
     size = s.agg(F.count("*").alias("n"), F.max(F.size("vec")).alias("dim")).first()
     ids = batch.select(F.col(id_col).alias("id"))
@@ -327,7 +343,7 @@ def nearest(
             s = materialise(s)
 
     if method == "lsh":
-        lsh = lsh or Lsh()
+        lsh = lsh or Lsh.sized(size["n"], K.DUPLICATE_THRESHOLD if min_similarity is None else min_similarity)
         routed = s.withColumn("cell", F.explode(_lsh_cell(lsh)("vec")))
         router = _lsh_router(lsh)
         crowd = routed.groupBy("cell").agg(F.ceil(F.count("*") / block_rows).alias("parts"))
@@ -350,7 +366,10 @@ def nearest(
     stored = _pack_store(with_parts(routed))
     part = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")
     asked = with_parts(_pack_queries(q, router, block_rows)).select("cell", part, "q_rows")
-    if copies * size["n"] * size["dim"] * 4 <= broadcast_bytes:
+    # Entries as they are stored, and an id and an order beside them.
+    entry = s.schema["vec"].dataType.elementType
+    width = {T.DoubleType(): 8, T.LongType(): 8}.get(entry, 4)
+    if copies * size["n"] * (size["dim"] * width + 64) <= broadcast_bytes:
         # A store of this checked size goes to every task, and the batch is not shuffled.
         pairs = asked.join(F.broadcast(stored), ["cell", "part"])
     else:

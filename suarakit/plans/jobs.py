@@ -21,7 +21,7 @@ from suarakit.functions.text import normalise
 from suarakit.operators import annotate as A
 from suarakit.operators import ingest, pages, quality, records, report
 from suarakit.operators.embed import EncoderFactory, embed
-from suarakit.operators.near_duplicates import deduplicate_arrivals
+from suarakit.operators.near_duplicates import split_arrivals
 from suarakit.schemas import ANNOTATED_COMPLAINT, CLEAN_COMPLAINT, LABEL_COLUMNS, URGENCY_COMPLAINT
 from suarakit.session import prepare
 from suarakit.sources import readers, writers
@@ -175,23 +175,23 @@ def run_near_duplicate_intake(
     verdict_path: str,
     order_col: str = "seq",
     threshold: float = K.DUPLICATE_THRESHOLD,
+    **search,
 ) -> DataFrame:
     """Normalise, embed, check against the vector store, store what is new.
 
-    ``complaints`` has ``complaint_id, isi, category`` and an order column.
+    ``complaints`` has ``complaint_id, isi, category`` and an order column of any type that
+    sorts. ``search`` goes to the neighbour search, for instance ``method="lsh"``.
     """
     store = writers.read_vector_store(spark, store_path) if readers.exists(spark, store_path) else None
     # The encoder is a model: write its result once and work on that.
     normalised_vectors(complaints, encoder).write.mode("errorifexists").parquet(f"{verdict_path}/vectors")
     vectors = spark.read.parquet(f"{verdict_path}/vectors")
-    verdicts = deduplicate_arrivals(
-        vectors, store, "complaint_id", "embedding", order_col, threshold
+    verdicts, new = split_arrivals(
+        vectors, store, "complaint_id", "embedding", order_col, threshold, ("text", "category"), **search
     )
     verdicts.write.mode("errorifexists").parquet(f"{verdict_path}/verdicts")
-    written = spark.read.parquet(f"{verdict_path}/verdicts")
-    new = vectors.join(written.filter("is_stored").select("complaint_id"), "complaint_id", "left_semi")
     writers.add_to_vector_store(new, store_path)
-    return written
+    return spark.read.parquet(f"{verdict_path}/verdicts")
 
 
 # --- crawl ------------------------------------------------------------------------------

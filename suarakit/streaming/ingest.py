@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from suarakit import constants as K
 from suarakit.operators.ingest import new_records
-from suarakit.operators.near_duplicates import deduplicate_arrivals
+from suarakit.operators.near_duplicates import split_arrivals
 from suarakit.session import prepare
 
 
@@ -106,17 +106,11 @@ def near_duplicate_sink(
             stored = spark.read.schema(T.StructType(columns)).parquet(f"{out}/store")
             store = stored.filter(F.col("batch") < batch_id)
         verdicts_path = f"{out}/verdicts/batch={batch_id}"
-        verdicts = deduplicate_arrivals(
-            batch, store, id_col, vec_col, order_col, threshold, **search
+        verdicts, kept = split_arrivals(
+            batch, store, id_col, vec_col, order_col, threshold, keep_cols, **search
         )
         verdicts.write.mode("overwrite").parquet(verdicts_path)
-        kept = spark.read.schema(verdicts.schema).parquet(verdicts_path).filter("is_stored")
-        (
-            batch.join(kept.select(id_col), id_col, "left_semi")
-            .select(id_col, vec_col, *keep_cols)
-            .write.mode("overwrite")
-            .parquet(f"{out}/store/batch={batch_id}")
-        )
+        kept.write.mode("overwrite").parquet(f"{out}/store/batch={batch_id}")
 
     return process
 

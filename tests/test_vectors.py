@@ -88,9 +88,9 @@ def test_first_come_example(spark):
         [("a", 1, [1.0, 0.0]), ("b", 2, [0.8, 0.6]), ("c", 3, [0.0, 1.0]), ("d", 4, [0.6, 0.8])],
         "id string, seq long, embedding array<float>",
     )
-    for block_rows in (4096, 1):
+    for options in ({"block_rows": 4096}, {"block_rows": 1}, {"method": "lsh", "lsh": Lsh(40, 3)}):
         got = sorted(map(tuple, deduplicate_arrivals(
-            df, id_col="id", order_col="seq", threshold=0.6, block_rows=block_rows).collect()))
+            df, id_col="id", order_col="seq", threshold=0.6, **options).collect()))
         assert got == [("a", False, 0.0, None, True), ("b", True, 0.8, "a", False),
                        ("c", False, 0.0, None, True), ("d", True, 0.8, "c", False)]
 
@@ -133,13 +133,43 @@ def test_store_seeds_and_resubmitted_ids(spark):
     assert got == {i: expected[i] for i, _ in rows[90:]}
 
 
+@pytest.mark.parametrize("order", ["seq", "struct(seq)"])
+def test_repeated_and_missing_ids(spark, order):
+    rows = [("1", 0, [1.0, 0.0]), ("1", 1, [0.0, 1.0]), ("1", 2, [1.0, 0.01]), ("2", 3, [0.0, 1.0]),
+            (None, 4, [-1.0, 0.0]), (None, 5, [0.0, -1.0]), ("3", 6, [0.0, -1.0]), ("2", 7, [0.0, 0.0])]
+    df = spark.createDataFrame(rows, "id string, seq long, embedding array<double>").repartition(3)
+    df = df.withColumn("place", F.expr(order))
+    got = deduplicate_arrivals(df, id_col="id", order_col="place", threshold=0.6).collect()
+    # The second row has a stored id, so its vector is not stored and the fourth row is new.
+    wanted = [("1", False, 0.0, None, True), ("1", False, 0.0, None, False), ("1", False, 1.0, None, False),
+              ("2", False, 0.01, None, True), (None, False, 0.0, None, True), (None, False, 0.0, None, True),
+              ("3", True, 1.0, None, False), ("2", False, 0.0, None, False)]
+    assert sorted((str(r[0]), r[1], r[3], r[4]) for r in got) == sorted((str(w[0]), w[1], w[3], w[4]) for w in wanted)
+
+
+def test_result_does_not_depend_on_blocks(spark):
+    store = frame(spark, [(1, [0.49999999945, 0.8660254040961]), (2, [0.5000000004, 0.8660254035534])], "vec_id long, embedding array<double>")
+    one = frame(spark, [(9, [1.0, 0.0])], "vec_id long, embedding array<double>")
+    assert {nearest(one, store, block_rows=b).first()["nearest_id"] for b in (64, 1)} == {2} or {
+        nearest(one, store, block_rows=b).first()["nearest_id"] for b in (64, 1)} == {1}
+
+
+def test_lsh_compares_fewer_pairs_the_larger_the_store():
+    shares = []
+    for n in (500, 2000, 100_000, 10_000_000):
+        lsh = Lsh.sized(n)
+        shares.append(lsh.bands / 2**lsh.bits)  # of all pairs, if vectors are spread out
+    assert shares == sorted(shares, reverse=True) and shares[0] < 0.1
+
+
 def test_lsh_recall(spark):
-    e = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
-    exact = {r["id"]: r["similarity"] for r in nearest(e, e, order_col="vec_id", min_similarity=0.35).collect()}
-    lsh = nearest(e, e, order_col="vec_id", method="lsh", lsh=Lsh(bands=64, bits=4), block_rows=64)
-    close = {i: s for i, s in exact.items() if s is not None}
-    hits = [r for r in lsh.collect() if r["id"] in close and r["similarity"] == pytest.approx(close[r["id"]])]
-    assert len(hits) / len(close) > 0.95
+    rng = np.random.default_rng(4)
+    m = rng.standard_normal((600, 32))
+    near = m + 0.9 * rng.standard_normal(m.shape)
+    store, batch = frame(spark, enumerate(m)), frame(spark, enumerate(near))
+    exact = {r["id"]: r["nearest_id"] for r in nearest(batch, store, min_similarity=0.6).collect() if r["nearest_id"] is not None}
+    found = {r["id"]: r["nearest_id"] for r in nearest(batch, store, method="lsh").collect()}
+    assert len(exact) > 300 and sum(found[i] == j for i, j in exact.items()) >= 0.9 * len(exact)
 
 
 def test_encoder_runs_once_per_task_and_gives_unit_vectors(spark):
