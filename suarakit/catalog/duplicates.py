@@ -60,11 +60,27 @@ def dup_top1(spark, sf):
     return check_duplicates(e, e, order_col="vec_id", threshold=THRESHOLD)
 
 
-@query("SELECT vec_id, false AS is_duplicate, 1.0::DOUBLE AS similarity_score, NULL::BIGINT AS duplicate_of FROM embeddings")
+@query(f"""WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+b AS (SELECT v.vec_id, CASE WHEN o.e IS NULL THEN v.e WHEN v.vec_id % 2 = 0
+  THEN list_transform(list_zip(v.e, o.e), lambda z: z[1] + 0.5::DOUBLE * z[2])
+  ELSE list_transform(list_zip(v.e, o.e), lambda z: 0.5::DOUBLE * z[1] + z[2]) END AS e
+  FROM v LEFT JOIN v o ON o.vec_id = v.vec_id + 1),
+s AS (SELECT b.vec_id, v.vec_id AS other, round(list_cosine_similarity(b.e, v.e), 9) AS sim FROM b JOIN v ON true),
+t AS (SELECT vec_id, max(sim) AS sim, arg_max(other, sim) AS other FROM s GROUP BY vec_id)
+SELECT vec_id, round(sim, 4) >= {THRESHOLD} AND other <> vec_id AS is_duplicate, round(sim, 4) AS similarity_score,
+  CASE WHEN round(sim, 4) >= {THRESHOLD} AND other <> vec_id THEN other END AS duplicate_of FROM t""")
 def dup_recheck_stored(spark, sf):
-    """Stored rows checked again find themselves and are no duplicates."""
-    e = table(spark, sf, "embeddings")
-    return check_duplicates(e, e, threshold=THRESHOLD)
+    """Changed rows checked under their old ids: nearest to themselves, or to their neighbour."""
+    e = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    after = e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("other"))
+    even, half = F.col("vec_id") % 2 == 0, F.lit(0.5)
+    changed = F.when(even, F.zip_with("embedding", "other", lambda x, y: x + half * y)).otherwise(
+        F.zip_with("embedding", "other", lambda x, y: half * x + y)
+    )
+    batch = e.join(after, "vec_id", "left").select(
+        "vec_id", F.coalesce(changed, F.col("embedding").cast("array<double>")).alias("embedding")
+    )
+    return check_duplicates(batch, e, threshold=THRESHOLD)
 
 
 _GREEDY = f"""WITH RECURSIVE {_SIMS},
@@ -143,6 +159,29 @@ def text_vectors(spark, sf):
     return made.select("doc_id", rounded.alias("embedding"))
 
 
+_INTAKE = 0.99
+
+
+@query(
+    _GREEDY.replace(
+        "v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings)",
+        f"""d AS ({S.staged('benchmark', 'item_id', "text || ' yg [NIK]'", S.normalise)}),
+n AS (SELECT item_id, ({_LETTER_SQL})::DOUBLE[] AS n FROM d), v AS (SELECT item_id AS vec_id, {_UNIT_SQL} AS e FROM n)""",
+    ).replace(f">= {THRESHOLD}", f">= {_INTAKE}").replace("SELECT vec_id, coalesce(round(sim, 4)", "SELECT vec_id::VARCHAR AS complaint_id, coalesce(round(sim, 4)")
+    .replace("THEN other END AS duplicate_of", "THEN other::VARCHAR END AS duplicate_of")
+)
+def near_duplicate_intake(spark, sf):
+    """The whole job: normalise, embed, check in arrival order, store."""
+    rows = table(spark, sf, "benchmark").select(
+        F.col("item_id").cast("string").alias("complaint_id"),
+        F.concat("text", F.lit(" yg [NIK]")).alias("isi"),
+        F.lit("x").alias("category"),
+        F.struct("item_id").alias("seq"),
+    )
+    out = scratch_path(spark, "intake-job")
+    return jobs.run_near_duplicate_intake(spark, rows, _letter_encoder, f"{out}/store", f"{out}/run", threshold=_INTAKE)
+
+
 @query(f"""WITH b AS (SELECT item_id, ({_LETTER_SQL.replace('(t', '(lower(text)')})::DOUBLE[] AS n FROM benchmark),
 d AS (SELECT doc_id, ({_LETTER_SQL.replace('(t', '(lower(text)')})::DOUBLE[] AS n FROM documents),
 bu AS MATERIALIZED (SELECT item_id, {_UNIT_SQL} AS e FROM b),

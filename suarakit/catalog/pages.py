@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from suarakit.catalog import sql as S
 from suarakit.catalog.tables import table
 from suarakit.operators import pages as P
@@ -48,14 +50,14 @@ _FIELDS = f"""fields AS (SELECT
   replace({_text(r"regexp_extract(html, '<a href=" + '"[^"]*/[^"]*"' + r">([^<]*)</a>', 1)")}, '#', '') AS id,
   {_text(r"regexp_extract(html, '<h1>([^<]*)</h1>', 1)")} AS judul,
   {_text(_FIRST_PARAGRAPH)} AS isi,
-  {_text(r"regexp_extract(html, '<div class=" + '"ad"' + r">([^<]*)</div>', 1)")} AS kategori, url FROM pages)"""
+  {_text(r"regexp_extract(html, '<div class=" + '"ad"' + r">([^<]*)</div>', 1)")} AS kategori, url, page_id FROM pages)"""
 
 
 def _pages(spark, sf):
     return spread(table(spark, sf, "pages").select("url", "html"))
 
 
-@query(f"WITH {_FIELDS} SELECT * FROM fields")
+@query(f"WITH {_FIELDS} SELECT * EXCLUDE (page_id) FROM fields")
 def page_fields(spark, sf):
     return P.page_fields(_pages(spark, sf), RULES)
 
@@ -67,9 +69,10 @@ def page_links(spark, sf):
     return P.page_links(_pages(spark, sf), "https://example.org", {"tag": "li"})
 
 
-@query(f"""WITH {_FIELDS}, r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY url) AS rn FROM fields)
+@query(f"""WITH {_FIELDS}, r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY page_id DESC) AS rn FROM fields)
 SELECT id, judul, isi, kategori, url, coalesce(id, '') = '' OR coalesce(judul, '') = '' OR coalesce(isi, '') = '' AS is_incomplete
 FROM r WHERE rn = 1""")
 def complaints_from_pages(spark, sf):
-    """Pages to complaints, one per id."""
-    return jobs.complaints_from_pages(_pages(spark, sf), rules=RULES)
+    """Pages to complaints, one per id: the page that was fetched first, latest number first."""
+    pages = spread(table(spark, sf, "pages").select("url", "html", (-F.col("page_id")).alias("fetched")))
+    return jobs.complaints_from_pages(pages, rules=RULES, order="fetched")

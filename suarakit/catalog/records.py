@@ -143,6 +143,22 @@ def convert_jsonl(spark, sf):
     ).select("doc_id", "instruction", "input", "unchanged", "o.*")
 
 
+@query(f"""WITH {_LINES}
+SELECT {S.fill(K.INTAKE_PROMPT, text='source')} AS instruction, '' AS input, unchanged, {', '.join(_V2)} FROM kept""")
+def converted_jsonl_file(spark, sf):
+    """Converted records written as JSON lines and read back."""
+    path = scratch_path(spark, "converted")
+    writers.write_records(records.convert_lines(_jsonl_lines(spark, sf)), path)
+    back = spark.read.schema("instruction string, input string, output string").json(path)
+    looks_json = F.startswith("output", F.lit('{"intent":')) & F.contains("output", F.lit('"category":')) & F.endswith(
+        "output", F.lit("}")
+    )
+    schema = "struct<" + ", ".join(f"{n}: string" for n in _V2) + ">"
+    return back.select(
+        "instruction", "input", (~looks_json).alias("unchanged"), F.when(looks_json, F.from_json("output", schema)).alias("o")
+    ).select("instruction", "input", "unchanged", "o.*")
+
+
 @query(f"""WITH {_LINES} SELECT doc_id FROM documents WHERE lang <> 'es' AND doc_id NOT IN (SELECT doc_id FROM kept)""")
 def convert_jsonl_quarantine(spark, sf):
     return records.split_bad(records.convert_lines(_jsonl_lines(spark, sf)))[1].select("doc_id")

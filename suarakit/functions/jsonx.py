@@ -55,11 +55,6 @@ def status(v: Column) -> Column:
     return F.when(v.isNull(), "unparsable").when(kind(v) == "object", "ok").otherwise("not_object")
 
 
-def parse_status(c: Column) -> Column:
-    """``ok``, ``not_object`` or ``unparsable``."""
-    return let(parse_tolerant(c), status)
-
-
 def member(v: Column, key: str) -> Column:
     """Member of an object as VARIANT. An absent key is NULL, a JSON null is not."""
     return F.try_variant_get(v, F.lit(f"$.{key}"), "variant")
@@ -86,4 +81,4 @@ def truthy(v: Column) -> Column:
 
 def first_truthy(*values: Column) -> Column:
     """First value that is neither absent, null, empty nor zero, as VARIANT."""
-    return F.coalesce(*[F.when(truthy(v), v) for v in values])
+    return F.coalesce(*[let(v, lambda x: F.when(truthy(x), x)) for v in values])

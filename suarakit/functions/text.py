@@ -53,10 +53,22 @@ def clean_text(c: Column) -> Column:
 _CASED = r"\p{IsUppercase}\p{IsLowercase}\p{Lt}"
 
 
+# A Unicode noncharacter: never part of proper text.
+_BREAK = "\uffff"
+
+
 def title_case(c: Column) -> Column:
-    """Capitalise every run of cased letters; ``initcap`` only does so after blanks."""
+    """Capitalise every run of cased letters; ``initcap`` only does so after blanks.
+
+    One pass sets a mark and a blank before each run, and both go again afterwards. A text
+    that has the mark itself is cut into runs instead.
+    """
+    marked = F.regexp_replace(c, rf"[{_CASED}]+", rf"{_BREAK} $0")
     runs = F.regexp_extract_all(c, F.lit(rf"[{_CASED}]+|[^{_CASED}]+"), F.lit(0))
-    return F.array_join(F.transform(runs, F.initcap), "")
+    by_run = F.array_join(F.transform(runs, F.initcap), "")
+    return F.when(F.contains(c, F.lit(_BREAK)), by_run).otherwise(
+        F.replace(F.initcap(marked), F.lit(f"{_BREAK} "), F.lit(""))
+    )
 
 
 # --- slang ------------------------------------------------------------------------------

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import inspect
 import time
 from collections.abc import Callable, Iterator, Sequence
+from inspect import signature
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -56,7 +56,7 @@ def ask_model(
         ]
     )
 
-    takes_system = "system" in inspect.signature(model).parameters
+    takes_system = "system" in signature(model).parameters
 
     def attempt(answer, texts: list[str]) -> tuple[list[str] | None, str]:
         status = "error"
@@ -160,17 +160,21 @@ def annotate(
     cols: Sequence[str],
     needs: Sequence[str] = (),
     restart: bool = False,
+    inspect: Callable[[DataFrame], None] | None = None,
 ) -> DataFrame:
     """Label the rows where ``todo`` holds and write the labels back, row by row.
 
     ``responses`` turns those rows into ``_row, raw, status``: a model call or a join with
     stored answers. ``parse`` turns the answers, with the columns ``needs`` of their rows, into
-    label columns. ``restart`` ignores existing labels. There are as many rows out as in,
+    label columns. ``restart`` ignores existing labels; ``inspect`` gets the answers. There are as many rows out as in,
     whatever their ids: rows are known by their content, and equal ones are asked about once.
     """
     df = with_row_key(ensure_label_columns(df, cols))
     work = df if restart else df.filter(todo)
-    answered = work.select(ROW, *needs).distinct().join(responses(work).dropDuplicates([ROW]), ROW)
+    answers = responses(work)
+    if inspect is not None:
+        inspect(answers)
+    answered = work.select(ROW, *needs).distinct().join(answers.dropDuplicates([ROW]), ROW)
     return write_back(df, parse(answered).select(ROW, *cols), cols, ROW).drop(ROW)
 
 
@@ -186,7 +190,11 @@ def parse_full_labels(answered: DataFrame) -> DataFrame:
 
 
 def annotate_urgency(
-    df: DataFrame, model: ModelFactory, restart: bool = False, **kw
+    df: DataFrame,
+    model: ModelFactory,
+    restart: bool = False,
+    inspect: Callable[[DataFrame], None] | None = None,
+    **kw,
 ) -> DataFrame:
     """Fill ``urgency`` where it is not yet a valid label."""
 
@@ -195,7 +203,7 @@ def annotate_urgency(
         return ask_model_once(prompts.dropDuplicates([ROW]), model, id_col=ROW, **kw)
 
     todo = L.needs_urgency(F.col("urgency"))
-    return annotate(df, todo, call, parse_urgency, ("urgency",), restart=restart)
+    return annotate(df, todo, call, parse_urgency, ("urgency",), restart=restart, inspect=inspect)
 
 
 def annotate_full(
@@ -203,6 +211,7 @@ def annotate_full(
     model: ModelFactory,
     restart: bool = False,
     nullable: tuple[str, ...] = (),
+    inspect: Callable[[DataFrame], None] | None = None,
     **kw,
 ) -> DataFrame:
     """Fill all seven labels of incompletely labelled rows.
@@ -216,7 +225,7 @@ def annotate_full(
         return ask_model_once(prompts.dropDuplicates([ROW]), model, id_col=ROW, **options)
 
     todo = ~L.is_complete(nullable)
-    return annotate(df, todo, call, parse_full_labels, LABEL_COLUMNS, ("kategori",), restart)
+    return annotate(df, todo, call, parse_full_labels, LABEL_COLUMNS, ("kategori",), restart, inspect)
 
 
 def intake_labels(masked: DataFrame, responses: DataFrame, id_col: str = "id") -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -127,9 +128,13 @@ def _field(page: _Page, rule: dict) -> str | None:
     return None
 
 
-def page_fields(pages: DataFrame, rules: dict[str, dict] | None = None) -> DataFrame:
+def page_fields(
+    pages: DataFrame, rules: dict[str, dict] | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
     """``id, judul, isi, kategori, url`` per page; pages without HTML are skipped.
 
+    ``keep`` names columns of ``pages`` that come along, such as the order of the crawl.
+
     A rule names a ``tag`` and may ask for a ``css_class``, an address part
     (``href_contains``) or a text the element ``contains``. ``inner`` takes the text of the
     first such element inside, ``prefer`` does so only if there is one.
@@ -137,17 +142,18 @@ def page_fields(pages: DataFrame, rules: dict[str, dict] | None = None) -> DataF
     rules = K.DETAIL_RULES if rules is None else rules
     names = PAGE_FIELDS.fieldNames()
 
-    def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for url, html in zip(pdf["url"], pdf["html"]):
-                page = _Page(html)
-                row = {n: _field(page, rules[n]) if n in rules else None for n in names}
-                rows.append({**row, "url": url})
-            yield pd.DataFrame(rows, columns=names, dtype=object)
-
-    fetched = pages.filter(F.col("html").isNotNull()).select("url", "html")
-    fields = fetched.mapInPandas(extract, PAGE_FIELDS)
+    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parsed = [_Page(html) for html in batch.column(1).to_pylist()]
+            made = [
+                batch.column(0) if n == "url"
+                else pa.array([_field(p, rules[n]) if n in rules else None for p in parsed], pa.string())
+                for n in names
+            ]
+            yield pa.RecordBatch.from_arrays([*made, *batch.columns[2:]], names=[*names, *keep])
+
+    fetched = pages.filter(F.col("html").isNotNull()).select("url", "html", *keep)
+    fields = fetched.mapInArrow(extract, T.StructType([*PAGE_FIELDS.fields, *fetched.schema.fields[2:]]))
     return fields.withColumn("id", F.replace("id", F.lit("#"), F.lit("")))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -76,6 +76,42 @@ def preview(df: DataFrame, order: str, n: int = 3, limits: dict[str, int] | None
     return top.withColumns(cut) if cut else top
 
 
+class Counted:
+    """Counters of a job, gathered while its own writes run.
+
+    Counts are observed on the rows as they pass; nothing is read again for them.
+    """
+
+    def __init__(self) -> None:
+        self._observations: list[Observation] = []
+        self._values: dict[str, int] = {}
+
+    def count(self, df: DataFrame, name: str, **conditions: Column) -> DataFrame:
+        """``df`` with its rows counted as ``name``, and those meeting each condition by its name."""
+        observation = Observation()
+        self._observations.append(observation)
+        marks = [F.count_if(c).alias(n) for n, c in conditions.items()]
+        return df.observe(observation, F.count(F.lit(1)).alias(name), *marks)
+
+    def answers(self, answered: DataFrame) -> None:
+        """Count stored model answers by status."""
+        for row in answered.groupBy("status").count().collect():
+            self._values[f"answers_{row['status']}"] = row["count"]
+
+    @property
+    def values(self) -> dict[str, int]:
+        """What is known so far; waits for counts whose rows are being written."""
+        while self._observations:
+            self._values.update(self._observations.pop(0).get)
+        return self._values
+
+    def saved(self, spark: SparkSession, path: str) -> DataFrame:
+        """Write the counters as one JSON line and return them as one row."""
+        row = spark.createDataFrame([self.values])
+        row.write.mode("errorifexists").json(path)
+        return row
+
+
 def counters(df: DataFrame, **conditions: Column) -> DataFrame:
     """One row: ``total`` and the number of rows meeting each named condition."""
     return df.agg(

@@ -22,8 +22,10 @@ from suarakit.operators import annotate as A
 from suarakit.operators import ingest, pages, quality, records, report
 from suarakit.operators.embed import EncoderFactory, embed
 from suarakit.operators.near_duplicates import split_arrivals
-from suarakit.schemas import ANNOTATED_COMPLAINT, CLEAN_COMPLAINT, LABEL_COLUMNS, URGENCY_COMPLAINT
-from suarakit.session import prepare
+from suarakit.schemas import (
+    ANNOTATED_COMPLAINT, CLEAN_COMPLAINT, LABEL_COLUMNS, PAGE_FIELDS, URGENCY_COMPLAINT,
+)
+from suarakit.session import prepare, scratch_path
 from suarakit.sources import readers, writers
 
 
@@ -40,21 +42,27 @@ def clean_complaints(
 
 
 def run_preprocessing(spark: SparkSession, input_path: str, output_dir: str) -> DataFrame:
-    """CSV in, clean CSV and fine-tuning JSON lines out; returns the preview rows."""
+    """CSV in, clean CSV and fine-tuning JSON lines out; returns the preview rows.
+
+    ``counters`` in the output says how many rows came in, were removed and left.
+    """
     prepare(spark)
-    raw = readers.with_order(readers.read_csv(spark, input_path), "seq")
-    clean = clean_complaints(raw, "seq").persist()
-    try:
-        writers.write_csv(clean.select(*CLEAN_COMPLAINT.fieldNames()), f"{output_dir}/clean")
-        recorded = records.finetune_records(clean)
-        writers.write_records(recorded, f"{output_dir}/finetuning")
-        _, bad = records.split_bad(recorded)
-        writers.write_json(bad.drop("record", "seq"), f"{output_dir}/quarantine")
-        top = report.preview(clean, "seq", limits={"judul": 60, "input_text": 120})
-        rows = top.select("id", "judul", "kategori", "input_text").collect()
-    finally:
-        clean.unpersist()
-    return spark.createDataFrame(rows, "id string, judul string, kategori string, input_text string")
+    seen = report.Counted()
+    raw = seen.count(readers.with_order(readers.read_csv(spark, input_path), "seq"), "read")
+    made = seen.count(clean_complaints(raw, "seq"), "kept")
+    # Written once; everything below reads that.
+    path = scratch_path(spark, "clean")
+    made.write.parquet(path)
+    clean = spark.read.schema(made.schema).parquet(path)
+    writers.write_csv(clean.select(*CLEAN_COMPLAINT.fieldNames()), f"{output_dir}/clean")
+    recorded = records.finetune_records(clean)
+    writers.write_records(recorded, f"{output_dir}/finetuning")
+    _, bad = records.split_bad(recorded)
+    writers.write_json(bad.drop("record", "seq"), f"{output_dir}/quarantine")
+    seen.values["removed"] = seen.values["read"] - seen.values["kept"]
+    seen.saved(spark, f"{output_dir}/counters")
+    top = report.preview(clean, "seq", limits={"judul": 60, "input_text": 120})
+    return top.select("id", "judul", "kategori", "input_text")
 
 
 # --- annotation -------------------------------------------------------------------------
@@ -70,6 +78,13 @@ def _labelled_input(
     return A.resume(readers.read_csv(spark, clean_path, CLEAN_COMPLAINT), previous, cols)
 
 
+def _stored(spark: SparkSession, annotated: DataFrame) -> DataFrame:
+    """Written once, so that no label is computed twice; CSV is for the user alone."""
+    path = scratch_path(spark, "annotated")
+    annotated.write.parquet(path)
+    return spark.read.schema(annotated.schema).parquet(path)
+
+
 def run_full_annotation(
     spark: SparkSession,
     clean_path: str,
@@ -81,11 +96,14 @@ def run_full_annotation(
     """Label what is unlabelled; annotated CSV and training JSON lines; label distributions."""
     prepare(spark)
     df = _labelled_input(spark, clean_path, previous_path, LABEL_COLUMNS, ANNOTATED_COMPLAINT)
-    annotated = A.annotate_full(df, model, **options)
-    columns = ANNOTATED_COMPLAINT.fieldNames()
-    writers.write_csv(annotated.select(*columns), f"{output_dir}/annotated")
-    # Everything below reads what was written, so that no label is computed twice.
-    stored = readers.read_csv(spark, f"{output_dir}/annotated", ANNOTATED_COMPLAINT)
+    seen = report.Counted()
+    annotated = A.annotate_full(df, model, inspect=seen.answers, **options)
+    stored = _stored(spark, annotated.select(*ANNOTATED_COMPLAINT.fieldNames()))
+    writers.write_csv(stored, f"{output_dir}/annotated")
+    done = is_complete(options.get("nullable", ()))
+    seen.values.update(records.export_counts(stored, options.get("nullable", ())).first().asDict())
+    seen.values["empty_summaries"] = stored.filter(done & (F.col("summary") == "")).count()
+    seen.saved(spark, f"{output_dir}/counters")
     training = records.instruction_records(stored, options.get("nullable", ()))
     writers.write_json(training, f"{output_dir}/training")
     return report.label_distributions(stored, ("intent", "kategori", "urgency", "sentiment"))
@@ -102,11 +120,11 @@ def run_urgency_annotation(
     """Fill the urgency column; returns its distribution and two sample rows per level."""
     prepare(spark)
     df = _labelled_input(spark, clean_path, previous_path, ("urgency",), URGENCY_COMPLAINT)
-    annotated = A.annotate_urgency(df, model, **options)
-    writers.write_csv(
-        annotated.select(*URGENCY_COMPLAINT.fieldNames()), f"{output_dir}/urgency"
-    )
-    stored = readers.read_csv(spark, f"{output_dir}/urgency", URGENCY_COMPLAINT)
+    seen = report.Counted()
+    annotated = A.annotate_urgency(df, model, inspect=seen.answers, **options)
+    stored = _stored(spark, annotated.select(*URGENCY_COMPLAINT.fieldNames()))
+    writers.write_csv(stored, f"{output_dir}/urgency")
+    seen.saved(spark, f"{output_dir}/counters")
     samples = report.samples_per_label(
         stored, "urgency", "id", values=("high", "medium", "low"), limits={"judul": 80, "isi": 100}
     )
@@ -125,10 +143,14 @@ def annotated_with(
 def run_conversion(spark: SparkSession, input_path: str, output_dir: str) -> DataFrame:
     """Training JSON lines of schema 1 to schema 2; bad lines go to the quarantine."""
     prepare(spark)
-    converted = readers.read_converted_jsonl(spark, input_path)
+    seen = report.Counted()
+    lines = readers.read_converted_jsonl(spark, input_path)
+    converted = _stored(spark, seen.count(lines, "lines", converted=F.col("record").isNotNull()))
     writers.write_records(converted, f"{output_dir}/training")
     _, bad = records.split_bad(converted)
     bad.select("value").write.mode("errorifexists").text(f"{output_dir}/quarantine")
+    seen.values["errors"] = seen.values["lines"] - seen.values["converted"]
+    seen.saved(spark, f"{output_dir}/counters")
     return converted_distributions(converted)
 
 
@@ -202,8 +224,35 @@ def complaints_from_pages(
     rules: dict[str, dict] | None = None,
     order: str = "url",
 ) -> DataFrame:
-    """Stored pages -> complaint table without repeated ids, added to what is known."""
-    fields = quality.flag_incomplete(pages.page_fields(stored_pages, rules))
+    """Stored pages -> complaint table without repeated ids, added to what is known.
+
+    Of pages with one id the first in ``order`` counts, any column of the stored pages that
+    tells when a page was fetched.
+    """
+    keep = () if order in PAGE_FIELDS.fieldNames() else (order,)
+    fields = quality.flag_incomplete(pages.page_fields(stored_pages, rules, keep))
     if known is None:
-        return quality.keep_first(fields, ["id"], order)
-    return ingest.ingest(fields, known, order)
+        first = quality.keep_first(fields, ["id"], order)
+    else:
+        first = ingest.ingest(fields, known, order)
+    return first.drop(*keep)
+
+
+def run_complaints_from_pages(
+    spark: SparkSession,
+    stored_pages: DataFrame,
+    output_dir: str,
+    known: DataFrame | None = None,
+    rules: dict[str, dict] | None = None,
+    order: str = "url",
+) -> DataFrame:
+    """As :func:`complaints_from_pages`, saved as CSV and JSON; returns the counters."""
+    prepare(spark)
+    path = f"{output_dir}/complaints"
+    seen = report.Counted()
+    found = seen.count(complaints_from_pages(stored_pages, known, rules, order), "complaints", incomplete=F.col("is_incomplete"))
+    found.write.mode("errorifexists").parquet(path)
+    table = spark.read.schema(found.schema).parquet(path)
+    writers.write_csv(table, f"{output_dir}/csv")
+    writers.write_json(table, f"{output_dir}/json")
+    return seen.saved(spark, f"{output_dir}/counters")

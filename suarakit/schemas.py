@@ -1,4 +1,4 @@
-"""Explicit table schemas; no reader infers types."""
+"""Explicit table schemas; no reader infers types. The column names."""
 
 from pyspark.sql import types as T
 
@@ -18,16 +18,8 @@ ANNOTATED_COMPLAINT = T.StructType(
 URGENCY_COMPLAINT = T.StructType(
     _strings("id", "judul", "isi", "kategori", "input_text", "urgency")
 )
-PAGE = T.StructType(_strings("url", "html"))
 PAGE_FIELDS = RAW_COMPLAINT
 VECTOR_ROW = T.StructType(
     _strings("complaint_id", "text", "category")
     + [T.StructField("embedding", T.ArrayType(T.FloatType()), True)]
 )
-CRAWL_LOG = T.StructType(
-    [
-        T.StructField("source", T.StringType(), True),
-        T.StructField("page", T.LongType(), True),
-        T.StructField("n_links", T.LongType(), True),
-    ]
-)

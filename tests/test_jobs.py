@@ -48,6 +48,7 @@ def test_preprocessing(spark, tmp_path):
     assert list(records[0]["label"]) == ["kategori"] + [c for c in LABEL_COLUMNS if c != "kategori"]
     assert records[0]["label"]["summary"] is None
     assert [r["id"] for r in lines(f"{out}/quarantine")] == ["x3"]
+    assert lines(f"{out}/counters") == [{"read": 5, "kept": 3, "removed": 2}]
 
 
 def answering(text):
@@ -77,6 +78,9 @@ def test_full_annotation_resumes(spark, tmp_path):
     assert {(r["field"], r["value"]): r["count"] for r in counts.collect()} == {
         ("intent", "non-complaint"): 3, ("category", "lainnya"): 3, ("urgency", "low"): 3, ("sentiment", "neutral"): 3}
     assert len(lines(f"{tmp_path}/e/training")) == 3
+    assert lines(f"{tmp_path}/e/counters") == [{"lines": 3, "converted": 3, "errors": 0}]
+    assert lines(f"{tmp_path}/d/counters") == [{"written": 3, "skipped": 0, "empty_summaries": 0}]
+    assert lines(f"{tmp_path}/b/counters") == [{"answers_ok": 3, "written": 0, "skipped": 3, "empty_summaries": 0}]
 
 
 def test_urgency_annotation(spark, tmp_path):
@@ -125,3 +129,13 @@ def test_csv_order_follows_the_file(spark, tmp_path):
     write_csv(tmp_path / "raw.csv", [[str(i), "j", f"b\n{i}", "k", "u"] for i in range(50)])
     df = readers.with_order(readers.read_csv(spark, str(tmp_path / "raw.csv")))
     assert [r["id"] for r in df.orderBy("seq").collect()] == [str(i) for i in range(50)]
+
+
+def test_pages_are_saved_in_crawl_order(spark, tmp_path):
+    rules = {"id": {"tag": "b"}, "judul": {"tag": "h1"}, "isi": {"tag": "p"}}
+    page = "<b>#7</b><h1>{}</h1><p>body</p>".format
+    rows = [("z", page("first"), 1), ("a", page("second"), 2), ("m", None, 0)]
+    df = spark.createDataFrame(rows, "url string, html string, fetched int")
+    counts = jobs.run_complaints_from_pages(spark, df, str(tmp_path / "o"), rules=rules, order="fetched").first()
+    assert counts.asDict() == {"complaints": 1, "incomplete": 0}
+    assert [(r["id"], r["judul"]) for r in lines(f"{tmp_path}/o/json")] == [("7", "first")]
