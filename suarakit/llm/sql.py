@@ -10,7 +10,40 @@ _BASE32 = f"""array_to_string(list_transform(range(0, 32), lambda i: substr('{_D
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+# Kind, its place in the order, pattern, and the group that holds the value.
+_KINDS = (
+    ("assign", r"""((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 2),
+    ("access", "AKIA[A-Z0-9]+", 0),
+    ("hex", "[0-9a-f]{16,}", 0),
+    ("opaque", "[A-Za-z0-9+/_-]{20,}", 0),
+)
+_MATCHES = " UNION ALL ".join(
+    f"SELECT doc_id, source, '{kind}' AS kind, {rank} AS rank, string_split_regex(t, '{pattern}') AS gaps, "
+    f"regexp_extract_all(t, '{pattern}') AS hits, regexp_extract_all(t, '{pattern}', {group}) AS vals "
+    f"FROM t WHERE regexp_matches(t, '{pattern}')"
+    for rank, (kind, pattern, group) in enumerate(_KINDS)
+)
+_SIZE = "coalesce(list_sum(list_transform({}, lambda g: length(g))), 0)".format
+_LISTED = "string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, rank, b)"
+
 SQL: dict[str, str] = {
+    "op4_secret_ownership": f"""WITH t AS MATERIALIZED (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
+m AS MATERIALIZED ({_MATCHES}),
+p AS (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM m),
+s AS MATERIALIZED (SELECT doc_id, source, kind, rank, vals[i] AS value, length(hits[i]) AS n,
+  ({_SIZE('gaps[1:i]')} + {_SIZE('hits[1:i - 1]')})::BIGINT AS a FROM p
+  WHERE CASE kind WHEN 'assign' THEN length(vals[i]) >= 12 WHEN 'access' THEN length(hits[i]) >= 18
+    WHEN 'opaque' THEN regexp_matches(hits[i], '[A-Za-z]') AND regexp_matches(hits[i], '[0-9]') ELSE true END),
+own AS (SELECT value, count(DISTINCT coalesce(source, chr(0))) >= 3 AS example FROM s GROUP BY value),
+f AS MATERIALIZED (SELECT s.*, a + n AS b, example, s.kind <> 'opaque' AS base FROM s JOIN own USING (value)),
+kept AS MATERIALIZED (SELECT * FROM f WHERE base OR (NOT example AND NOT EXISTS (SELECT 1 FROM f g
+  WHERE g.doc_id = f.doc_id AND g.base AND g.a <= f.a AND g.b >= f.b))),
+d AS (SELECT doc_id, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access,
+  count(*) FILTER (WHERE kind = 'hex') AS n_hex, {_LISTED} FILTER (WHERE base) AS base_spans, {_LISTED} AS spans,
+  count(*) FILTER (WHERE NOT example) AS n_owned, count(*) FILTER (WHERE example) AS n_example FROM kept GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex,
+  sha256(coalesce(base_spans, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_owned, 0)::BIGINT AS n_owned,
+  coalesce(n_example, 0)::BIGINT AS n_example FROM t LEFT JOIN d USING (doc_id)""",
     "op1_warc_chunks": f"""WITH p AS MATERIALIZED (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x FROM pages),
 n AS (SELECT x, max(page_id) AS newest FROM p GROUP BY x)
 SELECT page_id, strlen(h) AS payload_bytes, {_BASE32} AS payload_digest,
