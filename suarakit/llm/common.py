@@ -61,10 +61,10 @@ def bit_map(hashes: DataFrame, column: str, per_member: int = 16, most_bits: int
         hashes.select(F.shiftright(at, 6).alias("w"), at.bitwiseAND(F.lit(63)).cast("int").alias("b"))
         .groupBy("w")
         .agg(F.bit_or(F.expr("shiftleft(1L, b)")).alias("m"))
-        .toPandas()
+        .toArrow()
     )
     out = np.zeros(bits // 64, np.uint64)
-    out[words["w"].to_numpy(np.int64)] = words["m"].to_numpy(np.int64).view(np.uint64)
+    out[words["w"].to_numpy()] = words["m"].to_numpy().view(np.uint64)
     return out
 
 

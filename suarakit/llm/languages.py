@@ -81,12 +81,13 @@ def learn(rows: DataFrame, smoothing: float = 0.5) -> Model:
     small_batches(rows.sparkSession)
     known = rows.where("lang is not null and text is not null").select(F.col("lang").cast("string"), F.col("text").cast("string"))
     counts = known.mapInArrow(_count_batches, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    table = counts.toPandas()
-    languages = sorted(table["lang"].unique())
+    table = counts.toArrow()
+    names = table["lang"].combine_chunks().dictionary_encode()
+    languages = sorted(names.dictionary.to_pylist())
     dense = np.full((BUCKETS, len(languages)), smoothing)
-    at = table["lang"].map({name: i for i, name in enumerate(languages)})
+    place = np.array([languages.index(name) for name in names.dictionary.to_pylist()], np.int64)
     if len(table):
-        dense[table["bucket"].to_numpy(), at.to_numpy(np.int64)] += table["n"].to_numpy()
+        dense[table["bucket"].to_numpy(), place[names.indices.to_numpy()]] += table["n"].to_numpy()
     return Model(languages, np.log(dense / dense.sum(axis=0, keepdims=True)).astype(np.float32))
 
 

@@ -111,51 +111,56 @@ def _log_gamma(x: np.ndarray) -> np.ndarray:
 
 def kt_log_probability(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """Krichevsky-Trofimov probability (natural log) of any sequence with these counts."""
-    zeros, ones = zeros.astype(np.float64), ones.astype(np.float64)
-    return _log_gamma(zeros + 0.5) + _log_gamma(ones + 0.5) - _log_gamma(zeros + ones + 1) - np.log(np.pi)
+    out = np.zeros(zeros.shape)
+    seen = (zeros > 0) | (ones > 0)  # few nodes: the others have probability one
+    a, b = zeros[seen].astype(np.float64), ones[seen].astype(np.float64)
+    out[seen] = _log_gamma(a + 0.5) + _log_gamma(b + 0.5) - _log_gamma(a + b + 1) - np.log(np.pi)
+    return out
 
 
 def weigh(depths: np.ndarray, parents: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """log10 probability of every next byte (256 columns) after every context.
 
     ``counts`` are next-byte counts of contexts in order of depth, ``parents`` the place of the
-    context one byte shorter (-1 for the root). All contexts and all nodes of one bit are
-    handled together; the working memory is a few arrays of half the size of the result.
+    context one byte shorter (-1 for the root). Each of the 255 binary decisions has its own
+    tree, so they are handled one after another: beside the result only a few vectors are held.
     """
     n = len(depths)
-    result = np.zeros((n, 1))
+    result = np.zeros((n, 256), np.float32)
+    below = np.flatnonzero(parents >= 0)
     has_child = np.zeros(n, bool)
-    has_child[parents[parents >= 0]] = True
+    has_child[parents[below]] = True
     levels = [np.flatnonzero(depths == d) for d in range(int(depths.max()) + 1)]
-    rest = counts.astype(np.int64).copy()
-    np.subtract.at(rest, parents[parents >= 0], counts[parents >= 0])
     half = np.log(0.5)
-    for bit in range(8):
-        split = counts.reshape(n, 1 << bit, 2, -1).sum(axis=3)
-        rest_split = rest.reshape(n, 1 << bit, 2, -1).sum(axis=3)
-        own = kt_log_probability(split[:, :, 0], split[:, :, 1])
-        children = np.where(has_child[:, None], kt_log_probability(rest_split[:, :, 0], rest_split[:, :, 1]), 0.0)
+    for node in range(1, 256):
+        bit = node.bit_length() - 1
+        width = 256 >> bit
+        low = (node - (1 << bit)) * width
+        middle, high = low + width // 2, low + width
+        zeros, ones = counts[:, low:middle].sum(axis=1), counts[:, middle:high].sum(axis=1)
+        # Occurrences of a context that belong to none of its kept longer contexts are a leaf.
+        rest_zeros, rest_ones = zeros.copy(), ones.copy()
+        np.subtract.at(rest_zeros, parents[below], zeros[below])
+        np.subtract.at(rest_ones, parents[below], ones[below])
+        own = kt_log_probability(zeros, ones)
+        children = np.where(has_child, kt_log_probability(rest_zeros, rest_ones), 0.0)
         weighted = own.copy()
         for rows in reversed(levels):
             inner = rows[has_child[rows]]
             weighted[inner] = np.logaddexp(half + own[inner], half + children[inner])
             up = rows[parents[rows] >= 0]
             np.add.at(children, parents[up], weighted[up])
-        share = np.where(has_child[:, None], np.exp(np.minimum(0.0, half + own - weighted)), 1.0)
-        one = (split[:, :, 1] + 0.5) / (split.sum(axis=2) + 1)
-        rest_one = (rest_split[:, :, 1] + 0.5) / (rest_split.sum(axis=2) + 1)
+        share = np.where(has_child, np.exp(np.minimum(0.0, half + own - weighted)), 1.0)
         # What the contexts from the root down to this one contribute, and the weight that is left.
-        mixed, left = share * one, 1 - share
+        mixed, left = share * ((ones + 0.5) / (zeros + ones + 1)), 1 - share
         for rows in levels[1:]:
             up = parents[rows]
             mixed[rows] = mixed[up] + left[up] * mixed[rows]
             left[rows] = left[up] * left[rows]
-        one = np.clip(mixed + left * rest_one, 1e-12, 1 - 1e-12)
-        longer = np.empty((n, 2 << bit))
-        longer[:, 0::2] = result + np.log10(1 - one)
-        longer[:, 1::2] = result + np.log10(one)
-        result = longer
-    return result.astype(np.float32)
+        one = np.clip(mixed + left * (rest_ones + 0.5) / (rest_zeros + rest_ones + 1), 1e-12, 1 - 1e-12)
+        result[:, low:middle] += np.log10(1 - one).astype(np.float32)[:, None]
+        result[:, middle:high] += np.log10(one).astype(np.float32)[:, None]
+    return result
 
 
 class Model(NamedTuple):
@@ -191,31 +196,28 @@ def learn(rows: DataFrame, depth: int = 5, most_contexts: int = 1 << 15, most_wo
     followed = written(paths.groupBy("depth", "context", "byte").agg(F.sum("n").alias("n")), "followed")
     # A shorter context is at least as frequent, and first among equals: what is kept is a tree.
     kept = followed.groupBy("depth", "context").agg(F.sum("n").alias("total")).orderBy(F.desc("total"), "depth", "context").limit(most_contexts)
-    table = followed.join(F.broadcast(kept.select("depth", "context")), ["depth", "context"]).toPandas()
-
-    keys, places, parts, at = [], [], [], 0
-    depths, parents = [], []
-    dense = None
+    table = followed.join(F.broadcast(kept.select("depth", "context")), ["depth", "context"]).toArrow()
+    at_depth, context, byte, count = (table[c].to_numpy() for c in ("depth", "context", "byte", "n"))
+    del table
+
+    keys = [np.unique(context[at_depth == d]).astype(np.uint64) for d in range(depth + 1)]
+    if not len(keys[0]):
+        keys[0] = np.zeros(1, np.uint64)
+    edges = np.append(0, np.cumsum([len(k) for k in keys]))
+    places = [np.arange(a, b) for a, b in zip(edges[:-1], edges[1:])]
+    dense, parents = np.zeros((edges[-1], 256), np.int64), np.full(edges[-1], -1)
     for d in range(depth + 1):
-        here = table[table["depth"] == d]
-        contexts = np.unique(here["context"].to_numpy(np.int64).astype(np.uint64))
-        block = np.zeros((len(contexts), 256), np.int64)
-        np.add.at(block, (np.searchsorted(contexts, here["context"].to_numpy(np.int64).astype(np.uint64)), here["byte"].to_numpy(np.int64)), here["n"].to_numpy(np.int64))
-        if d == 0 and not len(contexts):
-            contexts, block = np.zeros(1, np.uint64), np.zeros((1, 256), np.int64)
-        shorter = contexts & np.uint64((1 << 8 * max(d - 1, 0)) - 1)
-        parents.append(places[-1][np.searchsorted(keys[-1], shorter)] if d else np.full(len(contexts), -1))
-        keys.append(contexts)
-        places.append(np.arange(at, at + len(contexts)))
-        depths.append(np.full(len(contexts), d))
-        parts.append(block)
-        at += len(contexts)
-    dense = np.concatenate(parts)
-    weights = weigh(np.concatenate(depths), np.concatenate(parents).astype(np.int64), dense)
-    frequent = words.orderBy(F.desc("n"), "code").limit(most_words).toPandas()
-    hashes = frequent["code"].to_numpy(np.int64).view(np.uint64)
+        here = at_depth == d
+        rows = edges[d] + np.searchsorted(keys[d], context[here].astype(np.uint64))
+        dense[rows, byte[here]] = count[here]
+        if d:
+            shorter = keys[d] & np.uint64((1 << 8 * (d - 1)) - 1)
+            parents[places[d]] = edges[d - 1] + np.searchsorted(keys[d - 1], shorter)
+    weights = weigh(np.repeat(np.arange(depth + 1), np.diff(edges)), parents, dense)
+    frequent = words.orderBy(F.desc("n"), "code").limit(most_words).toArrow()
+    hashes, often = frequent["code"].to_numpy().view(np.uint64), frequent["n"].to_numpy()
     order = np.argsort(hashes)
-    model = Model(depth, keys, places, weights, hashes[order], frequent["n"].to_numpy(np.int64)[order], int(n), int(v))
+    model = Model(depth, keys, places, weights, hashes[order], often[order], int(n), int(v))
     return model, words
 
 

@@ -109,8 +109,10 @@ def test_nothing_learnt_or_scored(spark):
     assert tree.score(fixtures.nothing(spark), model, words).count() == 0
 
 
-def test_better_than_the_base_on_held_out_text(spark, sf_dir):
+def test_held_out_text_compresses(spark, sf_dir):
     from suarakit.llm.queries import QUERIES
 
-    out = QUERIES["op6_context_tree"](spark, sf_dir).where("held_out").agg(F.sum("score"), F.sum("base_score"), F.avg("bits_per_byte")).first()
-    assert out[0] > out[1] and out[2] < 4
+    out = QUERIES["op6_context_tree"](spark, sf_dir)
+    rows = {r.held_out: r for r in out.groupBy("held_out").agg(F.avg("bits_per_byte").alias("bits"), F.count("*").alias("n")).collect()}
+    # Letters by frequency alone take more than four bits.
+    assert rows[True].bits < 3 and rows[False].bits <= rows[True].bits
