@@ -11,7 +11,7 @@ from suarakit.catalog.tables import SLANG_TEXT, documents, slang_text, table
 from suarakit.functions import vectors
 from suarakit.operators.embed import embed
 from suarakit.operators.near_duplicates import check_duplicates, deduplicate_arrivals
-from suarakit.operators.neighbours import nearest
+from suarakit.operators.neighbours import Lsh, nearest
 from suarakit.plans import jobs
 from suarakit.session import materialise, scratch_path
 from suarakit.sources import writers
@@ -117,7 +117,8 @@ def dup_lsh(spark, sf):
     )
     both = materialise(both)
     exact = nearest(both, e).select("id", F.col("similarity").alias("top"), F.col("nearest_id").alias("top_id"))
-    found = nearest(both, e, method="lsh").join(exact, "id")
+    # A layout of few cells: the fixture's store is small.
+    found = nearest(both, e, method="lsh", lsh=Lsh(bands=32, bits=8)).join(exact, "id")
     mine = both.select(F.col("vec_id").alias("id"), F.col("embedding").alias("v"))
     theirs = e.select(F.col("vec_id").alias("nearest_id"), F.col("embedding").alias("w"))
     again = found.join(mine, "id").join(theirs, "nearest_id", "left")
