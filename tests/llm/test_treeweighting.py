@@ -116,3 +116,18 @@ def test_held_out_text_compresses(spark, sf_dir):
     rows = {r.held_out: r for r in out.groupBy("held_out").agg(F.avg("bits_per_byte").alias("bits"), F.count("*").alias("n")).collect()}
     # Letters by frequency alone take more than four bits.
     assert rows[True].bits < 3 and rows[False].bits <= rows[True].bits
+
+
+@pytest.mark.parametrize("most", [1, 40])
+def test_contexts_that_are_not_looked_up_score_as_by_the_book(spark, most):
+    training = ["abracadabra", "abra abra", "the cat sat", "über", "", "a much rarer text, seen once"]
+    texts = ["abracadabra", "a much rarer", "", "zzz", "über the cat", "once"]
+    docs = spark.createDataFrame([*enumerate(texts), (0, texts[0])], "doc_id bigint, text string")
+    for depth in (2, 5):
+        rows = spark.createDataFrame([(t,) for t in training], "text string")
+        model, words = tree.learn(rows, depth=depth, most_contexts=most, most_codes=most)
+        got = tree.score(docs, model, words).collect()
+        assert len(got) == len(texts) + 1 and len(model.codes) == most
+        for r in got:
+            wanted = reference_log2([t.encode() for t in training], texts[r.id].encode(), depth) * math.log10(2)
+            assert r.score == pytest.approx(wanted, rel=1e-5, abs=1e-5), (depth, texts[r.id])
