@@ -1,11 +1,14 @@
 """Line de-duplication by content-defined chunks of lines.
 
-Lines are folded at sentence and clause ends and at words picked by their hash, so that a
-passage is several lines wherever it stands in a paragraph. A chunk ends after the line whose
-rolling hash is smallest within a window of neighbouring lines; where chunks end depends on
-nearby lines alone, so a shared passage is cut alike in every document: any span of
-2 * window + 1 shared lines holds at least one whole chunk. Chunks that occur more than once
-anywhere are compared byte by byte with their first occurrence, the match is extended line by
+Lines are folded at sentence and clause ends and at the word whose hash is smallest among FOLD
+neighbouring ones, so that no line is longer than FOLD words wherever a passage stands in a
+paragraph. A chunk ends after the line whose rolling hash is smallest within a window of
+neighbouring lines; where chunks end depends on nearby lines alone, so a shared passage is cut
+alike in every document. An anchor is the first lines from where a chunk starts: at least two, and
+at least five words. Of a shared span, the first line end that is alike comes after at most
+2 * FOLD - 1 words, a chunk starts at most WINDOW + 1 lines later, its anchor has at most 2 * FOLD
+words, and line ends are alike up to FOLD - 1 words before the span's end: any 50 shared words hold
+an anchor. Anchors that occur more than once anywhere are compared byte by byte with their first occurrence, the match is extended line by
 line to both sides, and long enough runs of matched lines are removed, except where they come first.
 """
 
@@ -24,7 +27,7 @@ from suarakit.llm import arrays
 from suarakit.llm.common import bit_map, column, fresh, in_bit_map, small_batches, text_key, written
 
 WINDOW = 4  # lines among which the smallest rolling hash ends a chunk
-FOLD = 6  # one word in so many ends a line besides punctuation
+FOLD = 5  # words among which the smallest hash ends a line, besides punctuation
 AROUND = 5  # lines on each side of a chunk that a match may be extended by
 
 _ENDS = np.zeros(256, bool)
@@ -41,6 +44,20 @@ class Lines(NamedTuple):
     first: np.ndarray
 
 
+def _smallest(values: np.ndarray, row: np.ndarray, window: int, last: np.ndarray) -> None:
+    """Mark in ``last`` the smallest (of equal ones the last) value of every window within a row."""
+    windows = len(values) - window + 1
+    if windows < 1:
+        return
+    best, at = values[:windows].copy(), np.zeros(windows, np.int64)
+    for j in range(1, window):
+        lower = values[j : j + windows] <= best
+        best[lower] = values[j : j + windows][lower]
+        at[lower] = j
+    within = row[:windows] == row[window - 1 :][:windows]
+    last[(np.arange(windows) + at)[within]] = True
+
+
 def fold(piece: arrays.Piece) -> Lines:
     words = arrays.runs(piece, arrays.NOT_SPACE)
     n = len(words.starts)
@@ -48,8 +65,8 @@ def fold(piece: arrays.Piece) -> Lines:
         none = np.zeros(0, np.int64)
         return Lines(none, none, np.zeros(0, np.uint64), none, np.zeros(len(piece.starts) + 1, np.int64))
     sums = arrays.prefix_hashes(piece.data)
-    picked = arrays.span_hashes(sums, words.starts, words.ends) % np.uint64(FOLD) == 0
-    last = picked | _ENDS[piece.data[words.ends - 1]]
+    last = _ENDS[piece.data[words.ends - 1]]
+    _smallest(arrays.span_hashes(sums, words.starts, words.ends), words.row, FOLD, last)
     last[words.first[1:][np.diff(words.first) > 0] - 1] = True
     # A line feed between this word and the next.
     feeds = np.zeros(len(piece.data) + 1, np.int32)
@@ -81,15 +98,7 @@ def cut(lines: Lines, window: int = WINDOW) -> Chunks:
     rolling = lines.hashes.copy()
     if n > 1:  # over two lines of a row
         rolling[1:] = np.where(row[1:] == row[:-1], arrays.mix(lines.hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + lines.hashes[1:]), rolling[1:])
-    if n >= window:
-        windows = n - window + 1
-        best, at = rolling[:windows].copy(), np.zeros(windows, np.int64)
-        for j in range(1, window):
-            lower = rolling[j : j + windows] <= best
-            best[lower] = rolling[j : j + windows][lower]
-            at[lower] = j
-        within = row[:windows] == row[window - 1 :][:windows]
-        last[(np.arange(windows) + at)[within]] = True
+    _smallest(rolling, row, window, last)
     high = np.flatnonzero(last) + 1
     low = np.append(0, high[:-1]) if len(high) else high
     sums = np.zeros(n + 1, np.uint64)
@@ -98,8 +107,16 @@ def cut(lines: Lines, window: int = WINDOW) -> Chunks:
     return Chunks(low, high, arrays.span_hashes(sums, low, high), counted[high] - counted[low], row[low] if n else row)
 
 
-def _anchors(chunks: Chunks, least_words: int) -> np.ndarray:
-    return np.flatnonzero((chunks.high - chunks.low >= 2) & (chunks.n_words >= least_words))
+def _anchors(lines: Lines, chunks: Chunks, least_words: int) -> Chunks:
+    """From where each chunk starts, two lines and on to ``least_words`` words; none goes past its row."""
+    counted = np.append(0, np.cumsum(lines.n_words))
+    high = np.maximum(chunks.low + 2, np.searchsorted(counted, counted[chunks.low] + least_words))
+    fits = high <= lines.first[chunks.row + 1]
+    low, high, row = chunks.low[fits], high[fits], chunks.row[fits]
+    n = len(lines.starts)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(lines.hashes * arrays.powers(max(n, 1))[:n], out=sums[1:])
+    return Chunks(low, high, arrays.span_hashes(sums, low, high), counted[high] - counted[low], row)
 
 
 def _count_batches(least_words: int):
@@ -108,8 +125,8 @@ def _count_batches(least_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in arrays.pieces(batch.column(0), 4 * arrays.PIECE):
-                chunks = cut(fold(piece))
-                hashes, counts = np.unique(chunks.hashes[_anchors(chunks, least_words)], return_counts=True)
+                lines = fold(piece)
+                hashes, counts = np.unique(_anchors(lines, cut(lines), least_words).hashes, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts)], names=["h", "n"])
 
     return run
@@ -128,9 +145,8 @@ def _run_batches(least_words: int, probe):
         for batch in batches:
             for piece in arrays.pieces(batch.column(2)):
                 lines = fold(piece)
-                chunks = cut(lines)
-                found = _anchors(chunks, least_words)
-                found = found[in_bit_map(probe.value, chunks.hashes[found])]
+                chunks = _anchors(lines, cut(lines), least_words)
+                found = np.flatnonzero(in_bit_map(probe.value, chunks.hashes))
                 if not len(found):
                     continue
                 rows = chunks.row[found]

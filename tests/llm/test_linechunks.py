@@ -102,3 +102,28 @@ def test_same_result_however_rows_are_dealt(spark):
     a = sorted(map(repr, linechunks.remove_repeats(docs.repartition(1)).collect()))
     b = sorted(map(repr, linechunks.remove_repeats(docs.repartition(9)).collect()))
     assert a == b
+
+
+def test_fifty_words_in_mid_sentence_share_an_anchor():
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(1, 6)))
+    for trial in range(600):
+        few = [word() for _ in range(3)] if trial % 5 == 0 else None
+        passage = " ".join((rng.choice(few) if few else word()) + ("." if rng.random() < (trial % 3) * 0.13 else "") for _ in range(50))
+        anchors = []
+        for _ in range(2):
+            text = " ".join([*(word() for _ in range(rng.randrange(1, 40))), passage, *(word() for _ in range(rng.randrange(1, 40)))])
+            lines = linechunks.fold(next(arrays.pieces(pa.array([text]))))
+            assert lines.n_words.max() <= linechunks.FOLD
+            anchors.append(set(linechunks._anchors(lines, linechunks.cut(lines), 5).hashes.tolist()))
+        assert anchors[0] & anchors[1], passage
+
+
+def test_unpunctuated_passages_of_51_words_go(spark):
+    rng = random.Random(13)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 7)))
+    passages = [[word() for _ in range(51)] for _ in range(60)]
+    texts = [" ".join([word() for _ in range(20)] + p + [word() for _ in range(20)]) for _ in range(2) for p in passages]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    gone = {r.doc_id: r.gone for r in linechunks.remove_repeats(df, counts="gone").collect()}
+    assert all(gone[i] == 0 and gone[i + 60] >= 41 for i in range(60))
