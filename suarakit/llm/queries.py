@@ -11,6 +11,7 @@ from suarakit.llm import (
     languages,
     linechunks,
     mixing,
+    periodic,
     simhash,
     sketches,
     treeweighting,
@@ -115,6 +116,23 @@ def op10_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    number = F.crc32(F.col("doc_id").cast("string"))
+    given = docs.select("doc_id", periodic.with_tail_repeated(F.col("text"), number).alias("text"))
+    found = periodic.periodic_runs(given).withColumn("best", periodic.longest(F.col("runs")))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.size("runs").cast("bigint").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(periodic.listed(F.col("runs")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -132,5 +150,6 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_line_chunks": op9_line_chunks,
     "op10_language_mixture": op10_language_mixture,
+    "op12_periodic_runs": op12_periodic_runs,
     "pipeline": pipeline,
 }
