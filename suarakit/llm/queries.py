@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from suarakit.llm import (
+    collocations,
     credentials,
     grading,
     languages,
@@ -116,6 +117,10 @@ def op10_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(collocations.frequent_phrases(_table(spark, sf_dir, "documents")))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     number = F.crc32(F.col("doc_id").cast("string"))
@@ -150,6 +155,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_line_chunks": op9_line_chunks,
     "op10_language_mixture": op10_language_mixture,
+    "op11_collocations": op11_collocations,
     "op12_periodic_runs": op12_periodic_runs,
     "pipeline": pipeline,
 }

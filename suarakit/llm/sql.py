@@ -64,4 +64,24 @@ items AS (SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
   sha256(coalesce(names, '')) AS items_sha256, coalesce(n, 0) > 0 AND 20 * coalesce(n, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op11_collocations": f"""WITH d AS (SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang, {_LOWER} AS t FROM documents),
+p AS (SELECT doc, lang, unnest(string_split_regex(t, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM d),
+w AS (SELECT row_number() OVER () AS piece, lang, words FROM (
+  SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS words FROM p) WHERE len(words) > 0),
+size AS (SELECT lang, sum(len(words))::HUGEINT AS n FROM w GROUP BY lang),
+g AS (SELECT lang, k, words[i:i + k - 1] AS words FROM (SELECT lang, k, words, unnest(range(1, len(words) - k + 2)) AS i
+  FROM w, (SELECT unnest(range(1, 6)) AS k) WHERE len(words) >= k)),
+f AS MATERIALIZED (SELECT lang, k, array_to_string(words, ' ') AS phrase, any_value(words) AS words, count(*)::HUGEINT AS a
+  FROM g GROUP BY lang, k, array_to_string(words, ' ') HAVING count(*) >= 100),
+inside AS (SELECT DISTINCT lang, array_to_string(words[i:i + m - 1], ' ') AS phrase, a FROM (
+  SELECT lang, words, k, a, m, unnest(range(1, k - m + 2)) AS i FROM f, (SELECT unnest(range(2, 5)) AS m) WHERE m < k)),
+c AS (SELECT * FROM f WHERE k > 1 AND NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = f.lang AND i.phrase = f.phrase AND i.a >= f.a)),
+cuts AS (SELECT c.lang, c.phrase, c.a, j, l.a AS l, r.a AS r, n, 1000 * c.a * n // (l.a * r.a) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM c) c JOIN size USING (lang)
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.words[:j], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.words[j + 1:], ' ')),
+worst AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM worst)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked WHERE rank <= 2000""",
 }

@@ -16,6 +16,7 @@ CONTRACT = {
     "op8_simhash": "doc_id fingerprint component_id",
     "op9_line_chunks": "doc_id text words_removed",
     "op10_language_mixture": "doc_id held_out lang_pred score",
+    "op11_collocations": "lang rank phrase a l r n score",
     "op12_periodic_runs": "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
 }
 
