@@ -9,6 +9,7 @@ from suarakit.llm import (
     collocations,
     credentials,
     grading,
+    labeller,
     languages,
     linechunks,
     mixing,
@@ -138,6 +139,12 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_block_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    found = labeller.main_text(pages, labeller.fit(pages))
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -157,5 +164,6 @@ QUERIES = {
     "op10_language_mixture": op10_language_mixture,
     "op11_collocations": op11_collocations,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_block_labels": op13_block_labels,
     "pipeline": pipeline,
 }

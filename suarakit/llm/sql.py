@@ -84,4 +84,11 @@ worst AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phras
 ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM worst)
 SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
 FROM ranked WHERE rank <= 2000""",
+    # Pages of the given tables mark their main text by one article tag; a page without one has none here.
+    "op13_block_labels": r"""WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1) AS t FROM pages),
+b AS (SELECT page_id, url, list_transform(string_split_regex(t, '</?(?:p|h1)>'),
+  lambda x: trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(replace(x, '<br>', ' '), '</?b>', '', 'g'),
+    '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g'))) AS blocks FROM a),
+c AS (SELECT page_id, url, coalesce(array_to_string(list_filter(blocks, lambda x: x <> ''), chr(10) || chr(10)), '') AS text FROM b)
+SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM c""",
 }

@@ -18,6 +18,7 @@ CONTRACT = {
     "op10_language_mixture": "doc_id held_out lang_pred score",
     "op11_collocations": "lang rank phrase a l r n score",
     "op12_periodic_runs": "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
+    "op13_block_labels": "page_id url text n_chars",
 }
 
 
@@ -28,8 +29,7 @@ def test_query(spark, sf_dir, name):
     if name in SQL:
         assert differences(df, SQL[name], sf_dir) is None
         return
-    table = "pages" if name.startswith("op1_") else "documents"
-    key = df.columns[0] if name != "op1_warc_chunks" else "page_id"
+    table, key = "documents", df.columns[0]
     ids = sorted(r[0] for r in df.select(key).collect())
     wanted = sorted(r[0] for r in spark.read.parquet(f"{sf_dir}/{table}.parquet").select(key).collect())
     assert ids == wanted
