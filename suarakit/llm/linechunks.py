@@ -4,12 +4,14 @@ Lines are folded at sentence and clause ends and at the word whose hash is small
 neighbouring ones, so that no line is longer than FOLD words wherever a passage stands in a
 paragraph. A chunk ends after the line whose rolling hash is smallest within a window of
 neighbouring lines; where chunks end depends on nearby lines alone, so a shared passage is cut
-alike in every document. An anchor is the first lines from where a chunk starts: at least two, and
-at least five words. Of a shared span, the first line end that is alike comes after at most
-2 * FOLD - 1 words, a chunk starts at most WINDOW + 1 lines later, its anchor has at most 2 * FOLD
-words, and line ends are alike up to FOLD - 1 words before the span's end: any 50 shared words hold
-an anchor. Anchors that occur more than once anywhere are compared byte by byte with their first occurrence, the match is extended line by
-line to both sides, and long enough runs of matched lines are removed, except where they come first.
+alike in every document. Each chunk is hashed together with the lines that follow it, up to LEAST
+words (an anchor): so much is rarely alike by chance. Of a shared span, the first line end that
+is alike comes after at most 2 * FOLD - 1 words, a chunk starts at most WINDOW + 1 lines later, an
+anchor has at most LEAST + FOLD - 1 words, and line ends are alike up to FOLD - 1 words before the
+span's end: any 41 shared words hold an anchor. Anchors that occur more than once anywhere are
+compared byte by byte with their first occurrence, the match is extended line by line to both sides,
+and long enough runs of matched lines are removed, except where they come first. What is carried
+for the comparison are pieces of a bounded number of lines, however long a repeated passage is.
 """
 
 from __future__ import annotations
@@ -26,9 +28,11 @@ from pyspark.sql.types import StructField, StructType
 from suarakit.llm import arrays
 from suarakit.llm.common import bit_map, column, fresh, in_bit_map, small_batches, text_key, written
 
-WINDOW = 4  # lines among which the smallest rolling hash ends a chunk
-FOLD = 5  # words among which the smallest hash ends a line, besides punctuation
-AROUND = 5  # lines on each side of a chunk that a match may be extended by
+WINDOW = 3  # lines among which the smallest rolling hash ends a chunk
+FOLD = 4  # words among which the smallest hash ends a line, besides punctuation
+LEAST = 12  # words of a chunk and the lines after it that are hashed as one
+PIECE = 48  # lines in which anchors of one carried piece start
+AROUND = 8  # lines on each side of a chunk that a match may be extended by
 
 _ENDS = np.zeros(256, bool)
 _ENDS[list(b".!?,;:")] = True
@@ -136,9 +140,10 @@ _RUN = "low int, body string, chunks array<struct<h:bigint,at:int,n:int>>"
 
 
 def _run_batches(least_words: int, probe):
-    """Neighbouring chunks whose hash may be repeated, as one run with a few lines around it.
+    """Neighbouring anchors whose hash may be repeated, as one run with a few lines around it.
 
-    A run has its first line's place in the row, its lines, and its chunks by their place in the run.
+    A run has its first line's place in the row, its lines (a bounded number), and its anchors by their
+    place in the run.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,8 +157,11 @@ def _run_batches(least_words: int, probe):
                 rows = chunks.row[found]
                 low = np.maximum(chunks.low[found] - AROUND, lines.first[rows])
                 high = np.minimum(chunks.high[found] + AROUND, lines.first[rows + 1])
-                # Chunks whose surroundings meet are one run.
+                # Anchors whose surroundings meet are one run; a long run is cut into pieces that
+                # overlap by their surroundings.
                 opens = np.append(True, (rows[1:] != rows[:-1]) | (low[1:] > high[:-1]))
+                begin = low[np.flatnonzero(opens)][np.cumsum(opens) - 1]
+                opens[1:] |= ((low - begin) // PIECE)[1:] != ((low - begin) // PIECE)[:-1]
                 head = np.flatnonzero(opens)
                 tail = np.append(head[1:], len(found)) - 1
                 raw, starts, ends = piece.data.tobytes(), lines.starts.tolist(), lines.ends.tolist()
@@ -209,7 +217,7 @@ def _matched(ours: list[bytes], low: int, theirs: list[bytes], pairs: list[dict]
 
 
 def earlier_places(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", least_words: int = 5
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", least_words: int = LEAST
 ) -> DataFrame:
     """id, key, places: where a document's chunks stand first, for all that stand elsewhere first.
 
@@ -217,8 +225,8 @@ def earlier_places(
     means the smaller (id, key, line); null ids come last. Rows equal in id and text are one
     document. Two scans of the texts: the first counts chunk hashes, combined per batch and
     before the shuffle; the second writes the runs of lines that hold repeated ones. Only hashes
-    and places are joined to find each chunk's first place; then every run gets the lines of the
-    runs that hold the first places of its chunks, once each.
+    and places are joined to find each anchor's first place; then every run gets the lines of the
+    runs that hold the first places of its anchors, once each: lines in proportion to its own.
     """
     spark = small_batches(docs.sparkSession)
     text = column(docs, text_column).cast("string")
@@ -233,7 +241,8 @@ def earlier_places(
     chunks = runs.select("id", "key", "low", name.alias("run"), F.inline("chunks"))
     place = F.struct(F.col("id").isNull().alias("none"), "id", "key", (F.col("low") + F.col("at")).alias("line"))
     first = F.struct(place.alias("place"), F.col("run").alias("run"), F.col("key").alias("key"), F.col("at").alias("at"))
-    firsts = chunks.groupBy("h").agg(F.min(first).alias("first")).withColumnRenamed("h", "first_h")
+    # Written, so that the join below may split the rows of a frequent hash.
+    firsts = written(chunks.groupBy("h").agg(F.min(first).alias("first")).withColumnRenamed("h", "first_h"), "firsts")
     later = chunks.join(firsts, F.col("h") == F.col("first_h")).where(place > F.col("first.place"))
     pairs = later.groupBy(
         "id", "key", "low", F.col("first.run").alias("first_run"), F.col("first.key").alias("first_key")

@@ -127,3 +127,45 @@ def test_unpunctuated_passages_of_51_words_go(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
     gone = {r.doc_id: r.gone for r in linechunks.remove_repeats(df, counts="gone").collect()}
     assert all(gone[i] == 0 and gone[i + 60] >= 41 for i in range(60))
+
+
+def test_any_41_shared_words_hold_an_anchor():
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(1, 6)))
+    for trial in range(1500):
+        few = [word() for _ in range(3)] if trial % 5 == 0 else None
+        passage = " ".join((rng.choice(few) if few else word()) + ("." if rng.random() < (trial % 3) * 0.13 else "") for _ in range(41))
+        anchors = []
+        for _ in range(2):
+            text = " ".join([*(word() for _ in range(rng.randrange(1, 40))), passage, *(word() for _ in range(rng.randrange(1, 40)))])
+            lines = linechunks.fold(next(arrays.pieces(pa.array([text]))))
+            anchors.append(set(linechunks._anchors(lines, linechunks.cut(lines), linechunks.LEAST).hashes.tolist()))
+        assert anchors[0] & anchors[1], passage
+
+
+def test_what_is_carried_is_bounded(spark):
+    """Short quotations of a long text that occurs twice carry pieces, not all of it."""
+    rng = random.Random(31)
+    long = " ".join(fixtures.sentence(rng, 1).split()[0] + str(i % 7) for i in range(6000))
+    words = long.split()
+    texts = [long, long]
+    for i in range(200):
+        at = rng.randrange(len(words) - 60)
+        texts.append(fixtures.sentence(rng, 5) + " " + " ".join(words[at : at + 45]) + " " + fixtures.sentence(rng, 5))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    carried = sum(len(p["body"]) for r in linechunks.earlier_places(df).collect() for p in r.places)
+    assert carried < 2.5 * sum(map(len, texts))
+    out = {r.doc_id: r for r in linechunks.remove_repeats(df, counts="gone").collect()}
+    assert out[0].gone == 0 and out[1].gone > 5900
+    assert sum(out[i].gone >= 30 for i in range(2, 202)) >= 195
+
+
+def test_very_long_text_and_a_hot_line(spark):
+    rng = random.Random(41)
+    long = "\n".join(fixtures.sentence(rng, 12).replace("\n", " ") for _ in range(20_000))
+    hot = "all rights reserved by the owners of this page and nobody else may copy it in any form or by any means at all without asking the owners first for leave to do it"
+    rows = [(0, long), (1, long), (2, None)] + [(i, f"{fixtures.sentence(rng, 20)}\n{hot}\n{fixtures.sentence(rng, 20)}") for i in range(3, 400)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    out = {r.doc_id: r for r in linechunks.remove_repeats(df, counts="gone").collect()}
+    assert out[0].gone == 0 and out[1].text == "" and out[2].text is None
+    assert sum(out[i].gone >= 26 for i in range(4, 400)) >= 390
