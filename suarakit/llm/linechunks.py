@@ -8,7 +8,7 @@ alike in every document. Each chunk is hashed together with the lines that follo
 words (an anchor): so much is rarely alike by chance. Of a shared span, the first line end that
 is alike comes after at most 2 * FOLD - 1 words, a chunk starts at most WINDOW + 1 lines later, an
 anchor has at most LEAST + FOLD - 1 words, and line ends are alike up to FOLD - 1 words before the
-span's end: any 41 shared words hold an anchor. Anchors that occur more than once anywhere are
+span's end: any 47 shared words hold an anchor. Anchors that occur more than once anywhere are
 compared byte by byte with their first occurrence, the match is extended line by line to both sides,
 and long enough runs of matched lines are removed, except where they come first. What is carried
 for the comparison are pieces of a bounded number of lines, however long a repeated passage is.
@@ -28,11 +28,11 @@ from pyspark.sql.types import StructField, StructType
 from suarakit.llm import arrays
 from suarakit.llm.common import bit_map, column, fresh, in_bit_map, small_batches, text_key, written
 
-WINDOW = 3  # lines among which the smallest rolling hash ends a chunk
-FOLD = 4  # words among which the smallest hash ends a line, besides punctuation
+WINDOW = 14  # lines among which the smallest rolling hash ends a chunk
+FOLD = 2  # words among which the smallest hash ends a line, besides punctuation
 LEAST = 12  # words of a chunk and the lines after it that are hashed as one
-PIECE = 48  # lines in which anchors of one carried piece start
-AROUND = 8  # lines on each side of a chunk that a match may be extended by
+PIECE = 96  # lines in which anchors of one carried piece start
+AROUND = 16  # lines on each side of a chunk that a match may be extended by
 
 _ENDS = np.zeros(256, bool)
 _ENDS[list(b".!?,;:")] = True

@@ -129,12 +129,12 @@ def test_unpunctuated_passages_of_51_words_go(spark):
     assert all(gone[i] == 0 and gone[i + 60] >= 41 for i in range(60))
 
 
-def test_any_41_shared_words_hold_an_anchor():
+def test_any_47_shared_words_hold_an_anchor():
     rng = random.Random(21)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(1, 6)))
     for trial in range(1500):
         few = [word() for _ in range(3)] if trial % 5 == 0 else None
-        passage = " ".join((rng.choice(few) if few else word()) + ("." if rng.random() < (trial % 3) * 0.13 else "") for _ in range(41))
+        passage = " ".join((rng.choice(few) if few else word()) + ("." if rng.random() < (trial % 3) * 0.13 else "") for _ in range(47))
         anchors = []
         for _ in range(2):
             text = " ".join([*(word() for _ in range(rng.randrange(1, 40))), passage, *(word() for _ in range(rng.randrange(1, 40)))])
