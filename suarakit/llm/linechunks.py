@@ -46,6 +46,7 @@ class Lines(NamedTuple):
     hashes: np.ndarray
     n_words: np.ndarray
     first: np.ndarray
+    words: arrays.Runs  # of the piece
 
 
 def _smallest(values: np.ndarray, row: np.ndarray, window: int, last: np.ndarray) -> None:
@@ -67,10 +68,10 @@ def fold(piece: arrays.Piece) -> Lines:
     n = len(words.starts)
     if not n:
         none = np.zeros(0, np.int64)
-        return Lines(none, none, np.zeros(0, np.uint64), none, np.zeros(len(piece.starts) + 1, np.int64))
-    sums = arrays.prefix_hashes(piece.data)
+        return Lines(none, none, np.zeros(0, np.uint64), none, np.zeros(len(piece.starts) + 1, np.int64), words)
+    hashes = arrays.span_hashes(arrays.prefix_hashes(piece.data), words.starts, words.ends)
     last = _ENDS[piece.data[words.ends - 1]]
-    _smallest(arrays.span_hashes(sums, words.starts, words.ends), words.row, FOLD, last)
+    _smallest(hashes, words.row, FOLD, last)
     last[words.first[1:][np.diff(words.first) > 0] - 1] = True
     # A line feed between this word and the next.
     feeds = np.zeros(len(piece.data) + 1, np.int32)
@@ -80,7 +81,22 @@ def fold(piece: arrays.Piece) -> Lines:
     head = np.append(0, tail[:-1] + 1)
     starts, ends = words.starts[head], words.ends[tail]
     first = np.append(np.searchsorted(starts, piece.starts), len(starts))
-    return Lines(starts, ends, arrays.span_hashes(sums, starts, ends), tail - head + 1, first)
+    # The words decide, not the white space between them.
+    return Lines(starts, ends, arrays.span_hashes(arrays.prefix_hashes(hashes), head, tail + 1), tail - head + 1, first, words)
+
+
+def _plain(piece: arrays.Piece, lines: Lines) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of all words of a piece, each followed by one blank, and where each line begins in them."""
+    words = lines.words
+    sizes = words.ends - words.starts + 1
+    after = np.cumsum(sizes)
+    total = int(after[-1]) if len(after) else 0
+    text = np.full(total, 32, np.uint8)
+    inside = np.ones(total, bool)
+    inside[after - 1] = False
+    text[inside] = piece.data[arrays.NOT_SPACE[piece.data]]
+    begin = np.append(0, after)
+    return text, begin[np.append(0, np.cumsum(lines.n_words))]
 
 
 class Chunks(NamedTuple):
@@ -136,27 +152,27 @@ def _count_batches(least_words: int):
     return run
 
 
-_RUN = "low int, body string, chunks array<struct<h:bigint,at:int,n:int>>"
+_RUN = "low int, body binary, anchors array<struct<h:bigint,line:int,at:int>>"
 
 
 def _run_batches(least_words: int, probe):
     """Neighbouring anchors whose hash may be repeated, as one run with a few lines around it.
 
-    A run has its first line's place in the row, its lines (a bounded number), and its anchors by their
-    place in the run.
+    A run has its first line's place in the row, its words (a bounded number of lines), each followed
+    by a blank, and its anchors: their line in the row and where they begin in the run's bytes.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in arrays.pieces(batch.column(2)):
                 lines = fold(piece)
-                chunks = _anchors(lines, cut(lines), least_words)
-                found = np.flatnonzero(in_bit_map(probe.value, chunks.hashes))
+                anchors = _anchors(lines, cut(lines), least_words)
+                found = np.flatnonzero(in_bit_map(probe.value, anchors.hashes))
                 if not len(found):
                     continue
-                rows = chunks.row[found]
-                low = np.maximum(chunks.low[found] - AROUND, lines.first[rows])
-                high = np.minimum(chunks.high[found] + AROUND, lines.first[rows + 1])
+                rows = anchors.row[found]
+                low = np.maximum(anchors.low[found] - AROUND, lines.first[rows])
+                high = np.minimum(anchors.high[found] + AROUND, lines.first[rows + 1])
                 # Anchors whose surroundings meet are one run; a long run is cut into pieces that
                 # overlap by their surroundings.
                 opens = np.append(True, (rows[1:] != rows[:-1]) | (low[1:] > high[:-1]))
@@ -164,19 +180,16 @@ def _run_batches(least_words: int, probe):
                 opens[1:] |= ((low - begin) // PIECE)[1:] != ((low - begin) // PIECE)[:-1]
                 head = np.flatnonzero(opens)
                 tail = np.append(head[1:], len(found)) - 1
-                raw, starts, ends = piece.data.tobytes(), lines.starts.tolist(), lines.ends.tolist()
-                body = [
-                    "\n".join([raw[starts[i] : ends[i]].decode() for i in range(a, b)])
-                    for a, b in zip(low[head].tolist(), high[tail].tolist())
-                ]
-                own = low[head][np.cumsum(opens) - 1]
+                text, at = _plain(piece, lines)
+                raw = text.tobytes()
+                own = at[low[head]]
                 items = pa.StructArray.from_arrays(
                     [
-                        pa.array(chunks.hashes[found].view(np.int64)),
-                        pa.array((chunks.low[found] - own).astype(np.int32)),
-                        pa.array((chunks.high[found] - chunks.low[found]).astype(np.int32)),
+                        pa.array(anchors.hashes[found].view(np.int64)),
+                        pa.array((anchors.low[found] - lines.first[rows]).astype(np.int32)),
+                        pa.array((at[anchors.low[found]] - own[np.cumsum(opens) - 1]).astype(np.int32)),
                     ],
-                    names=["h", "at", "n"],
+                    names=["h", "line", "at"],
                 )
                 take = pa.array(rows[head] + piece.first)
                 yield pa.RecordBatch.from_arrays(
@@ -184,49 +197,27 @@ def _run_batches(least_words: int, probe):
                         batch.column(0).take(take),
                         batch.column(1).take(take),
                         pa.array((low[head] - lines.first[rows[head]]).astype(np.int32)),
-                        pa.array(body, pa.string()),
+                        pa.array([raw[a:b] for a, b in zip(own.tolist(), at[high[tail]].tolist())], pa.binary()),
                         pa.ListArray.from_arrays(pa.array(np.append(head, len(found)).astype(np.int32)), items),
                     ],
-                    names=["id", "key", "low", "body", "chunks"],
+                    names=["id", "key", "low", "body", "anchors"],
                 )
 
     return run
 
 
-def _matched(ours: list[bytes], low: int, theirs: list[bytes], pairs: list[dict]) -> list[tuple[int, int]]:
-    """Spans of ``ours`` equal to ``theirs`` byte by byte: each shared chunk, extended both ways.
-
-    ``pairs`` say which line after ``low`` (``at``) and which of theirs (``other``) start a
-    chunk of ``n`` lines with equal hashes.
-    """
-    spans, upto = [], {}
-    for c in sorted(pairs, key=lambda c: c["at"]):
-        a, b, n = low + c["at"], c["other"], c["n"]
-        if upto.get(a - b, -1) >= a + n:
-            continue  # an earlier match on this diagonal went past it
-        if ours[a : a + n] != theirs[b : b + n]:
-            continue  # equal hashes alone
-        start, stop = a, a + n
-        while start and start - a + b and ours[start - 1] == theirs[start - a + b - 1]:
-            start -= 1
-        while stop < len(ours) and stop - a + b < len(theirs) and ours[stop] == theirs[stop - a + b]:
-            stop += 1
-        upto[a - b] = stop
-        spans.append((start, stop))
-    return spans
-
-
 def earlier_places(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", least_words: int = LEAST
 ) -> DataFrame:
-    """id, key, places: where a document's chunks stand first, for all that stand elsewhere first.
-
-    A place has the lines of the earlier run (``body``) and the chunks shared with it. Earlier
-    means the smaller (id, key, line); null ids come last. Rows equal in id and text are one
-    document. Two scans of the texts: the first counts chunk hashes, combined per batch and
-    before the shuffle; the second writes the runs of lines that hold repeated ones. Only hashes
-    and places are joined to find each anchor's first place; then every run gets the lines of the
-    runs that hold the first places of its anchors, once each: lines in proportion to its own.
+    """id, key, places: where a document's anchors stand first, for all that stand elsewhere first.
+
+    A place has the words of the earlier run (``body``) and the anchors shared with it: their line
+    in this document, and where they begin in the body. Earlier means the smaller (id, key, line);
+    null ids come last. Rows equal in id and text are one document. Two scans of the texts: the
+    first counts anchor hashes, combined per batch and before the shuffle; the second writes the
+    runs of lines that hold repeated ones. Only hashes and places are joined to find each anchor's
+    first place; then every document gets the bodies that hold the first places of its anchors,
+    once each: bytes in proportion to its own.
     """
     spark = small_batches(docs.sparkSession)
     text = column(docs, text_column).cast("string")
@@ -237,50 +228,110 @@ def earlier_places(
     schema = StructType([*keyed.schema.fields[:2], *StructType.fromDDL(_RUN)])
     runs = written(keyed.mapInArrow(_run_batches(least_words, probe), schema), "runs")
 
-    name = F.xxhash64("id", "key", "low")
-    chunks = runs.select("id", "key", "low", name.alias("run"), F.inline("chunks"))
-    place = F.struct(F.col("id").isNull().alias("none"), "id", "key", (F.col("low") + F.col("at")).alias("line"))
-    first = F.struct(place.alias("place"), F.col("run").alias("run"), F.col("key").alias("key"), F.col("at").alias("at"))
+    anchors = runs.select("id", "key", "low", F.inline("anchors"))
+    place = [F.col("id").isNull().alias("none"), F.col("id"), F.col("key"), F.col("line")]
+    first = F.min(F.struct(*place, "low", "at")).alias("first")
     # Written, so that the join below may split the rows of a frequent hash.
-    firsts = written(chunks.groupBy("h").agg(F.min(first).alias("first")).withColumnRenamed("h", "first_h"), "firsts")
-    later = chunks.join(firsts, F.col("h") == F.col("first_h")).where(place > F.col("first.place"))
-    pairs = later.groupBy(
-        "id", "key", "low", F.col("first.run").alias("first_run"), F.col("first.key").alias("first_key")
-    ).agg(F.collect_set(F.struct("at", F.col("first.at").alias("other"), "n")).alias("pairs"))
+    firsts = written(anchors.groupBy("h").agg(first).withColumnRenamed("h", "first_h"), "firsts")
+    later = anchors.drop("at").join(firsts, F.col("h") == F.col("first_h"))
+    later = later.where(F.struct(*place) > F.struct("first.none", "first.id", "first.key", "first.line"))
+    run = F.xxhash64("first.id", "first.key", "first.low")
+    pairs = later.groupBy("id", "key", run.alias("first_run"), F.col("first.key").alias("first_key")).agg(
+        F.collect_set(F.struct("line", "first.at")).alias("anchors")
+    )
     pairs = written(pairs, "pairs")
-    # The lines of runs that are first anywhere. Rows equal in id and text have equal runs.
+    # The words of runs that are first anywhere. Rows equal in id and text have equal runs.
     wanted = pairs.select("first_run", "first_key").distinct()
-    bodies = runs.select(name.alias("run"), F.col("key").alias("run_key"), "body").join(
+    bodies = runs.select(F.xxhash64("id", "key", "low").alias("run"), F.col("key").alias("run_key"), "body").join(
         wanted, (F.col("run") == F.col("first_run")) & (F.col("run_key") == F.col("first_key")), "left_semi"
     )
     bodies = bodies.groupBy("run", "run_key").agg(F.first("body").alias("body"))
     met = pairs.join(bodies, (F.col("first_run") == F.col("run")) & (F.col("first_key") == F.col("run_key")))
-    return met.groupBy("id", "key").agg(F.collect_list(F.struct("low", "pairs", "body")).alias("places"))
-
-
-def _cleaned(text: str, places: list[dict], least_run: int) -> tuple[str, int]:
-    """Text without the runs of matched lines of at least ``least_run`` words; words removed."""
-    piece = next(arrays.pieces(pa.array([text])))
-    lines = fold(piece)
-    raw = piece.data.tobytes()
-    ours = [raw[a:b] for a, b in zip(lines.starts.tolist(), lines.ends.tolist())]
-    marked = np.zeros(len(lines.starts) + 1, np.int64)
-    for place in places:
-        for low, high in _matched(ours, place["low"], place["body"].encode().split(b"\n"), place["pairs"]):
-            marked[low] += 1
-            marked[high] -= 1
-    edges = np.flatnonzero(np.diff(np.concatenate([[0], np.cumsum(marked)[:-1] > 0, [0]]).astype(np.int8)))
-    kept, upto, gone = [], 0, 0
-    for low, high in edges.reshape(-1, 2).tolist():
-        words = int(lines.n_words[low:high].sum())
-        if words >= least_run:
-            kept.append(raw[upto : lines.starts[low]])
-            upto = lines.starts[high] if high < len(lines.starts) else len(raw)
-            gone += words
-    if not gone:
-        return text, 0
-    out = b"".join([*kept, raw[upto:]])
-    return (out.decode() if gone < int(lines.n_words.sum()) else ""), gone
+    return met.groupBy("id", "key").agg(F.collect_list(F.struct("anchors", "body")).alias("places"))
+
+
+def _matched(ours: np.ndarray, line_at: np.ndarray, row: tuple[int, int], theirs: np.ndarray, anchors: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans of our lines equal to ``theirs`` byte by byte: each shared anchor, extended both ways.
+
+    ``ours`` are words, each followed by a blank, and ``line_at`` where lines begin in them; the
+    row has the lines from row[0] to row[1]. An anchor is its line and where it begins in ``theirs``.
+    """
+    spans, upto = [], {}
+    low, high = int(line_at[row[0]]), int(line_at[row[1]])
+    for line, other in anchors:
+        at = int(line_at[line])
+        if upto.get(at - other, -1) > at:
+            continue  # an earlier match on this diagonal went past it
+        size = min(high - at, len(theirs) - other)
+        differ = ours[at : at + size] != theirs[other : other + size]
+        first = int(differ.argmax()) if size else 0
+        stop = at + (first if size and differ[first] else size)
+        end = int(np.searchsorted(line_at, stop, "right")) - 1
+        if end <= line:
+            continue  # equal hashes alone
+        size = min(at - low, other)
+        differ = (ours[at - size : at] != theirs[other - size : other])[::-1]
+        first = int(differ.argmax()) if size else 0
+        back = first if size and differ[first] else size
+        start = int(np.searchsorted(line_at, at - back, "left"))
+        if line_at[start] == at - back and other - back > 0 and theirs[other - back - 1] != 32:
+            start += 1  # our first word is the end of one of theirs
+        upto[at - other] = int(line_at[end])
+        spans.append((start, end))
+    return spans
+
+
+class _Places(NamedTuple):
+    """Places of the rows of a batch as flat arrays."""
+
+    rows: np.ndarray  # row i has the places from rows[i] to rows[i + 1]
+    anchors: np.ndarray  # place j has the anchors from anchors[j] to anchors[j + 1]
+    lines: np.ndarray
+    others: np.ndarray
+    bodies: pa.BinaryArray
+
+
+def _flat(places: pa.ListArray) -> _Places:
+    anchors, items = places.values.field("anchors"), places.values.field("anchors").values
+    return _Places(
+        places.offsets.to_numpy(), anchors.offsets.to_numpy(), items.field("line").to_numpy(), items.field("at").to_numpy(), places.values.field("body")
+    )
+
+
+def _cleaned(texts: pa.Array, places: pa.ListArray, least_run: int) -> Iterator[tuple[int, str, int]]:
+    """Row, text without the runs of matched lines of at least ``least_run`` words, and words removed, for
+    the rows that lose any."""
+    flat = _flat(places)
+    for piece in arrays.pieces(texts):
+        lines = fold(piece)
+        text, line_at = _plain(piece, lines)
+        marks = np.zeros(len(lines.starts) + 1, np.int64)
+        for i in range(len(piece.starts)):
+            row = (int(lines.first[i]), int(lines.first[i + 1]))
+            for j in range(flat.rows[piece.first + i], flat.rows[piece.first + i + 1]):
+                span = slice(flat.anchors[j], flat.anchors[j + 1])
+                ours = sorted(zip((flat.lines[span] + row[0]).tolist(), flat.others[span].tolist()))
+                theirs = np.frombuffer(flat.bodies[j].as_buffer(), np.uint8)
+                for low, high in _matched(text, line_at, row, theirs, ours):
+                    marks[low] += 1
+                    marks[high] -= 1
+        covered = np.concatenate([[0], np.cumsum(marks)[:-1] > 0, [0]]).astype(np.int8)
+        counted = np.append(0, np.cumsum(lines.n_words))
+        raw = piece.data.tobytes()
+        for i in np.flatnonzero(np.add.reduceat(covered, np.append(lines.first[:-1] + 1, len(covered) - 1))[:-1] > 0).tolist() if len(lines.starts) else []:
+            low, high = int(lines.first[i]), int(lines.first[i + 1])
+            own = np.concatenate([[0], covered[low + 1 : high + 1], [0]])
+            edges = np.flatnonzero(np.diff(own)).reshape(-1, 2) + low
+            kept, upto, gone = [], int(piece.starts[i]), 0
+            for a, b in edges.tolist():
+                words = int(counted[b] - counted[a])
+                if words >= least_run:
+                    kept.append(raw[upto : lines.starts[a]])
+                    upto = int(lines.starts[b] if b < high else piece.ends[i])
+                    gone += words
+            if gone:
+                out = b"".join([*kept, raw[upto : piece.ends[i]]])
+                yield piece.first + i, (out.decode() if gone < counted[high] - counted[low] else ""), gone
 
 
 def remove_repeats(
@@ -299,7 +350,7 @@ def remove_repeats(
     """
     names = docs.columns
     key, places, other_id, other_key = (fresh(names, n) for n in ("key__", "places__", "id__", "other_key__"))
-    gone = fresh(names, "gone__")
+    gone_name = fresh(names, "gone__")
     found = earlier_places(docs, id_column, text_column).toDF(other_id, other_key, places)
     keyed = docs.withColumn(key, text_key(column(docs, text_column).cast("string")))
     joined = keyed.join(
@@ -312,14 +363,16 @@ def remove_repeats(
         for batch in batches:
             matched, n = batch.column(len(names)), np.zeros(batch.num_rows, np.int64)
             texts = batch.column(at)
-            if matched.null_count < batch.num_rows:
+            some = np.flatnonzero(matched.is_valid().to_numpy(zero_copy_only=False))
+            if len(some):
                 changed = texts.to_pylist()
-                for i in np.flatnonzero(matched.is_valid().to_numpy(zero_copy_only=False)).tolist():
-                    changed[i], n[i] = _cleaned(changed[i], matched[i].as_py(), least_run)
+                take = pa.array(some)
+                for i, text, gone in _cleaned(texts.take(take), matched.take(take), least_run):
+                    changed[some[i]], n[some[i]] = text, gone
                 texts = pa.array(changed, texts.type)
             columns = [*batch.columns[:at], texts, *batch.columns[at + 1 : len(names)], pa.array(n)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[: len(names)], gone])
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[: len(names)], gone_name])
 
-    schema = StructType([*joined.schema.fields[: len(names)], StructField(gone, StructType.fromDDL("n bigint")[0].dataType)])
+    schema = StructType([*joined.schema.fields[: len(names)], StructField(gone_name, StructType.fromDDL("n bigint")[0].dataType)])
     out = joined.mapInArrow(run, schema)
-    return out.withColumnRenamed(gone, counts) if counts else out.drop(gone)
+    return out.withColumnRenamed(gone_name, counts) if counts else out.drop(gone_name)
