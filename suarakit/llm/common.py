@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from suarakit.session import scratch_path, ship
+from suarakit.session import scratch_path, shared_dir, ship
 
 
 def fresh(names: Iterable[str], wanted: str) -> str:
@@ -40,6 +41,32 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``written`` that nothing reads any more; anything outside the scratch folder stays."""
+    for table in tables:
+        spark = table.sparkSession
+        root = f"{shared_dir(spark)}/suarakit/"
+        folders = {name.rsplit("/", 1)[0] for name in table.inputFiles()}
+        plain = lambda name: name.split(":", 1)[-1].replace("///", "/")
+        for folder in folders:
+            if plain(folder).startswith(plain(root)):
+                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def in_map(df: DataFrame, hashed: Column, probe) -> DataFrame:
+    """Rows of ``df`` whose hash is in a broadcast bit map."""
+    names = df.columns
+    keyed = df.withColumn(fresh(names, "hash__"), hashed)
+
+    def run(batches):
+        for batch in batches:
+            found = in_bit_map(probe.value, batch.column(batch.num_columns - 1).to_numpy().view(np.uint64))
+            yield batch.filter(pa.array(found)).select(names)
+
+    return keyed.mapInArrow(run, df.schema)
+
+
 def text_key(text: Column) -> Column:
     """Together with the id this names a document: rows equal in both are one document."""
     return F.xxhash64(text)

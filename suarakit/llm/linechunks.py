@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from suarakit.llm import arrays
-from suarakit.llm.common import bit_map, column, fresh, in_bit_map, small_batches, text_key, written
+from suarakit.llm.common import bit_map, column, discard, fresh, in_bit_map, in_map, small_batches, text_key, written
 
 WINDOW = 14  # lines among which the smallest rolling hash ends a chunk
 FOLD = 2  # words among which the smallest hash ends a line, besides punctuation
@@ -54,13 +54,14 @@ def _smallest(values: np.ndarray, row: np.ndarray, window: int, last: np.ndarray
     windows = len(values) - window + 1
     if windows < 1:
         return
-    best, at = values[:windows].copy(), np.zeros(windows, np.int64)
-    for j in range(1, window):
-        lower = values[j : j + windows] <= best
-        best[lower] = values[j : j + windows][lower]
-        at[lower] = j
-    within = row[:windows] == row[window - 1 :][:windows]
-    last[(np.arange(windows) + at)[within]] = True
+    # Windows of twice the size from two of half the size; the last step may overlap.
+    best, at, size = values, np.arange(len(values), dtype=np.int64), 1
+    while size < window:
+        step = min(size, window - size)
+        later = best[step:] <= best[:-step]
+        best, at = np.where(later, best[step:], best[:-step]), np.where(later, at[step:], at[:-step])
+        size += step
+    last[at[row[:windows] == row[window - 1 :][:windows]]] = True
 
 
 def fold(piece: arrays.Piece) -> Lines:
@@ -88,15 +89,16 @@ def fold(piece: arrays.Piece) -> Lines:
 def _plain(piece: arrays.Piece, lines: Lines) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all words of a piece, each followed by one blank, and where each line begins in them."""
     words = lines.words
-    sizes = words.ends - words.starts + 1
-    after = np.cumsum(sizes)
-    total = int(after[-1]) if len(after) else 0
-    text = np.full(total, 32, np.uint8)
-    inside = np.ones(total, bool)
-    inside[after - 1] = False
-    text[inside] = piece.data[arrays.NOT_SPACE[piece.data]]
-    begin = np.append(0, after)
-    return text, begin[np.append(0, np.cumsum(lines.n_words))]
+    begin = np.append(0, np.cumsum(words.ends - words.starts + 1))
+    at = begin[np.append(0, np.cumsum(lines.n_words))]
+    if not len(words.starts):
+        return np.zeros(0, np.uint8), at
+    kept = arrays.NOT_SPACE[piece.data]
+    text = np.where(kept, piece.data, np.uint8(32))
+    # White space after a word is its blank; a word at the very end of a row has none yet.
+    bare = words.ends == piece.ends[words.row]
+    kept[words.ends[~bare]] = True
+    return np.insert(text[kept], begin[1:][bare] - 1 - np.arange(int(bare.sum())), 32), at
 
 
 class Chunks(NamedTuple):
@@ -144,7 +146,7 @@ def _count_batches(least_words: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in arrays.pieces(batch.column(0), 4 * arrays.PIECE):
+            for piece in arrays.pieces(batch.column(0)):
                 lines = fold(piece)
                 hashes, counts = np.unique(_anchors(lines, cut(lines), least_words).hashes, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts)], names=["h", "n"])
@@ -240,9 +242,12 @@ def earlier_places(
         F.collect_set(F.struct("line", "first.at")).alias("anchors")
     )
     pairs = written(pairs, "pairs")
+    discard(repeated, firsts)
     # The words of runs that are first anywhere. Rows equal in id and text have equal runs.
-    wanted = pairs.select("first_run", "first_key").distinct()
-    bodies = runs.select(F.xxhash64("id", "key", "low").alias("run"), F.col("key").alias("run_key"), "body").join(
+    wanted = written(pairs.select("first_run", "first_key").distinct(), "wanted")
+    bodies = runs.select(F.xxhash64("id", "key", "low").alias("run"), F.col("key").alias("run_key"), "body")
+    asked = spark.sparkContext.broadcast(bit_map(wanted.select(F.xxhash64("first_run", "first_key").alias("h")), "h"))
+    bodies = in_map(bodies, F.xxhash64("run", "run_key"), asked).join(
         wanted, (F.col("run") == F.col("first_run")) & (F.col("run_key") == F.col("first_key")), "left_semi"
     )
     bodies = bodies.groupBy("run", "run_key").agg(F.first("body").alias("body"))
