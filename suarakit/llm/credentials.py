@@ -2,13 +2,13 @@
 
 Every text is searched for assigned secrets, access keys, hex strings and opaque tokens.
 Hashes of the values found are counted over the whole corpus by distinct repositories and
-distinct owners: a value that many owners share is a copied example, one that a single owner
-has looks like a live credential of that owner.
+distinct owners: a value that many owners share, or that stands in very many repositories, is a
+copied example, one that a single owner has in few places looks like a live credential.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from suarakit.functions.binding import let
@@ -25,14 +25,12 @@ _PLACE = "array<struct<start:int,end:int,hit:string>>"
 _SPAN = "array<struct<start:int,rank:int,end:int,kind:string,value:string>>"
 
 
-def located(text: Column, pattern: str) -> Column:
-    """All leftmost non-overlapping matches with their places in code points, end exclusive.
+#: Matches whose places are added up at once. Appending to an array copies it, so arrays stay short.
+_BLOCK = 128
 
-    The gaps between matches and the matches alternate, so running lengths give the places.
-    """
-    parts = F.arrays_zip(
-        F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit")
-    )
+
+def _placed(parts: Column, upto: Column) -> Column:
+    """Places of the matches in some parts of a text that begin at ``upto``."""
 
     def step(acc: Column, part: Column) -> Column:
         start = acc["upto"] + F.length(part["gap"])
@@ -43,10 +41,39 @@ def located(text: Column, pattern: str) -> Column:
             F.when(part["hit"].isNull(), acc["found"]).otherwise(F.concat(acc["found"], place)).alias("found"),
         )
 
-    empty = F.struct(F.lit(0).alias("upto"), F.array().cast(_PLACE).alias("found"))
+    empty = F.struct(upto.alias("upto"), F.array().cast(_PLACE).alias("found"))
     return F.aggregate(parts, empty, step, lambda acc: acc["found"])
 
 
+def _by_blocks(parts: Column) -> Column:
+    """Places of many matches: lengths are summed by block, and each block is placed on its own."""
+    block = lambda i: F.slice(parts, i * _BLOCK + 1, F.lit(_BLOCK))
+    numbers = F.sequence(F.lit(0), F.floor((F.size(parts) - 1) / _BLOCK).cast("int"))
+
+    def width(i: Column) -> Column:
+        return F.aggregate(block(i), F.lit(0), lambda n, part: n + F.length(part["gap"]) + F.coalesce(F.length(part["hit"]), F.lit(0)))
+
+    def add(acc: Column, n: Column) -> Column:
+        return F.struct((acc["upto"] + n).alias("upto"), F.concat(acc["starts"], F.array(acc["upto"])).alias("starts"))
+
+    none = F.struct(F.lit(0).alias("upto"), F.array().cast("array<int>").alias("starts"))
+    return let(
+        F.aggregate(F.transform(numbers, width), none, add, lambda acc: acc["starts"]),
+        lambda starts: F.flatten(F.transform(numbers, lambda i: _placed(block(i), F.get(starts, i)))),
+    )
+
+
+def located(text: Column, pattern: str) -> Column:
+    """All leftmost non-overlapping matches with their places in code points, end exclusive.
+
+    The gaps between matches and the matches alternate, so running lengths give the places.
+    """
+    parts = F.arrays_zip(
+        F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit")
+    )
+    return let(parts, lambda p: F.when(F.size(p) <= _BLOCK, _placed(p, F.lit(0))).otherwise(_by_blocks(p)))
+
+
 def _spans(text: Column, kind: str, pattern: str, guard: Column, value=lambda hit: hit, keep=lambda value: F.lit(True)) -> Column:
     """Spans of one kind; texts that fail the cheap ``guard`` are not searched."""
 
@@ -126,28 +153,27 @@ def scan(
     text_column: str = "text",
     owner_column: str = "source",
     example_owners: int = 3,
+    example_repositories: int = 50,
 ) -> DataFrame:
     """id, key, base (spans), findings (all spans with ownership and verdict) for every row of ``docs``.
 
-    Base spans are always findings. Opaque tokens are added where fewer than ``example_owners``
-    owners have the value and no base span covers them. Every finding states how many
-    repositories and owners have its value, and whether it is ``owned`` or an ``example``.
+    Base spans are always findings. A value that ``example_owners`` owners or
+    ``example_repositories`` repositories have is an ``example``: a credential in use is not
+    copied that widely, not even by its owner. Others are ``owned``. Opaque tokens are added where
+    they are owned and no base span covers them. Every finding states how many repositories and
+    owners have its value. Work is in proportion to the matches, also of one very long text.
     Null and empty texts have no findings; equal rows get the same ones and count as one repository.
     """
     found = written(candidates(docs, id_column, text_column, owner_column), "candidates")
     counted = written(ownership(found), "ownership")
-    spans = (
-        found.where((F.size("base") > 0) | (F.size("opaque") > 0))
-        .select("id", "key", "base", F.explode(F.concat("base", "opaque")).alias("span"))
-        .withColumn(
-            "covered", F.exists("base", lambda b: (b["start"] <= F.col("span.start")) & (b["end"] >= F.col("span.end")))
-        )
-        .select("id", "key", "span.*", "covered", F.sha2("span.value", 256).alias("value_hash"))
-        .drop("value")
-    )
-    judged = spans.join(counted, "value_hash").withColumn(
-        "verdict", F.when(F.col("owners") >= example_owners, "example").otherwise("owned")
-    )
+    spans = found.where((F.size("base") > 0) | (F.size("opaque") > 0)).select("id", "key", F.explode(F.concat("base", "opaque")).alias("span"))
+    spans = spans.select("id", "key", "span.*", F.sha2("span.value", 256).alias("value_hash")).drop("value")
+    # How far the base spans reach that start no later than this one.
+    before = Window.partitionBy("id", "key").orderBy("start").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    reach = F.max(F.when(F.col("kind") != "opaque", F.col("end"))).over(before)
+    spans = spans.withColumn("covered", F.coalesce(reach >= F.col("end"), F.lit(False)))
+    copied = (F.col("owners") >= example_owners) | (F.col("repositories") >= example_repositories)
+    judged = spans.join(counted, "value_hash").withColumn("verdict", F.when(copied, "example").otherwise("owned"))
     judged = judged.where((F.col("kind") != "opaque") | ((F.col("verdict") == "owned") & ~F.col("covered")))
     finding = F.struct("start", "rank", "end", "kind", "value_hash", "repositories", "owners", "verdict")
     by_doc = judged.groupBy(F.col("id").alias("found_id"), F.col("key").alias("found_key")).agg(

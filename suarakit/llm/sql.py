@@ -34,7 +34,7 @@ s AS MATERIALIZED (SELECT doc_id, source, kind, rank, vals[i] AS value, length(h
   ({_SIZE('gaps[1:i]')} + {_SIZE('hits[1:i - 1]')})::BIGINT AS a FROM p
   WHERE CASE kind WHEN 'assign' THEN length(vals[i]) >= 12 WHEN 'access' THEN length(hits[i]) >= 18
     WHEN 'opaque' THEN regexp_matches(hits[i], '[A-Za-z]') AND regexp_matches(hits[i], '[0-9]') ELSE true END),
-own AS (SELECT value, count(DISTINCT coalesce(source, chr(0))) >= 3 AS example FROM s GROUP BY value),
+own AS (SELECT value, count(DISTINCT coalesce(source, chr(0))) >= 3 OR count(DISTINCT doc_id) >= 50 AS example FROM s GROUP BY value),
 f AS MATERIALIZED (SELECT s.*, a + n AS b, example, s.kind <> 'opaque' AS base FROM s JOIN own USING (value)),
 kept AS MATERIALIZED (SELECT * FROM f WHERE base OR (NOT example AND NOT EXISTS (SELECT 1 FROM f g
   WHERE g.doc_id = f.doc_id AND g.base AND g.a <= f.a AND g.b >= f.b))),

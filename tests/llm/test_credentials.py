@@ -67,3 +67,30 @@ def test_plan_has_no_python_and_nothing_gives_nothing(spark):
     found = credentials.candidates(fixtures.documents(spark))
     assert "Python" not in found._jdf.queryExecution().toString() and "Arrow" not in found._jdf.queryExecution().toString()
     assert credentials.scan(fixtures.nothing(spark)).count() == 0
+
+
+def test_many_matches_in_one_text(spark):
+    """100,000 matches of two kinds in one text, placed exactly and in time."""
+    import time
+
+    text = " ".join(f"{i:016x}é" if i % 2 else f"Zz{i:020d}" for i in range(100_000))
+    start = time.perf_counter()
+    df = spark.createDataFrame([(1, text, "a"), (None, text[:5000], None)], "doc_id int, text string, source string")
+    row = next(r for r in credentials.scan(df).collect() if r.id == 1)
+    assert [(s.start, s.end) for s in row.base if s.kind == "hex"] == [(a, b) for a, _, b, k in base(text) if k == "hex"]
+    opaque = [m.span() for m in re.finditer("[A-Za-z0-9+/_-]{20,}", text)]
+    assert [(f.start, f.end) for f in row.findings if f.kind == "opaque"] == opaque
+    assert time.perf_counter() - start < 60
+
+
+def test_very_many_repositories_of_one_owner_make_an_example(spark):
+    rows = [(i, "key Pp1Pp1Pp1Pp1Pp1Pp1Pp1 here " + str(i), "only") for i in range(60)]
+    rows += [(100 + i, "key Qq1Qq1Qq1Qq1Qq1Qq1Qq1 here " + str(i), "only") for i in range(49)]
+    out = credentials.scan(spark.createDataFrame(rows, "doc_id int, text string, source string")).collect()
+    assert all((len(r.findings) == 0) == (r.id < 100) for r in out)
+
+
+def test_covered_by_a_base_span_that_starts_earlier(spark):
+    text = 'token="Aa1Aa1Aa1Aa1Aa1Aa1Aa1Aa1" Bb2Bb2Bb2Bb2Bb2Bb2Bb2Bb2 deadbeefdeadbeef0123'
+    row = credentials.scan(spark.createDataFrame([(1, text, "s")], "doc_id int, text string, source string")).first()
+    assert [(f.kind, text[f.start : f.end][:3]) for f in row.findings] == [("assign", "tok"), ("opaque", "Bb2"), ("hex", "dea")]
