@@ -157,6 +157,18 @@ def ingest_new_only(spark, sf):
     return ingest.ingest(docs, stored, "doc_id")
 
 
+@query("""WITH d AS (SELECT doc_id, lang, CASE WHEN lang <> 'fr' THEN doc_id % 700 END AS id FROM documents),
+store AS (SELECT d.* FROM d JOIN labels USING (doc_id)),
+fresh AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY doc_id) AS rn FROM d
+  WHERE NOT EXISTS (SELECT 1 FROM store s WHERE s.id IS NOT DISTINCT FROM d.id))
+SELECT doc_id, lang, id FROM store UNION ALL SELECT doc_id, lang, id FROM fresh WHERE rn = 1""")
+def ingest_numeric_ids(spark, sf):
+    """As :func:`ingest_new_only`, where ids are numbers, repeated and missing ones among them."""
+    docs = table(spark, sf, "documents").select("doc_id", "lang", F.expr("CASE WHEN lang <> 'fr' THEN doc_id % 700 END").alias("id"))
+    stored = docs.join(table(spark, sf, "labels").select("doc_id"), "doc_id", "left_semi")
+    return ingest.ingest(docs, stored, "doc_id")
+
+
 @query("""WITH d AS (SELECT doc_id, lang, CASE WHEN lang <> 'fr' THEN md5(text) END AS id FROM documents)
 SELECT doc_id, lang, id FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY doc_id) AS rn FROM d) WHERE rn = 1""")
 def keep_first_by_id(spark, sf):

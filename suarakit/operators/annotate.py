@@ -138,12 +138,20 @@ def write_back(df: DataFrame, labels: DataFrame, cols: Sequence[str], id_col: st
 def resume(base: DataFrame, previous: DataFrame | None, cols: Sequence[str], id_col: str = "id") -> DataFrame:
     """Rows of ``base`` with the labels an earlier run produced, if there was one.
 
-    Rows without an id can't be told apart between runs and start without labels.
+    Rows are found again by their id and all other columns that both tables have besides the
+    labels, null by null, so a repeated or missing id does no harm: what the earlier run wrote
+    for a row goes to that row. Where the id is all they share, rows without one start without
+    labels. Of earlier rows that are equal in all this the first by its labels counts.
     """
     base = ensure_label_columns(base, cols)
     if previous is None:
         return base
-    return write_back(base, one_per_id(previous.select(id_col, *cols), id_col), cols, id_col)
+    shared = [c for c in base.columns if c in previous.columns and c not in cols and c != id_col]
+    # Ids are compared by how they print: a table read back from CSV may have another type.
+    texts = F.to_json(F.array(*[F.col(c).cast("string") for c in [id_col, *shared]]))
+    key = F.sha2(texts, 256) if shared else F.when(F.col(id_col).isNotNull(), F.sha2(texts, 256))
+    earlier = one_per_id(previous.withColumn(ROW, key).select(ROW, *cols), ROW)
+    return write_back(base.withColumn(ROW, key), earlier, cols, ROW).drop(ROW)
 
 
 def stored_answers(answers: DataFrame, id_col: str = "id") -> Callable[[DataFrame], DataFrame]:

@@ -12,14 +12,15 @@ from suarakit.operators.quality import keep_first
 def new_records(batch: DataFrame, store: DataFrame, order: str, id_col: str = "id") -> DataFrame:
     """First record per id that the store does not hold yet.
 
-    A missing id counts as an ordinary id: one such record is accepted, ever. NULL is split
-    into a value and a flag, so that de-duplication and anti-join share one shuffle, and a
+    A missing id counts as an ordinary id: one such record is accepted, ever. Ids of any type
+    are compared by how they print, so a store that keeps them otherwise still knows them. NULL is
+    split into a value and a flag, so that de-duplication and anti-join share one shuffle, and a
     hot id is down to one row before the join.
     """
 
     def keyed(df: DataFrame) -> DataFrame:
         return df.withColumns(
-            {"_key": F.coalesce(F.col(id_col), F.lit("")), "_null": F.col(id_col).isNull()}
+            {"_key": F.coalesce(F.col(id_col).cast("string"), F.lit("")), "_null": F.col(id_col).isNull()}
         )
 
     first = keep_first(keyed(batch), ["_key", "_null"], order)

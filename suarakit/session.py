@@ -10,6 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
+_local_dirs: dict[str, str] = {}
 
 
 def ship(spark: SparkSession) -> SparkSession:
@@ -63,14 +64,19 @@ def local_session(cores: str = "*", **conf: str) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder all executors can reach, as named by ``spark.checkpoint.dir``."""
+    """Folder all executors can reach, as named by ``spark.checkpoint.dir``.
+
+    Only a session of one process (``local[n]``) may do without: it gets a temporary folder.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        master = spark.sparkContext.master
-        if master != "local" and not master.startswith("local["):
+        context = spark.sparkContext
+        if context.master != "local" and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="suarakit-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        # The setting is fixed once a session runs, so the folder is remembered here.
+        if context.applicationId not in _local_dirs:
+            _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="suarakit-")
+        root = _local_dirs[context.applicationId]
     return root.rstrip("/")
 
 
@@ -79,6 +85,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/suarakit/{name}-{uuid.uuid4().hex}"
 
 
+def delete_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a folder that :func:`scratch_path` named; anything else is refused."""
+    if not path.startswith(f"{shared_dir(spark)}/suarakit/"):
+        raise ValueError(f"{path} is no scratch folder")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint that survives executor loss."""
     spark = df.sparkSession

@@ -132,3 +132,10 @@ def test_the_system_instruction_reaches_the_model(spark):
     from suarakit.constants import FULL_LABEL_SYSTEM
 
     assert got["summary"] == FULL_LABEL_SYSTEM[:10]
+
+
+def test_resume_goes_row_by_row(spark):
+    base = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (None, "d"), (2, None), (2, "e")], "id long, isi string")
+    done = spark.createDataFrame([("1", "a", "high"), ("1", "b", "low"), (None, "d", "medium"), ("2", None, "low")], "id string, isi string, urgency string")
+    got = {(r.id, r.isi): r.urgency for r in A.resume(base, done, ("urgency",)).collect()}
+    assert got == {(1, "a"): "high", (1, "b"): "low", (None, "c"): None, (None, "d"): "medium", (2, None): "low", (2, "e"): None}

@@ -119,3 +119,39 @@ def test_a_page_logged_twice_counts_once(spark):
     assert cut([(1, 3), (2, 0), (2, 0), (3, 0), (4, 5)]) == {None}
     assert cut([(1, 0), (2, 0), (3, 0), (3, 0), (4, 1)]) == {3}
     assert cut([(1, 0), (2, 0), (2, 4), (3, 0), (4, 0)]) == {None}
+
+
+def test_numeric_ids_are_taken_in(spark):
+    from suarakit.operators.ingest import new_records
+
+    batch = spark.createDataFrame([(5, 1), (5, 2), (None, 3), (None, 4), (7, 5)], "id long, seq int")
+    store = spark.createDataFrame([("7",)], "id string")
+    assert sorted((r.id or 0, r.seq) for r in new_records(batch, store, "seq").collect()) == [(0, 3), (5, 1)]
+
+
+def test_scratch_without_a_shared_folder(tmp_path, sf_dir):
+    """A plain local session, whose settings name no checkpoint folder, gets one of its own."""
+    import os
+    import subprocess
+    import sys
+
+    script = f"""
+import sys
+sys.path.insert(0, {os.path.dirname(os.path.dirname(os.path.abspath(__file__)))!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+assert not spark.conf.get("spark.checkpoint.dir", None)
+from suarakit.session import delete_scratch, materialise, scratch_path, shared_dir
+path = scratch_path(spark, "x")
+assert path.startswith(shared_dir(spark))
+materialise(spark.range(3)).write.parquet(path)
+print("rows", spark.read.parquet(path).count())
+delete_scratch(spark, path)
+try:
+    delete_scratch(spark, "/tmp/other")
+except ValueError:
+    print("refused")
+"""
+    env = os.environ | {"SPARK_CONF_DIR": str(tmp_path)}
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "rows 3" in done.stdout and "refused" in done.stdout, done.stderr[-2000:]
