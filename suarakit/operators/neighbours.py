@@ -9,8 +9,11 @@ Which blocks meet is decided by cells:
 
 * ``exact`` puts every stored vector into the cell of its nearest pivot. A query skips a cell
   if the triangle inequality on the sphere proves that nothing in it can win.
-* ``lsh`` puts vectors with equal random-hyperplane signatures into one cell. It is far
-  cheaper on large tables but may miss neighbours; measure its recall.
+* ``index`` looks into a few inverted lists of bounded length (:mod:`suarakit.operators.index`),
+  whatever the size of the store. It may miss neighbours; measure its recall.
+* ``lsh`` puts vectors with equal random-hyperplane signatures of a given layout into one cell.
+  Without a layout it is the same as ``index``: the bands a layout needs for a fixed recall grow
+  with the store, those lists do not.
 """
 
 from __future__ import annotations
@@ -28,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from suarakit import constants as K
+from suarakit.operators import index as I
 from suarakit.operators.quality import keep_first
 from suarakit.session import materialise
 
@@ -309,6 +313,7 @@ def nearest(
     min_similarity: float | None = None,
     method: str = "exact",
     lsh: Lsh | None = None,
+    search: I.Search | None = None,
     block_rows: int | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
     distinct_store: bool = False,
@@ -321,7 +326,7 @@ def nearest(
     worse neighbours (judged on the score rounded to four places) and prunes harder. Equal
     similarities go to the earlier, then the smaller id. ``distinct_store`` promises that no
     two stored vectors are identical and saves collapsing them. Ids of ``batch`` are unique;
-    the store may name its id and order columns otherwise.
+    the store may name its id and order columns otherwise. ``search`` says how far ``index`` looks.
     """
     q = _side(batch, id_col, vec_col, order_col)
     s = _side(store, store_id_col or id_col, vec_col, order_col and (store_order_col or order_col))
@@ -342,8 +347,18 @@ def nearest(
             # Choosing pivots, measuring cells and packing blocks all read the store.
             s = materialise(s)
 
+    def answered(found: DataFrame) -> DataFrame:
+        best = found.groupBy("id").agg(F.min(F.struct("far", "s_ord", "s_id", "sim")).alias("b"))
+        return ids.join(best, "id", "left").select(
+            "id", F.col("b.sim").alias("similarity"), F.col("b.s_id").alias("nearest_id")
+        )
+
+    if method == "index" or method == "lsh" and lsh is None:
+        found = I.nearest(q, I.build(s), ordered, search or I.Search(), _STABLE)
+        if min_similarity is not None:
+            found = found.where(F.round("sim", 4) >= min_similarity)
+        return answered(found)
     if method == "lsh":
-        lsh = lsh or Lsh.sized(size["n"], K.DUPLICATE_THRESHOLD if min_similarity is None else min_similarity)
         routed = s.withColumn("cell", F.explode(_lsh_cell(lsh)("vec")))
         router = _lsh_router(lsh)
         crowd = routed.groupBy("cell").agg(F.ceil(F.count("*") / block_rows).alias("parts"))
@@ -374,8 +389,4 @@ def nearest(
         pairs = asked.join(F.broadcast(stored), ["cell", "part"])
     else:
         pairs = _meet(asked, stored, copies * math.ceil(size["n"] / block_rows))
-    found = _best_matches(pairs, ordered, min_similarity)
-    best = found.groupBy("id").agg(F.min(F.struct("far", "s_ord", "s_id", "sim")).alias("b"))
-    return ids.join(best, "id", "left").select(
-        "id", F.col("b.sim").alias("similarity"), F.col("b.s_id").alias("nearest_id")
-    )
+    return answered(_best_matches(pairs, ordered, min_similarity))
