@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from suarakit import constants as K
 from suarakit.functions.vectors import verdict
-from suarakit.operators.neighbours import nearest
+from suarakit.operators.neighbours import earlier_matches, nearest
 from suarakit.session import materialise
 
-_FIRST = -(1 << 63)
-
 
 def check_duplicates(
     batch: DataFrame,
@@ -51,31 +51,86 @@ def numbered(
     return materialise(rows.withColumn("key", F.monotonically_increasing_id()).drop("ord"))
 
 
-def _kept_keys(rows: DataFrame, threshold: float, **search) -> DataFrame:
+def _pass_over(rows: DataFrame) -> DataFrame:
+    """Keys to keep of the rows ``key, id, earlier`` of one task, in one pass in key order."""
+    schema = T.StructType([rows.schema["key"]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept, taken = set(), set()
+        for batch in batches:
+            fresh = []
+            for key, id_, earlier in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if id_ not in taken and not any(k in kept for k in earlier or ()):
+                    kept.add(key)
+                    fresh.append(key)
+                    if id_ is not None:
+                        taken.add(id_)
+            yield pa.RecordBatch.from_arrays([pa.array(fresh, pa.int64())], names=["key"])
+
+    return rows.select("key", "id", "earlier").coalesce(1).sortWithinPartitions("key").mapInArrow(run, schema)
+
+
+def _settled(undecided: DataFrame, edges: DataFrame, finish_at: int) -> DataFrame:
+    """Keys kept among ``undecided`` (key, id), given all ``edges`` (u, v) from rows to earlier similar ones.
+
+    Rounds on the edges alone: rows without an earlier undecided one that resembles them or has
+    their id are kept; rows that resemble a kept one or have its id are dropped; edges to and from
+    decided rows go. Once ``finish_at`` rows and edges or fewer are left, one task passes over them.
+    """
+    kept = []
+    while True:
+        # Rows that neither resemble nor share an id with others need no round.
+        n, m = undecided.count(), edges.count()
+        if n + m <= finish_at:
+            earlier = edges.groupBy(F.col("u").alias("key")).agg(F.collect_list("v").alias("earlier"))
+            kept.append(_pass_over(undecided.join(earlier, "key", "left")))
+            return reduce(DataFrame.unionAll, kept)
+        first = undecided.where("id is not null").groupBy(F.col("id").alias("i")).agg(F.min("key").alias("first"))
+        joined = undecided.join(first, F.col("id") == F.col("i"), "left")
+        ready = joined.where(F.coalesce(F.col("first") == F.col("key"), F.lit(True))).select("key", "id")
+        fresh = materialise(ready.join(edges.select(F.col("u").alias("key")).distinct(), "key", "left_anti"))
+        kept.append(fresh.select("key"))
+        near = edges.join(fresh.select(F.col("key").alias("v")), "v").select(F.col("u").alias("key"))
+        rest = undecided.join(fresh.select("key").unionAll(near).distinct(), "key", "left_anti")
+        rest = materialise(rest.join(fresh.select(F.col("id").alias("taken")).distinct(), F.col("id") == F.col("taken"), "left_anti"))
+        for end in ("u", "v"):
+            edges = edges.join(rest.select(F.col("key").alias(end)), end, "left_semi")
+        undecided, edges = rest, materialise(edges.select("u", "v"))
+
+
+def _kept_keys(
+    rows: DataFrame, threshold: float, edges_per_row: int = 64, finish_at: int = 1 << 20, **search
+) -> DataFrame:
     """Keys of the rows that are stored when each meets those stored before it.
 
-    A row is stored for certain once no earlier undecided row resembles it or has its id, and
-    left out for certain once an earlier stored row does. Rounds apply both rules to all
-    undecided rows until none is left; each costs two neighbour searches that return one flag
-    per row, so dense groups never turn into edge lists.
+    Edges from rows to earlier similar ones are found once, and the rest happens on the edges. In
+    crowded places edges grow with the square of the rows; so they are counted first, and while
+    there are more than ``edges_per_row`` for each row, a round of vector search keeps the rows
+    without an edge and drops what resembles them, which empties such places.
     """
-    options = dict(id_col="key", vec_col="vec", order_col="key", min_similarity=threshold, **search)
-    kept = [rows.select("key").filter("false")]
+    kept = []
     undecided = rows.select("key", "id", "vec")
-    while not undecided.isEmpty():
-        near = nearest(undecided, undecided, **options).select(
-            F.col("id").alias("k"), F.col("nearest_id").isNotNull().alias("near")
-        )
-        first = undecided.groupBy(F.col("id").alias("i")).agg(F.min("key").alias("first"))
-        waits = F.col("near") | F.coalesce(F.col("first") < F.col("key"), F.lit(False))
-        joined = undecided.join(near, F.col("key") == F.col("k")).join(first, F.col("id") == F.col("i"), "left")
-        split = materialise(joined.select("key", "id", "vec", waits.alias("waits")))
+    # Each row has at most as many edges as there are rows before it: no need to count few rows.
+    n = most = undecided.count()
+    while n > 2 * edges_per_row:
+        near = materialise(earlier_matches(undecided, threshold, counts=True, **search).toDF("k", "n"))
+        total = near.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        if total <= edges_per_row * most:
+            break
+        first = undecided.where("id is not null").groupBy(F.col("id").alias("i")).agg(F.min("key").alias("first"))
+        waiting = undecided.join(near, F.col("key") == F.col("k"), "left").join(first, F.col("id") == F.col("i"), "left")
+        waits = F.col("k").isNotNull() | F.coalesce(F.col("first") < F.col("key"), F.lit(False))
+        split = materialise(waiting.select("key", "id", "vec", waits.alias("waits")))
         fresh, rest = split.filter("not waits").drop("waits"), split.filter("waits").drop("waits")
         kept.append(fresh.select("key"))
+        options = dict(id_col="key", vec_col="vec", order_col="key", min_similarity=threshold, **search)
         free = nearest(rest, fresh, **options).filter("similarity IS NULL").select(F.col("id").alias("k"))
         taken = fresh.select(F.col("id").alias("i")).distinct()
         open_rows = rest.join(free, F.col("key") == F.col("k")).join(taken, F.col("id") == F.col("i"), "left_anti")
         undecided = materialise(open_rows.select("key", "id", "vec"))
+        n = undecided.count()
+    edges = materialise(earlier_matches(undecided, threshold, **search).toDF("u", "v"))
+    kept.append(_settled(undecided.select("key", "id"), edges, finish_at))
     return reduce(DataFrame.unionAll, kept)
 
 
@@ -112,21 +167,29 @@ def split_arrivals(
     instance ``method="lsh"``.
     """
     rows = numbered(batch, id_col, vec_col, order_col, carry)
-    fresh, seeds = rows, None
+    fresh, stored_best = rows, None
+    # Decisions go by the options of the rounds, verdicts by those of the search.
+    rounds = {k: search.pop(k) for k in ("edges_per_row", "finish_at") if k in search}
     if store is not None:
-        seeds = store.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec"), F.lit(_FIRST).alias("ord"))
+        seeds = store.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec"))
+        best = nearest(rows, seeds, "key", "vec", store_id_col="id", **search)
+        stored_best = materialise(best.toDF("key", "s_sim", "s_id"))
+        similar = F.coalesce(F.round("s_sim", 4) >= threshold, F.lit(False))
         new = rows.join(seeds.select("id").distinct(), "id", "left_anti")
-        free = nearest(
-            new, seeds, "key", "vec", min_similarity=threshold, store_id_col="id", **search
-        ).filter("similarity IS NULL")
-        fresh = new.join(free.select(F.col("id").alias("key")), "key", "left_semi")
-    keys = materialise(_kept_keys(fresh, threshold, **search))
+        fresh = new.join(stored_best.filter(~similar).select("key"), "key", "left_semi")
+    keys = materialise(_kept_keys(fresh, threshold, **rounds, **search))
     kept = rows.join(keys, "key", "left_semi")
     candidates = kept.select("id", "vec", F.col("key").alias("ord"))
     found = nearest(
-        rows, candidates if seeds is None else seeds.unionByName(candidates), "key", "vec", "key",
-        store_id_col="id", store_order_col="ord", **search,
+        rows, candidates, "key", "vec", "key", store_id_col="id", store_order_col="ord", **search
     ).withColumnRenamed("id", "key")
+    if stored_best is not None:
+        # Stored rows came first, so they win ties.
+        older = F.col("s_sim").isNotNull() & (F.col("similarity").isNull() | (F.col("s_sim") >= F.col("similarity")))
+        found = found.join(stored_best, "key").select(
+            "key", F.when(older, F.col("s_sim")).otherwise(F.col("similarity")).alias("similarity"),
+            F.when(older, F.col("s_id")).otherwise(F.col("nearest_id")).alias("nearest_id"),
+        )
     v = verdict(F.col("similarity"), F.col("nearest_id"), F.col("id"), threshold)
     judged = rows.select("key", "id").join(found, "key").join(keys.withColumn("stored", F.lit(True)), "key", "left")
     verdicts = judged.select(

@@ -294,6 +294,37 @@ def _best_matches(pairs: DataFrame, ordered: bool, min_similarity: float | None)
     return pairs.select("q_rows", "s_rows").mapInArrow(multiply, schema)
 
 
+def _all_matches(pairs: DataFrame, ordered: bool, min_similarity: float, counts: bool) -> DataFrame:
+    """Every match of at least ``min_similarity`` as ``id, s_id``, or their number for each query as ``id, n``."""
+    q_type = pairs.schema["q_rows"].dataType.elementType
+    s_type = pairs.schema["s_rows"].dataType.elementType
+    last = T.StructField("n", T.LongType()) if counts else T.StructField("s_id", s_type["id"].dataType)
+    schema = T.StructType([T.StructField("id", q_type["id"].dataType), last])
+
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                q = batch.column("q_rows")[i].values
+                s = batch.column("s_rows")[i].values
+                s_units, s_ord = _matrix(s.field("vec")), s.field("ord").to_numpy()
+                for lo in range(0, len(q), _CHUNK):
+                    part = q.slice(lo, _CHUNK)
+                    sims = np.round(_matrix(part.field("vec")) @ s_units.T, _STABLE)
+                    near = np.round(sims, 4) >= min_similarity
+                    if ordered:
+                        near &= s_ord[None, :] < part.field("ord").to_numpy()[:, None]
+                    if counts:
+                        n = near.sum(axis=1)
+                        rows = np.flatnonzero(n)
+                        found = pa.array(n[rows])
+                    else:
+                        rows, best = np.nonzero(near)
+                        found = s.field("id").take(pa.array(best))
+                    yield pa.RecordBatch.from_arrays([part.field("id").take(pa.array(rows)), found], names=schema.names)
+
+    return pairs.select("q_rows", "s_rows").mapInArrow(multiply, schema)
+
+
 # --- search -----------------------------------------------------------------------------
 
 def _side(df: DataFrame, id_col: str, vec_col: str, order_col: str | None) -> DataFrame:
@@ -304,6 +335,83 @@ def _side(df: DataFrame, id_col: str, vec_col: str, order_col: str | None) -> Da
     ).filter(F.exists("vec", lambda x: x != 0))
 
 
+def _met(
+    q: DataFrame, s: DataFrame, size, ordered: bool, min_similarity: float | None, lsh: Lsh | None, block_rows: int, broadcast_bytes: int
+) -> DataFrame:
+    """Blocks of both sides that can matter to each other."""
+    if lsh is not None:
+        routed = s.withColumn("cell", F.explode(_lsh_cell(lsh)("vec")))
+        router = _lsh_router(lsh)
+        crowd = routed.groupBy("cell").agg(F.ceil(F.count("*") / block_rows).alias("parts"))
+
+        def with_parts(df: DataFrame) -> DataFrame:
+            return df.join(crowd, "cell")
+
+    else:
+        routed, router, crowd = _pivot_cells(s, size["n"], block_rows, ordered, min_similarity)
+
+        def with_parts(df: DataFrame) -> DataFrame:
+            # One literal per pivot: small by construction.
+            sizes = F.array(*[F.lit(p) for p in crowd])
+            return df.withColumn("parts", F.get(sizes, F.col("cell").cast("int")))
+
+    copies = lsh.bands if lsh is not None else 1
+    stored = _pack_store(with_parts(routed))
+    part = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")
+    asked = with_parts(_pack_queries(q, router, block_rows)).select("cell", part, "q_rows")
+    # Entries as they are stored, and an id and an order beside them.
+    entry = s.schema["vec"].dataType.elementType
+    width = {T.DoubleType(): 8, T.LongType(): 8}.get(entry, 4)
+    if copies * size["n"] * (size["dim"] * width + 64) <= broadcast_bytes:
+        # A store of this checked size goes to every task, and the batch is not shuffled.
+        return asked.join(F.broadcast(stored), ["cell", "part"])
+    return _meet(asked, stored, copies * math.ceil(size["n"] / block_rows))
+
+
+def _size(s: DataFrame):
+    return s.agg(F.count("*").alias("n"), F.max(F.size("vec")).alias("dim")).first()
+
+
+def _block_rows(size) -> int:
+    return max(64, min(BLOCK_ROWS, BLOCK_BYTES // (4 * size["dim"])))
+
+
+def earlier_matches(
+    rows: DataFrame,
+    min_similarity: float,
+    id_col: str = "key",
+    vec_col: str = "vec",
+    method: str = "exact",
+    lsh: Lsh | None = None,
+    search: I.Search | None = None,
+    block_rows: int | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    counts: bool = False,
+) -> DataFrame:
+    """Pairs ``id, s_id`` of rows and earlier rows (of smaller id) that are as similar, or with
+    ``counts`` their number for each row as ``id, n``.
+
+    Crowded places have many pairs: count them before asking for them. ``method="index"`` finds no
+    more pairs of a row than ``search`` compares exactly.
+    """
+    q = s = _side(rows, id_col, vec_col, id_col)
+    size = _size(s)
+    if not size["n"]:
+        last = F.lit(0).cast("long").alias("n") if counts else F.col("id").alias("s_id")
+        return q.select("id", last)
+    if method == "index" or method == "lsh" and lsh is None:
+        found = I.nearest(q, I.build(s), True, search or I.Search(), _STABLE).where(F.round("sim", 4) >= min_similarity)
+        return found.groupBy("id").agg(F.count("*").alias("n")) if counts else found.select("id", "s_id")
+    if _n_pivots(size["n"], block_rows or _block_rows(size)) > 1:
+        s = materialise(s)
+    met = _met(q, s, size, True, min_similarity, lsh, block_rows or _block_rows(size), broadcast_bytes)
+    found = _all_matches(met, True, min_similarity, counts)
+    if counts:
+        return found.groupBy("id").agg(F.sum("n").alias("n"))
+    # Several bands may hold the same pair.
+    return found if lsh is None else found.distinct()
+
+
 def nearest(
     batch: DataFrame,
     store: DataFrame,
@@ -331,13 +439,13 @@ def nearest(
     q = _side(batch, id_col, vec_col, order_col)
     s = _side(store, store_id_col or id_col, vec_col, order_col and (store_order_col or order_col))
     ordered = order_col is not None
-    size = s.agg(F.count("*").alias("n"), F.max(F.size("vec")).alias("dim")).first()
+    size = _size(s)
     ids = batch.select(F.col(id_col).alias("id"))
     if not size["n"]:
         return ids.select("id", F.lit(None).cast("double").alias("similarity"),
                           F.lit(None).cast(s.schema["id"].dataType).alias("nearest_id"))
     if block_rows is None:
-        block_rows = max(64, min(BLOCK_ROWS, BLOCK_BYTES // (4 * size["dim"])))
+        block_rows = _block_rows(size)
 
     if not distinct_store:
         # Identical stored vectors tie, and the first of them wins: the others cannot matter.
@@ -358,35 +466,7 @@ def nearest(
         if min_similarity is not None:
             found = found.where(F.round("sim", 4) >= min_similarity)
         return answered(found)
-    if method == "lsh":
-        routed = s.withColumn("cell", F.explode(_lsh_cell(lsh)("vec")))
-        router = _lsh_router(lsh)
-        crowd = routed.groupBy("cell").agg(F.ceil(F.count("*") / block_rows).alias("parts"))
-
-        def with_parts(df: DataFrame) -> DataFrame:
-            return df.join(crowd, "cell")
-
-    elif method == "exact":
-        routed, router, crowd = _pivot_cells(s, size["n"], block_rows, ordered, min_similarity)
-
-        def with_parts(df: DataFrame) -> DataFrame:
-            # One literal per pivot: small by construction.
-            sizes = F.array(*[F.lit(p) for p in crowd])
-            return df.withColumn("parts", F.get(sizes, F.col("cell").cast("int")))
-
-    else:
+    if method not in ("exact", "lsh"):
         raise ValueError(f"unknown method {method!r}")
-
-    copies = lsh.bands if method == "lsh" else 1
-    stored = _pack_store(with_parts(routed))
-    part = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")
-    asked = with_parts(_pack_queries(q, router, block_rows)).select("cell", part, "q_rows")
-    # Entries as they are stored, and an id and an order beside them.
-    entry = s.schema["vec"].dataType.elementType
-    width = {T.DoubleType(): 8, T.LongType(): 8}.get(entry, 4)
-    if copies * size["n"] * (size["dim"] * width + 64) <= broadcast_bytes:
-        # A store of this checked size goes to every task, and the batch is not shuffled.
-        pairs = asked.join(F.broadcast(stored), ["cell", "part"])
-    else:
-        pairs = _meet(asked, stored, copies * math.ceil(size["n"] / block_rows))
+    pairs = _met(q, s, size, ordered, min_similarity, lsh if method == "lsh" else None, block_rows, broadcast_bytes)
     return answered(_best_matches(pairs, ordered, min_similarity))

@@ -193,3 +193,30 @@ def test_a_crowded_cell_is_split(spark):
     sizes = F.array(*[F.lit(p) for p in parts])
     blocks = N._pack_store(routed.withColumn("parts", F.get(sizes, F.col("cell").cast("int"))))
     assert blocks.agg(F.max(F.size("s_rows"))).first()[0] < 100
+
+
+@pytest.mark.parametrize("options", [{"finish_at": 0}, {"edges_per_row": 1, "finish_at": 0}, {"edges_per_row": 0}, {}])
+def test_rounds_on_edges_equal_sequential_pass(spark, options):
+    """The same rows are kept by rounds on edges, by vector rounds first, and by one pass."""
+    m = clustered(300)
+    df = frame(spark, enumerate(m.astype(np.float32)))
+    for threshold in (0.3, 0.6):
+        got = sorted(r[0] for r in first_come(df, threshold=threshold, **options).collect())
+        assert got == greedy(m, threshold)
+
+
+@pytest.mark.parametrize("options", [{"finish_at": 0}, {"edges_per_row": 0, "finish_at": 0}, {}])
+def test_repeated_ids_in_rounds(spark, options):
+    rng = np.random.default_rng(11)
+    m = rng.standard_normal((240, 6))
+    ids = [None if i % 13 == 0 else str(i % 40) for i in range(240)]
+    s = np.round(m @ m.T / np.linalg.norm(m, axis=1) / np.linalg.norm(m, axis=1)[:, None], 4)
+    kept, taken = [], set()
+    for i in range(240):
+        if ids[i] in taken or any(s[i, j] >= 0.8 for j in kept):
+            continue
+        kept.append(i)
+        taken |= {ids[i]} - {None}
+    df = spark.createDataFrame([(ids[i], i, m[i].tolist()) for i in range(240)], "id string, seq long, embedding array<double>").repartition(3)
+    got = first_come(df, id_col="id", order_col="seq", threshold=0.8, **options)
+    assert sorted(r.seq for r in got.collect()) == kept
