@@ -14,7 +14,7 @@ from suarakit.operators.near_duplicates import check_duplicates, deduplicate_arr
 from suarakit.operators.neighbours import nearest
 from suarakit.plans import jobs
 from suarakit.session import materialise, scratch_path
-from suarakit.sources import writers
+from suarakit.sources import vector_table, writers
 
 QUERIES, SQL = {}, {}
 
@@ -215,3 +215,30 @@ def vector_store(spark, sf):
     return writers.read_vector_store(spark, path).select(
         "complaint_id", "text", "category", F.transform("embedding", lambda x: F.round(x.cast("double"), 6)).alias("embedding")
     )
+
+
+@query(f"""WITH {_MIXED} SELECT vec_id, round(sim, 4) AS similarity, other AS nearest_id FROM t WHERE vec_id % 5 = 0
+UNION ALL SELECT -1, count(*)::DOUBLE, max(vec_id) FROM embeddings""")
+def vector_table_batches(spark, sf):
+    """A table by cell filled in four batches, one of them twice, compacted, and asked through the cells that matter.
+
+    Row -1 has the number of stored rows and the largest id.
+    """
+    e = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    path = f"{scratch_path(spark, 'vector-table')}/table"
+    for batch in (0, 1, 2, 2):
+        vector_table.append(e.filter(F.col("vec_id") % 4 == batch), path, batch)
+    vector_table.compact(spark, path, 1)
+    vector_table.append(e.filter(F.col("vec_id") % 4 == 3), path, 3)
+    after = e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("other"))
+    mixed = F.zip_with("embedding", "other", lambda x, y: x + F.lit(0.75) * y)
+    asked = e.join(after, "vec_id", "left").filter("vec_id % 5 = 0").select(
+        "vec_id", F.coalesce(mixed, F.col("embedding").cast("array<double>")).alias("embedding")
+    )
+    asked = materialise(asked)
+    found = nearest(asked, vector_table.probe(asked, path))
+    rows = found.select(F.col("id").alias("vec_id"), F.round("similarity", 4).alias("similarity"), "nearest_id")
+    total = vector_table.read(spark, path).agg(
+        F.lit(-1).cast("bigint").alias("vec_id"), F.count("*").cast("double").alias("similarity"), F.max("vec_id").alias("nearest_id")
+    )
+    return rows.unionByName(total)

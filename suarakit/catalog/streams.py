@@ -45,12 +45,13 @@ def near_duplicate_stream(spark, sf):
     """Vectors replayed as a stream of several batches in arrival order."""
     e = table(spark, sf, "embeddings")
     source, out = scratch_path(spark, "arrivals"), scratch_path(spark, "intake")
-    # Three files written one after the other, each a third of the ids in order.
+    # Three writes one after the other, each a third of the ids in order, in as many files as it has parts.
     low, high = e.agg(F.percentile_approx("vec_id", [1 / 3, 2 / 3])).first()[0]
     third = F.when(F.col("vec_id") <= low, 0).when(F.col("vec_id") <= high, 1).otherwise(2)
+    parts = max(1, spark.sparkContext.defaultParallelism // 4)
     for i in range(3):
-        e.filter(third == i).coalesce(1).write.mode("append").parquet(source)
-    stream = ingest.stream_files(spark, source, e.schema, files_per_trigger=1)
+        e.filter(third == i).repartition(parts).write.mode("append").parquet(source)
+    stream = ingest.stream_files(spark, source, e.schema, files_per_trigger=parts)
     ingest.start_near_duplicate_intake(
         stream, out, f"{out}/checkpoint", threshold=THRESHOLD
     ).awaitTermination()

@@ -84,14 +84,14 @@ def _local_kmeans(units: np.ndarray, k: int, rounds: int) -> np.ndarray:
     return centroids
 
 
-def _shares(rows: DataFrame, n: int, wanted: int) -> DataFrame:
+def sample_rows(rows: DataFrame, n: int, wanted: int) -> DataFrame:
     """About ``wanted`` rows by their hash, the same ones each time."""
     if n <= wanted:
         return rows
     return rows.where(F.pmod(F.xxhash64("sid"), F.lit(1 << 20)) < max(1, int((1 << 20) * wanted / n)))
 
 
-def _coarse(sample: DataFrame, k: int, rounds: int) -> np.ndarray:
+def coarse_centres(sample: DataFrame, k: int, rounds: int) -> np.ndarray:
     """k-means by one job a round: tasks add up their vectors, the sums of a centroid meet by a shuffle."""
     spark = sample.sparkSession
     seeds = sample.orderBy(F.xxhash64("sid", F.lit(1)), "sid").limit(k).select("vec").toArrow()
@@ -168,7 +168,7 @@ def _children(rows: DataFrame, coarse: np.ndarray, n: int, list_rows: int, round
     sizes = {r["cell"]: r["n"] for r in celled.groupBy("cell").agg(F.count("*").alias("n")).collect()}
     wanted = [math.ceil(sizes.get(c, 0) / list_rows) for c in range(len(coarse))]
     lists = spark.sparkContext.broadcast(wanted)
-    some = _shares(rows, n, sample * sum(wanted)).select("sid", "vec").mapInArrow(cell_of, schema)
+    some = sample_rows(rows, n, sample * sum(wanted)).select("sid", "vec").mapInArrow(cell_of, schema)
     most = F.get(F.array(*[F.lit(sample * w) for w in wanted]), F.col("cell"))
     order = Window.partitionBy("cell").orderBy(F.xxhash64("sid", F.lit(2)), "sid")
     some = some.withColumn("place", F.row_number().over(order)).where(F.col("place") <= most)
@@ -197,7 +197,7 @@ def build(rows: DataFrame, list_rows: int = LIST_ROWS, rounds: int = 5, sample:
     n_lists = max(1, min(math.ceil(n / list_rows), CENTROID_BYTES // (4 * dim)))
     list_rows = math.ceil(n / n_lists)
     coarse = n_lists if n_lists <= 32 else math.ceil(math.sqrt(n_lists))
-    centroids = _coarse(materialise(_shares(rows, n, 256 * coarse)), coarse, rounds if coarse > 1 else 0)
+    centroids = coarse_centres(materialise(sample_rows(rows, n, 256 * coarse)), coarse, rounds if coarse > 1 else 0)
     if n_lists <= 32:
         centroids = Centroids(centroids, centroids, np.arange(len(centroids) + 1))
     else:

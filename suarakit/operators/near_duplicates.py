@@ -156,6 +156,7 @@ def split_arrivals(
     order_col: str = "vec_id",
     threshold: float = K.DUPLICATE_THRESHOLD,
     carry: Sequence[str] = (),
+    stored_ids: DataFrame | None = None,
     **search,
 ) -> tuple[DataFrame, DataFrame]:
     """Check-then-store in arrival order: a verdict for every row, and the rows to store.
@@ -163,7 +164,8 @@ def split_arrivals(
     Each row is compared with the store and with the rows stored before it; only rows that
     are no duplicate are stored. A row whose id is stored already, by the store or by an
     earlier row of the batch, is checked but not stored again; rows without an id are told
-    apart. There are as many verdicts as rows. ``search`` goes to :func:`nearest`, for
+    apart. There are as many verdicts as rows. ``store`` may be the part of a larger one that can
+    matter to the batch; ``stored_ids`` then has the ids of all of it. ``search`` goes to :func:`nearest`, for
     instance ``method="lsh"``.
     """
     rows = numbered(batch, id_col, vec_col, order_col, carry)
@@ -175,7 +177,8 @@ def split_arrivals(
         best = nearest(rows, seeds, "key", "vec", store_id_col="id", **search)
         stored_best = materialise(best.toDF("key", "s_sim", "s_id"))
         similar = F.coalesce(F.round("s_sim", 4) >= threshold, F.lit(False))
-        new = rows.join(seeds.select("id").distinct(), "id", "left_anti")
+        known = seeds.select("id") if stored_ids is None else stored_ids.select(F.col(id_col).alias("id"))
+        new = rows.join(known.distinct(), "id", "left_anti")
         fresh = new.join(stored_best.filter(~similar).select("key"), "key", "left_semi")
     keys = materialise(_kept_keys(fresh, threshold, **rounds, **search))
     kept = rows.join(keys, "key", "left_semi")

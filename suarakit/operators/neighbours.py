@@ -80,7 +80,7 @@ def _matrix(lists: pa.Array) -> np.ndarray:
     return _unit(lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1))
 
 
-def _angles(units: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+def pivot_angles(units: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.arccos(np.clip(units @ pivots.T, -1.0, 1.0))
 
 
@@ -91,7 +91,7 @@ def _pivot_cell(pivots: np.ndarray):
     def assign(vec: pd.Series) -> pd.DataFrame:
         if not len(vec):
             return pd.DataFrame({"cell": [], "angle": []})
-        angle = _angles(_unit(np.stack(vec.to_numpy())), pivots)
+        angle = pivot_angles(_unit(np.stack(vec.to_numpy())), pivots)
         cell = angle.argmin(axis=1)
         return pd.DataFrame({"cell": cell, "angle": angle[np.arange(len(cell)), cell]})
 
@@ -99,7 +99,7 @@ def _pivot_cell(pivots: np.ndarray):
     return assign.asNondeterministic()
 
 
-def _pivot_router(
+def pivot_router(
     pivots: np.ndarray,
     pivot_order: np.ndarray,
     radius: np.ndarray,
@@ -113,7 +113,7 @@ def _pivot_router(
     )
 
     def route(units: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        angle = _angles(units, pivots)
+        angle = pivot_angles(units, pivots)
         known = angle
         if ordered:
             known = np.where(pivot_order[None, :] < order[:, None], angle, math.pi)
@@ -151,7 +151,7 @@ def _pivot_cells(
     for c in cells:
         radius[c["cell"]] = c["radius"]
         parts[c["cell"]] = math.ceil(c["n"] / block_rows)
-    router = _pivot_router(
+    router = pivot_router(
         pivots, np.array([r["ord"] for r in chosen]), radius, ordered, min_similarity
     )
     return assigned.select("id", "ord", "vec", F.col("_c.cell").alias("cell")), router, parts

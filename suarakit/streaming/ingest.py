@@ -12,7 +12,8 @@ from pyspark.sql.streaming import StreamingQuery
 from suarakit import constants as K
 from suarakit.operators.ingest import new_records
 from suarakit.operators.near_duplicates import split_arrivals
-from suarakit.session import prepare
+from suarakit.session import materialise, prepare
+from suarakit.sources import vector_table
 
 
 def stream_files(
@@ -89,28 +90,30 @@ def near_duplicate_sink(
     order_col: str = "vec_id",
     threshold: float = K.DUPLICATE_THRESHOLD,
     keep_cols: tuple[str, ...] = (),
+    compact_every: int | None = 16,
     **search,
 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function that checks each batch and stores what is new.
 
-    ``out/verdicts`` and ``out/store`` have one folder per batch. A batch is compared with the
-    folders of earlier batches only and replaces its own, so a batch that runs again after a
-    failure gives the same result.
+    ``out/store`` is a vector table by cell: a batch reads the cells that can matter to it, of
+    earlier batches only, and the ids of the rest. ``out/verdicts`` has one folder per batch. A batch
+    replaces its own part of both, so one that runs again after a failure gives the same result.
+    Every ``compact_every`` batches the table is written anew, up to the batch before.
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = prepare(batch.sparkSession)
-        columns = [batch.schema[id_col], batch.schema[vec_col], T.StructField("batch", T.LongType())]
-        store = None
-        if batch_id > 0:
-            stored = spark.read.schema(T.StructType(columns)).parquet(f"{out}/store")
-            store = stored.filter(F.col("batch") < batch_id)
-        verdicts_path = f"{out}/verdicts/batch={batch_id}"
+        # A micro-batch is read several times: for its cells, its search and its rounds.
+        batch = materialise(batch)
+        if compact_every and batch_id and batch_id % compact_every == 0:
+            vector_table.compact(spark, f"{out}/store", batch_id - 1, vec_col)
+        store = vector_table.probe(batch, f"{out}/store", vec_col, before=batch_id)
+        ids = None if store is None else vector_table.read(spark, f"{out}/store", before=batch_id)
         verdicts, kept = split_arrivals(
-            batch, store, id_col, vec_col, order_col, threshold, keep_cols, **search
+            batch, store, id_col, vec_col, order_col, threshold, keep_cols, stored_ids=ids, **search
         )
-        verdicts.write.mode("overwrite").parquet(verdicts_path)
-        kept.write.mode("overwrite").parquet(f"{out}/store/batch={batch_id}")
+        verdicts.write.mode("overwrite").parquet(f"{out}/verdicts/batch={batch_id}")
+        vector_table.append(materialise(kept), f"{out}/store", batch_id, vec_col)
 
     return process
 
