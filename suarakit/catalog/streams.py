@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from suarakit.catalog.duplicates import _GREEDY, THRESHOLD
 from suarakit.catalog.tables import table
 from suarakit.session import prepare, scratch_path
-from suarakit.streaming import ingest
+from suarakit.streaming import first_records, ingest
 
 QUERIES, SQL = {}, {}
 
@@ -40,6 +40,23 @@ def distinct_ids_stream(spark, sf):
     return spark.read.parquet(f"{out}/table").select("id", "event_id", "props")
 
 
+@query("""WITH e AS (SELECT *, CASE WHEN user_id % 40 <> 7 THEN event_type || '-' || user_id % 40 END AS id FROM events)
+SELECT id, event_id, props FROM e QUALIFY row_number() OVER (PARTITION BY id ORDER BY event_id DESC) = 1""")
+def first_records_by_state(spark, sf):
+    """Events replayed in three batches; state alone knows what came before, and later batches correct earlier ones."""
+    prepare(spark)
+    events = table(spark, sf, "events").select(
+        F.expr("CASE WHEN user_id % 40 <> 7 THEN concat_ws('-', event_type, user_id % 40) END").alias("id"),
+        "event_id", "props", (-F.col("event_id")).alias("arrival"),
+    )
+    source, out = scratch_path(spark, "events"), scratch_path(spark, "ingest")
+    for i in range(3):
+        events.filter(F.col("event_id") % 3 == i).write.mode("append").parquet(source)
+    stream = ingest.stream_files(spark, source, events.schema, 1)
+    first_records.start(stream, f"{out}/table", f"{out}/checkpoint", "arrival").awaitTermination()
+    return first_records.stored(spark, f"{out}/table", events.schema, "arrival").select("id", "event_id", "props")
+
+
 @query(_GREEDY)
 def near_duplicate_stream(spark, sf):
     """Vectors replayed as a stream of several batches in arrival order."""
