@@ -14,7 +14,7 @@ from suarakit.functions.binding import compute_once
 from suarakit.operators import annotate as A
 from suarakit.plans import jobs
 from suarakit.schemas import LABEL_COLUMNS
-from suarakit.session import spread
+from suarakit.session import scratch_path, spread
 
 QUERIES, SQL = {}, {}
 
@@ -156,10 +156,13 @@ def _length_model():
     return lambda texts: [("so high!", "Medium.", "hmm")[len(t) % 3] for t in texts]
 
 
-@query(f"""WITH {ANNOTATED}, p AS (SELECT *, length({S.fill(K.URGENCY_PROMPT, K.URGENCY_PROMPT_LIMITS, judul='judul', isi='isi')}) AS n
+_BY_LENGTH = f"""WITH {ANNOTATED}, p AS (SELECT *, length({S.fill(K.URGENCY_PROMPT, K.URGENCY_PROMPT_LIMITS, judul='judul', isi='isi')}) AS n
   FROM annotated)
 SELECT CASE WHEN doc_id % 11 = 0 THEN NULL WHEN doc_id % 7 = 0 THEN 'same' ELSE id END AS id, doc_id,
-  CASE WHEN urgency IS NOT NULL THEN urgency ELSE (['high', 'medium', 'unknown'])[n % 3 + 1] END AS urgency FROM p""")
+  CASE WHEN urgency IS NOT NULL THEN urgency ELSE (['high', 'medium', 'unknown'])[n % 3 + 1] END AS urgency FROM p"""
+
+
+@query(_BY_LENGTH)
 def annotate_urgency_with_model(spark, sf):
     """Rows with missing and repeated ids are labelled like all others."""
     d = F.col("doc_id")
@@ -167,6 +170,16 @@ def annotate_urgency_with_model(spark, sf):
     return A.annotate_urgency(rows, _length_model).select("id", "doc_id", "urgency")
 
 
+@query(_BY_LENGTH)
+def annotate_with_ledger(spark, sf):
+    """A first run over some sources, a second one over all: it asks only what the ledger does not know."""
+    d = F.col("doc_id")
+    rows = annotated(spark, sf).withColumn("id", F.when(d % 11 == 0, None).when(d % 7 == 0, "same").otherwise(F.col("id")))
+    ledger = scratch_path(spark, "ledger")
+    A.annotate_urgency(rows.filter("judul < 'src2'"), _length_model, ledger=ledger)
+    return A.annotate_urgency(rows, _length_model, ledger=ledger).select("id", "doc_id", "urgency")
+
+
 @query(f"""WITH {ANNOTATED}, n AS (SELECT doc_id::VARCHAR AS id, source AS judul, text AS isi FROM documents)
 SELECT n.id, a.urgency, a.summary FROM n JOIN annotated a USING (id)""")
 def resume_previous_labels(spark, sf):

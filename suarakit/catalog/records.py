@@ -16,6 +16,7 @@ from suarakit.plans import jobs
 from suarakit.schemas import LABEL_COLUMNS, RAW_COMPLAINT
 from suarakit.session import scratch_path
 from suarakit.sources import readers, writers
+from suarakit.sources.csv_records import read_csv_split
 
 QUERIES, SQL = {}, {}
 
@@ -175,10 +176,11 @@ def converted_distributions(spark, sf):
     return jobs.converted_distributions(readers.read_converted_jsonl(spark, path))
 
 
-@query("""SELECT doc_id::VARCHAR AS id, '  ' || source || ' ' AS judul, text || chr(10) || ' ' AS isi,
-  CASE WHEN lang <> 'fr' THEN lang END AS kategori, 'https://example.org/' || doc_id AS url FROM documents""")
-def csv_file(spark, sf):
-    """Complaints with quotes, line breaks and outer blanks written as CSV and read back."""
+_CSV = """SELECT doc_id::VARCHAR AS id, '  ' || source || ' ' AS judul, text || chr(10) || ' ' AS isi,
+  CASE WHEN lang <> 'fr' THEN lang END AS kategori, 'https://example.org/' || doc_id AS url FROM documents"""
+
+
+def _written_csv(spark, sf):
     path = scratch_path(spark, "csv")
     docs = documents(spark, sf, "doc_id", "text", "source", "lang")
     complaints = docs.select(
@@ -189,7 +191,19 @@ def csv_file(spark, sf):
         F.concat(F.lit("https://example.org/"), F.col("doc_id").cast("string")).alias("url"),
     ).select(*RAW_COMPLAINT.fieldNames())
     writers.write_csv(complaints, path)
-    return readers.read_csv(spark, path)
+    return path
+
+
+@query(_CSV)
+def csv_file(spark, sf):
+    """Complaints with quotes, line breaks and outer blanks written as CSV and read back."""
+    return readers.read_csv(spark, _written_csv(spark, sf))
+
+
+@query(_CSV)
+def csv_split_file(spark, sf):
+    """The same files, read by as many tasks as they have splits."""
+    return read_csv_split(spark, _written_csv(spark, sf))
 
 
 @query("""SELECT doc_id, source, CASE WHEN lang <> 'fr' THEN lang END AS lang, text FROM documents""")

@@ -11,6 +11,7 @@ from suarakit.catalog.tables import (
     slang_text, table,
 )
 from suarakit.functions import category, labels, pii, prompts, text
+from suarakit.operators import dictionaries
 from suarakit.plans import jobs
 from suarakit.session import spread
 
@@ -138,3 +139,32 @@ SQL["intake_prompts"] = (
     f"WITH m AS ({S.staged('documents', 'doc_id', CONTACT_TEXT, S.email, S.mobile, S.landline, S.numbers)}) "
     f"SELECT doc_id, t AS masked, {S.fill(K.INTAKE_PROMPT, text='t')} AS prompt FROM m"
 )
+
+
+_LONG_WORDS = "SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{10,}')) AS word FROM benchmark"
+
+
+def keywords_from_table(spark, sf):
+    """The longest word of the benchmark that occurs anywhere in a document, by an automaton over all of them."""
+    words = table(spark, sf, "benchmark").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{10,}"), F.lit(0))).alias("word"))
+    ranked = words.distinct().select(F.struct(-F.length("word"), "word").alias("rank"), "word", F.col("word").alias("value"))
+    docs = documents(spark, sf, "doc_id", "text").select("doc_id", F.lower("text").alias("text"))
+    return dictionaries.first_keyword(docs, "text", ranked).select("doc_id", "value")
+
+
+QUERIES["keywords_from_table"] = keywords_from_table
+SQL["keywords_from_table"] = f"""WITH words AS (SELECT word, row_number() OVER (ORDER BY length(word) DESC, word) AS rank FROM ({_LONG_WORDS})),
+hits AS (SELECT doc_id, min(rank) AS rank FROM documents JOIN words ON contains(lower(text), word) GROUP BY doc_id)
+SELECT doc_id, word AS value FROM documents LEFT JOIN hits USING (doc_id) LEFT JOIN words USING (rank)"""
+
+
+def slang_from_table(spark, sf):
+    """Short forms expanded from a dictionary of a million entries, as from the inlined one."""
+    docs = documents(spark, sf, "doc_id", "text", "source").select("doc_id", slang_text().alias("t"))
+    known = spark.createDataFrame(list(K.SLANG.items()), "word string, long string")
+    others = spark.range(1_000_000).select(F.concat(F.lit("entri"), "id").alias("word"), F.lit("lain").alias("long"))
+    return dictionaries.expand_words(docs, "t", known.unionByName(others))
+
+
+QUERIES["slang_from_table"] = slang_from_table
+SQL["slang_from_table"] = SQL["slang_expand"]

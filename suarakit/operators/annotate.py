@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Callable, Iterator, Sequence
 from inspect import signature
@@ -17,7 +18,7 @@ from suarakit.functions import labels as L
 from suarakit.functions.binding import compute_once
 from suarakit.functions.prompts import full_label_prompt, urgency_prompt
 from suarakit.schemas import LABEL_COLUMNS
-from suarakit.session import scratch_path
+from suarakit.session import exists, materialise, scratch_path
 
 # Called once per task; returns the function that answers a batch of prompts. A factory with a
 # parameter ``system`` gets the task's system instruction by that name.
@@ -106,6 +107,48 @@ def ask_model_once(prompts: DataFrame, model: ModelFactory, path: str | None = N
     return spark.read.schema(answers.schema).parquet(path)
 
 
+LEDGER = T.StructType([T.StructField(n, T.StringType()) for n in ("prompt_key", "raw", "status")])
+
+
+def ask_with_ledger(
+    prompts: DataFrame,
+    model: ModelFactory,
+    ledger: str,
+    id_col: str = "id",
+    prompt_col: str = "prompt",
+    rows_per_slice: int = 50_000,
+    **kw,
+) -> DataFrame:
+    """As :func:`ask_model`, through a table of answers that outlives the job.
+
+    Answers are known by the content of the prompt and of the system instruction, and are appended
+    slice by slice. A job that dies loses the answers of one slice; the next one asks only what
+    the table has no good answer to. Equal prompts are asked once, whatever their ids; failed calls are
+    noted and asked again by the next job. ``id, raw, status`` for every row.
+    """
+    spark = prompts.sparkSession
+    key = F.sha2(F.to_json(F.array(F.lit(kw.get("system")), F.col(prompt_col))), 256)
+    keyed = materialise(prompts.select(id_col, prompt_col, key.alias("prompt_key")))
+
+    def answered() -> DataFrame:
+        """One row for each prompt asked so far, good answers first."""
+        if not exists(spark, ledger):
+            return spark.createDataFrame([], LEDGER)
+        rows = spark.read.schema(LEDGER).parquet(ledger)
+        best = rows.groupBy("prompt_key").agg(F.min(F.struct(F.col("status") != "ok", "status", "raw")).alias("_best"))
+        return best.select("prompt_key", F.col("_best.raw").alias("raw"), F.col("_best.status").alias("status"))
+
+    good = answered().where("status = 'ok'").select("prompt_key")
+    todo = keyed.select("prompt_key", prompt_col).dropDuplicates(["prompt_key"]).join(good, "prompt_key", "left_anti")
+    todo = materialise(todo)
+    slices = math.ceil(todo.count() / rows_per_slice)
+    for i in range(slices):
+        part = todo.where(F.pmod(F.xxhash64("prompt_key"), F.lit(slices)) == i)
+        answers = ask_model(part, model, "prompt_key", prompt_col, **kw)
+        answers.select(*LEDGER.fieldNames()).write.mode("append").parquet(ledger)
+    return keyed.join(answered(), "prompt_key", "left").select(id_col, "raw", "status")
+
+
 # Names a row by its whole content, so rows without an id or with a repeated one stay apart;
 # rows equal in everything get the same labels.
 ROW = "_row"
@@ -202,13 +245,19 @@ def annotate_urgency(
     model: ModelFactory,
     restart: bool = False,
     inspect: Callable[[DataFrame], None] | None = None,
+    ledger: str | None = None,
     **kw,
 ) -> DataFrame:
-    """Fill ``urgency`` where it is not yet a valid label."""
+    """Fill ``urgency`` where it is not yet a valid label.
+
+    ``ledger`` names a table that keeps answers for later runs.
+    """
 
     def call(work: DataFrame) -> DataFrame:
-        prompts = work.select(ROW, urgency_prompt(F.col("judul"), F.col("isi")).alias("prompt"))
-        return ask_model_once(prompts.dropDuplicates([ROW]), model, id_col=ROW, **kw)
+        prompts = work.select(ROW, urgency_prompt(F.col("judul"), F.col("isi")).alias("prompt")).dropDuplicates([ROW])
+        if ledger:
+            return ask_with_ledger(prompts, model, ledger, id_col=ROW, **kw)
+        return ask_model_once(prompts, model, id_col=ROW, **kw)
 
     todo = L.needs_urgency(F.col("urgency"))
     return annotate(df, todo, call, parse_urgency, ("urgency",), restart=restart, inspect=inspect)
@@ -220,17 +269,22 @@ def annotate_full(
     restart: bool = False,
     nullable: tuple[str, ...] = (),
     inspect: Callable[[DataFrame], None] | None = None,
+    ledger: str | None = None,
     **kw,
 ) -> DataFrame:
     """Fill all seven labels of incompletely labelled rows.
 
     The model gets the system instruction of this task if its factory takes ``system``.
+    ``ledger`` names a table that keeps answers for later runs.
     """
 
     def call(work: DataFrame) -> DataFrame:
         prompts = work.select(ROW, full_label_prompt(F.col("judul"), F.col("isi")).alias("prompt"))
+        prompts = prompts.dropDuplicates([ROW])
         options = {"pause": 3.0, "system": K.FULL_LABEL_SYSTEM, **kw}
-        return ask_model_once(prompts.dropDuplicates([ROW]), model, id_col=ROW, **options)
+        if ledger:
+            return ask_with_ledger(prompts, model, ledger, id_col=ROW, **options)
+        return ask_model_once(prompts, model, id_col=ROW, **options)
 
     todo = ~L.is_complete(nullable)
     return annotate(df, todo, call, parse_full_labels, LABEL_COLUMNS, ("kategori",), restart, inspect)

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from suarakit.operators.records import convert_lines
 from suarakit.schemas import RAW_COMPLAINT
+from suarakit.session import exists
 
 
 def read_csv(
@@ -50,12 +51,6 @@ def with_order(df: DataFrame, column: str = "seq") -> DataFrame:
     )
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path exists on the file system it belongs to."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
-
-
 def previous_output(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
     """Annotated table of an earlier run, or None before the first one."""
     return read_csv(spark, path, schema) if exists(spark, path) else None

@@ -139,3 +139,70 @@ def test_resume_goes_row_by_row(spark):
     done = spark.createDataFrame([("1", "a", "high"), ("1", "b", "low"), (None, "d", "medium"), ("2", None, "low")], "id string, isi string, urgency string")
     got = {(r.id, r.isi): r.urgency for r in A.resume(base, done, ("urgency",)).collect()}
     assert got == {(1, "a"): "high", (1, "b"): "low", (None, "c"): None, (None, "d"): "medium", (2, None): "low", (2, "e"): None}
+
+
+def test_a_killed_run_asks_only_the_rest(spark, tmp_path):
+    """A run that dies after some slices leaves their answers; rows without an id are no exception."""
+    import pytest
+
+    calls, ledger = tmp_path / "calls", str(tmp_path / "ledger")
+    calls.mkdir()
+
+    def model(dies=False):
+        folder = str(calls)
+
+        def make():
+            def answer(texts):
+                import os
+                import uuid
+
+                if dies and len(os.listdir(folder)) > 4:
+                    raise SystemExit(3)
+                with open(f"{folder}/{uuid.uuid4().hex}", "w") as f:
+                    f.write("\n".join(texts))
+                return [t.upper() for t in texts]
+
+            return answer
+
+        return make
+
+    rows = [(None if i % 3 == 0 else i, f"text {i % 30}") for i in range(60)]
+    prompts = spark.createDataFrame(rows, "id int, prompt string").repartition(2)
+    with pytest.raises(Exception):
+        A.ask_with_ledger(prompts, model(True), ledger, rows_per_slice=4, retries=0, pause=0.0)
+    first = [line for f in calls.iterdir() for line in f.read_text().split("\n")]
+    kept = {r.raw.lower() for r in spark.read.parquet(ledger).collect()}
+    assert 0 < len(kept) < 30
+    for f in calls.iterdir():
+        f.unlink()
+    out = A.ask_with_ledger(prompts, model(), ledger, rows_per_slice=4, retries=0, pause=0.0)
+    assert sorted((r.id or -1, r.raw, r.status) for r in out.collect()) == sorted((i or -1, p.upper(), "ok") for i, p in rows)
+    again = [line for f in calls.iterdir() for line in f.read_text().split("\n")]
+    assert set(again) == {p for _, p in rows} - kept and len(again) == len(set(again)) and kept <= set(first)
+    for f in calls.iterdir():
+        f.unlink()
+    A.ask_with_ledger(prompts, model(), ledger).collect()
+    assert not list(calls.iterdir())
+
+
+def test_failed_calls_are_asked_again(spark, tmp_path):
+    ledger = str(tmp_path / "ledger")
+    prompts = spark.createDataFrame([(1, "good"), (2, "bad")], "id int, prompt string")
+
+    def shaky():
+        def answer(texts):
+            if "bad" in texts:
+                raise TimeoutError
+            return texts
+
+        return answer
+
+    def sound():
+        return lambda texts: [t + "!" for t in texts]
+
+    out = A.ask_with_ledger(prompts, shaky, ledger, retries=0, pause=0.0)
+    assert {r.id: (r.raw, r.status) for r in out.collect()} == {1: ("good", "ok"), 2: (None, "timeout")}
+    out = A.ask_with_ledger(prompts, sound, ledger, retries=0, pause=0.0)
+    assert {r.id: (r.raw, r.status) for r in out.collect()} == {1: ("good", "ok"), 2: ("bad!", "ok")}
+    other = A.ask_with_ledger(prompts, sound, ledger, retries=0, pause=0.0, system="another task")
+    assert {r.id: r.raw for r in other.collect()} == {1: "good!", 2: "bad!"}
