@@ -177,6 +177,23 @@ def near_duplicate_intake(spark, sf):
     return jobs.run_near_duplicate_intake(spark, rows, _letter_encoder, f"{out}/store", f"{out}/run", threshold=_INTAKE)
 
 
+_CLOSE = 0.9995
+
+
+@query(
+    _GREEDY.replace(
+        "v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings)",
+        f"""d AS (SELECT doc_id, lower(text) AS t FROM documents), n AS (SELECT doc_id, ({_LETTER_SQL})::DOUBLE[] AS n FROM d),
+v AS MATERIALIZED (SELECT doc_id AS vec_id, {_UNIT_SQL} AS e FROM n WHERE list_sum(n) > 0)""",
+    ).replace(f">= {THRESHOLD}", f">= {_CLOSE}")
+)
+def documents_first_come(spark, sf):
+    """Every document with letters, embedded once and checked against those kept before it."""
+    docs = documents(spark, sf, "doc_id", "text").select("doc_id", F.lower("text").alias("text")).filter(F.col("text").rlike("[a-z]"))
+    made = materialise(embed(docs, _letter_encoder).select(F.col("doc_id").alias("vec_id"), "embedding"))
+    return deduplicate_arrivals(made, threshold=_CLOSE)
+
+
 @query(f"""WITH b AS (SELECT item_id, ({_LETTER_SQL.replace('(t', '(lower(text)')})::DOUBLE[] AS n FROM benchmark),
 d AS (SELECT doc_id, ({_LETTER_SQL.replace('(t', '(lower(text)')})::DOUBLE[] AS n FROM documents),
 bu AS MATERIALIZED (SELECT item_id, {_UNIT_SQL} AS e FROM b),

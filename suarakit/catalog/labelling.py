@@ -223,15 +223,17 @@ FROM j JOIN m USING (doc_id)""")
 def intake_results(spark, sf):
     """Mask, prompt, stored answer, parse."""
     docs = documents(spark, sf, "doc_id", "text").withColumn("isi", contact_text())
-    answers = _answers(spark, sf).select("doc_id", "raw")
+    # The stored answer, and the signs of the raw text, computed before anything is joined.
+    known = _answers(spark, sf).select("doc_id", "raw", F.regexp_count("text", F.lit("@")).alias("signs"))
 
     def answered(prompts):
         """The stored answer, with what the model could see of the personal data."""
         seen = F.size(F.split("prompt", r"\[(?:EMAIL|PHONE|NIK|REKENING)\]", -1)) - 1
+        at = F.regexp_count("prompt", F.lit("@"))
+        narrow = prompts.select("doc_id", seen.alias("seen"), at.alias("at")).join(known, "doc_id")
         # One sign stays by the rule: no address ends before an underscore.
-        leaked = F.regexp_count("prompt", F.lit("@")) > F.regexp_count("isi_", F.lit("@")) + 1
-        mine = prompts.join(docs.select("doc_id", F.col("text").alias("isi_")), "doc_id").join(answers, "doc_id")
-        return mine.select("doc_id", F.when(leaked, F.concat(F.lit("leak "), seen.cast("string"))).otherwise(F.col("raw")).alias("raw"))
+        leak = F.concat(F.lit("leak "), F.col("seen").cast("string"))
+        return narrow.select("doc_id", F.when(F.col("at") > F.col("signs") + 1, leak).otherwise(F.col("raw")).alias("raw"))
 
     result = jobs.intake(docs, answered, id_col="doc_id", text_col="isi")
     return result.select(

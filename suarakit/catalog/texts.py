@@ -82,6 +82,19 @@ SQL["nik_validity"] = f"""WITH n AS (SELECT doc_id, '3578' || CASE WHEN doc_id %
   FROM documents) SELECT doc_id, nik, {S.nik('nik')} AS valid FROM n"""
 
 
+def niks_in_texts(spark, sf):
+    """Every long number of every text, and whether it can be a national id."""
+    docs = documents(spark, sf, "doc_id", "text")
+    numbers = docs.select("doc_id", F.posexplode(F.regexp_extract_all("text", F.lit("[0-9]{12,}"), F.lit(0))).alias("place", "nik"))
+    return numbers.withColumn("valid", pii.is_valid_nik(F.col("nik")))
+
+
+QUERIES["niks_in_texts"] = niks_in_texts
+SQL["niks_in_texts"] = f"""WITH n AS (SELECT doc_id, (i - 1)::INT AS place, l[i] AS nik FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i
+  FROM (SELECT doc_id, regexp_extract_all(text, '[0-9]{{12,}}') AS l FROM documents)))
+SELECT doc_id, place, nik, {S.nik('nik')} AS valid FROM n"""
+
+
 _WORDS = ("jawaban: HIGH.", "medium-high", "", "below", "tinggi")
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -48,10 +51,18 @@ def mask_landline(c: Column) -> Column:
     return F.regexp_replace(c, LANDLINE, "[PHONE]")
 
 
+# All decimal digits outside ASCII, and the ASCII digit of each.
+_OTHER = [chr(c) for c in range(128, sys.maxunicode + 1) if unicodedata.category(chr(c)) == "Nd"]
+_OTHER_DIGITS = ("".join(_OTHER), "".join(str(unicodedata.decimal(c)) for c in _OTHER))
+
+
 def is_valid_nik(c: Column) -> Column:
-    """16 digits holding a plausible birth day (women: day + 40) and month; NULL is invalid."""
+    """16 digits, of any script, holding a plausible birth day (women: day + 40) and month; NULL is invalid."""
+
+    def check(given: Column) -> Column:
+        return let(F.when(F.rlike(given, F.lit(r"[^\x00-\x7F]")), F.translate(given, *_OTHER_DIGITS)).otherwise(given), plain)
 
-    def check(digits: Column) -> Column:
+    def plain(digits: Column) -> Column:
         day = F.substring(digits, 7, 2).try_cast("int")
         month = F.substring(digits, 9, 2).try_cast("int")
         plausible = (day.between(1, 31) | day.between(41, 71)) & month.between(1, 12)

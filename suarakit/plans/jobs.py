@@ -27,6 +27,7 @@ from suarakit.schemas import (
 )
 from suarakit.session import prepare, scratch_path
 from suarakit.sources import readers, writers
+from suarakit.sources.csv_records import read_csv_split
 
 
 # --- preprocessing ----------------------------------------------------------------------
@@ -41,14 +42,19 @@ def clean_complaints(
     return quality.add_inference_input(df)
 
 
-def run_preprocessing(spark: SparkSession, input_path: str, output_dir: str) -> DataFrame:
+def run_preprocessing(spark: SparkSession, input_path: str, output_dir: str, stray_quotes: bool = False) -> DataFrame:
     """CSV in, clean CSV and fine-tuning JSON lines out; returns the preview rows.
 
-    ``counters`` in the output says how many rows came in, were removed and left.
+    ``counters`` in the output says how many rows came in, were removed and left. A file with
+    ``stray_quotes`` (outside quoted fields) has to be read by one task.
     """
     prepare(spark)
     seen = report.Counted()
-    raw = seen.count(readers.with_order(readers.read_csv(spark, input_path), "seq"), "read")
+    if stray_quotes:
+        rows = readers.with_order(readers.read_csv(spark, input_path), "seq")
+    else:
+        rows = read_csv_split(spark, input_path, order="seq")
+    raw = seen.count(rows, "read")
     made = seen.count(clean_complaints(raw, "seq"), "kept")
     # Written once; everything below reads that.
     path = scratch_path(spark, "clean")
@@ -75,7 +81,7 @@ def _labelled_input(
     schema: T.StructType,
 ) -> DataFrame:
     previous = readers.previous_output(spark, previous_path, schema) if previous_path else None
-    return A.resume(readers.read_csv(spark, clean_path, CLEAN_COMPLAINT), previous, cols)
+    return A.resume(read_csv_split(spark, clean_path, CLEAN_COMPLAINT), previous, cols)
 
 
 def _stored(spark: SparkSession, annotated: DataFrame) -> DataFrame:

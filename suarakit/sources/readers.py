@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from suarakit.operators.records import convert_lines
 from suarakit.schemas import RAW_COMPLAINT
 from suarakit.session import exists
+from suarakit.sources.csv_records import read_csv_split
 
 
 def read_csv(
@@ -16,8 +17,8 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a header and doubled quotes; an empty field is NULL.
 
-    Complaints contain line breaks, which makes a CSV file unsplittable: keep files small, or
-    set ``multi_line=False`` if no field has one, or convert to Parquet once.
+    Complaints contain line breaks, so each file is read by one task, unless ``multi_line=False``
+    says that no field has one. :func:`suarakit.sources.csv_records.read_csv_split` takes many.
     """
     return (
         spark.read.schema(schema)
@@ -53,4 +54,4 @@ def with_order(df: DataFrame, column: str = "seq") -> DataFrame:
 
 def previous_output(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
     """Annotated table of an earlier run, or None before the first one."""
-    return read_csv(spark, path, schema) if exists(spark, path) else None
+    return read_csv_split(spark, path, schema) if exists(spark, path) else None

@@ -164,3 +164,11 @@ def test_joined_addresses_are_all_masked(apply):
     given = ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 14))) for _ in range(3000)]
     given += ["budi@mail.com-andi@mail.com", "a@b.com.c@d.com", "a@b.com%c@d.com+e@f.id"]
     assert apply(given, pii.mask_email) == [rule.sub("[EMAIL]", t) for t in given]
+
+
+def test_national_ids_in_any_digits(apply):
+    from suarakit.functions.pii import is_valid_nik, mask_numbers
+
+    given = ["3578010107901234", "٣٥٧٨٠١٠١٠٧٩٠١٢٣٤", "３５７８０１４１０７９０１２３４", "٣٥٧٨٠١٩٩٠٧٩٠١٢٣٤", "𝟑𝟓𝟕𝟖𝟎𝟏𝟎𝟏𝟎𝟕𝟗𝟎𝟏𝟐𝟑𝟒"]
+    assert apply(given, is_valid_nik) == [True, True, True, False, True]
+    assert apply(given[:4], mask_numbers) == ["[NIK]", "[NIK]", "[NIK]", "[REKENING]"]
