@@ -9,6 +9,8 @@ documents. Rates are then rounded to whole copies so that every source keeps its
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -120,7 +122,8 @@ def mix(
     """How much of each document the mix takes: id, key, source, size, source_size, target, rate, copies, taken.
 
     ``base`` (default 1) is a column of ``docs`` with the rate before balancing. Rounding works
-    in groups of about ``group_rows`` documents dealt by a hash, however large a source is, so
+    in groups of about ``group_rows`` documents dealt by a hash, however large a source is and
+    however many rows are equal, so
     a source misses its target by a few of its smallest documents per group; the outcome depends
     on the rows alone, not on their order or partitions. A source of no words has target 0.
     Documents without words, null texts included, are taken as often as their rate rounds to,
@@ -140,6 +143,11 @@ def mix(
         ),
         "sized",
     )
+    # Equal rows are counted, and dealt out again in runs that may go to different groups.
+    alike = sized.groupBy(*sized.columns).agg(F.count(F.lit(1)).alias("alike"))
+    alike = alike.withColumn("run", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("alike") - 1) / group_rows))))
+    in_run = F.least(F.lit(group_rows), F.col("alike") - F.col("run") * group_rows).cast("int")
+    dealt = alike.withColumn("one", F.explode(F.sequence(F.lit(1), in_run))).drop("alike", "one")
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
     sources = written(sources, "sources")
     targets = share_targets(sources.drop("rows"), weights, budget, cap)
@@ -150,9 +158,9 @@ def mix(
         tilts.select(F.col("source").alias("s"), "source_size", "target", "tilt", F.ceil(F.col("rows") / group_rows).alias("groups")),
         "balanced",
     )
-    rated = sized.join(tilts, F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    rated = dealt.join(tilts, F.col("source").eqNullSafe(F.col("s"))).drop("s")
     rated = rated.withColumn("rate", F.least(F.lit(float(cap)), F.col("base") * F.exp("tilt")))
-    rated = rated.withColumn("bucket", F.pmod(F.xxhash64("id", "key", F.lit("mix")), F.col("groups")))
+    rated = rated.withColumn("bucket", F.pmod(F.xxhash64("id", "key", "run", F.lit("mix")), F.col("groups")))
 
     def round_group(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by([("size", "descending"), ("id", "ascending"), ("key", "ascending")])
@@ -163,3 +171,107 @@ def mix(
     rated = rated.select("id", "key", "source", "size", "source_size", "target", "rate", "bucket")
     added = StructType.fromDDL("copies bigint, taken bigint").fields
     return rated.groupBy("source", "bucket").applyInArrow(round_group, StructType([*rated.schema, *added])).drop("bucket")
+
+
+def cross_balance(
+    cells: DataFrame, margins: dict[str, dict], cap: float = 2.0, steps: int = 60, tolerance: float = 1e-8
+) -> DataFrame:
+    """``cells`` (``base``, ``tokens``, and the columns of ``margins``) with the rate that meets targets cutting across each other.
+
+    ``margins`` gives for each column (say source, language, length band) the tokens wanted of
+    some of its values. Of all rates that meet them the ones nearest to the base rates in
+    relative entropy are min(cap, base * exp(sum of the tilts of a cell's values)). The tilts
+    are a vector: each Newton step is one job that sums, over all cells, the gradient and the
+    curvature between every two values that share cells; with a cap, and where targets can't
+    all be met, damped steps end at the best compromise. A value without a target has no tilt. The
+    driver has the tilts and the curvature, as wide as there are targets; it never sees cells.
+    """
+    spark = small_batches(cells.sparkSession)
+    names = [(column_, value) for column_, wanted in margins.items() for value in wanted]
+    targets = np.array([float(margins[c][v]) for c, v in names])
+    place = {name: i for i, name in enumerate(names)}
+    tilts, size = np.zeros(len(names)), len(names)
+    wide = [cells[c] for c in margins]
+    given = written(cells.select(*wide, "base", "tokens"), "crossed")
+    columns = list(margins)
+
+    def members(batch: pa.RecordBatch) -> np.ndarray:
+        """One column for each margin: the place of the cell's value, or ``size`` if it has no target."""
+        return np.stack([[place.get((c, v), size) for v in batch.column(i).to_pylist()] for i, c in enumerate(columns)], axis=1).reshape(-1, len(columns))
+
+    def sums_at(shared):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: dict[tuple[int, int], float] = {}
+            potential = 0.0
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                of = members(batch)
+                tilt = np.append(shared.value, 0.0)[of].sum(axis=1)
+                base, tokens = batch.column(len(columns)).to_numpy(), batch.column(len(columns) + 1).to_numpy()
+                rate = base * np.exp(np.clip(tilt, -60, 60))
+                free = rate < cap
+                taken = tokens * np.where(free, rate, cap)
+                # The conjugate of the entropy: linear beyond the cap.
+                potential += float((tokens * np.where(free, rate, cap * (1 + np.log(np.maximum(rate, 1e-300) / cap)))).sum())
+                for i in range(len(columns)):
+                    for key, n in zip(*_summed(of[:, i], taken)):
+                        held[key, -1] = held.get((key, -1), 0.0) + n
+                    for j in range(len(columns)):
+                        for key, n in zip(*_summed(of[:, i] * (size + 1) + of[:, j], np.where(free, taken, 0.0))):
+                            at = divmod(key, size + 1)
+                            held[at] = held.get(at, 0.0) + n
+            held[-1, -1] = potential
+            rows = list(held)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), pa.array([held[r] for r in rows], pa.float64())],
+                names=["i", "j", "n"],
+            )
+
+        return run
+
+    def evaluate(at: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        shared = spark.sparkContext.broadcast(at)
+        sums = given.mapInArrow(sums_at(shared), "i int, j int, n double").groupBy("i", "j").agg(F.sum("n").alias("n")).collect()
+        taken, bend, potential = np.zeros(size), np.zeros((size, size)), 0.0
+        for i, j, n in sums:
+            if i == j == -1:
+                potential = n
+            elif i < size and j == -1:
+                taken[i] = n
+            elif i < size and j < size:
+                bend[i, j] = n
+        return potential - targets @ at, taken - targets, bend
+
+    value, slope, bend = evaluate(tilts)
+    for _ in range(steps):
+        if np.abs(slope).max(initial=0.0) <= tolerance * max(1.0, targets.max(initial=0.0)):
+            break
+        # Margins of the same tokens are not independent: a small ridge picks one of the equal solutions.
+        ridge = 1e-9 * max(1.0, np.trace(bend) / max(1, size))
+        step = np.linalg.solve(bend + ridge * np.eye(size), slope)
+        step *= min(1.0, 4.0 / max(1e-300, np.abs(step).max()))
+        share = 1.0
+        while share > 1e-6:
+            ahead = evaluate(tilts - share * step)
+            if ahead[0] <= value - 1e-4 * share * (slope @ step) + 1e-12 * abs(value):
+                break
+            share /= 2
+        else:
+            break
+        tilts = tilts - share * step
+        value, slope, bend = ahead
+    shared = spark.sparkContext.broadcast(tilts)
+
+    def rated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tilt = np.append(shared.value, 0.0)[members(batch)].sum(axis=1) if batch.num_rows else np.zeros(0)
+            rate = np.minimum(cap, batch.column(len(columns)).to_numpy() * np.exp(np.clip(tilt, -60, 60)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rate)], names=[*batch.schema.names, "rate"])
+
+    return given.mapInArrow(rated, StructType([*given.schema.fields, *StructType.fromDDL("rate double").fields]))
+
+
+def _summed(keys: np.ndarray, values: np.ndarray) -> tuple[list[int], list[float]]:
+    distinct, at = np.unique(keys, return_inverse=True)
+    return distinct.tolist(), np.bincount(at, values, len(distinct)).tolist()

@@ -224,24 +224,33 @@ def _popcount(x: np.ndarray) -> np.ndarray:
 
 
 def _forest(own: np.ndarray, probes: np.ndarray, most: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Edges that link what is linked within a bucket: one for each fingerprint reached, not one for each pair."""
-    edges = []
+    """Edges that link what is linked within a bucket: one for each fingerprint reached, not one for each pair.
+
+    A probe is linked to one member of each group of linked fingerprints it is near to.
+    """
+    edges, members, groups = [], [], []
     left = own
     while len(left):
         frontier, left = left[:1], left[1:]
+        group = [frontier]
         while len(frontier) and len(left):
             head, frontier = frontier[0], frontier[1:]
             near = _popcount(left ^ head) <= most
             if near.any():
                 reached = left[near]
                 edges.append((np.full(len(reached), head), reached))
+                group.append(reached)
                 frontier = np.concatenate([frontier, reached])
                 left = left[~near]
+        members.append(np.concatenate(group))
+        groups.append(np.full(len(members[-1]), len(groups)))
+    if members:
+        own, of = np.concatenate(members), np.concatenate(groups)
     for probe in probes:
-        near = own[_popcount(own ^ probe) <= most]
-        near = near[near != probe]
+        near = np.flatnonzero((_popcount(own ^ probe) <= most) & (own != probe))
         if len(near):
-            edges.append((np.full(len(near), probe), near))
+            near = near[np.unique(of[near], return_index=True)[1]]
+            edges.append((np.full(len(near), probe), own[near]))
     return edges
 
 

@@ -108,3 +108,27 @@ def test_components_of_chains_and_stars(spark):
     found = dict(components(spark.createDataFrame(edges, "a bigint, b bigint")).collect())
     assert all(found[i] == 0 for i in range(201))
     assert all(found[i] == 1000 for i in range(1000, 1300)) and found[5000] == -3 == found[-3]
+
+
+def test_probes_are_linked_once_to_each_group():
+    """A ball of near fingerprints, half of them probes, gives about an edge a row, and the same groups."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    ball = np.unique([sum(1 << int(b) for b in rng.choice(64, 2, replace=False)) for _ in range(4000)]).astype(np.uint64)[:2000]
+    far = ball ^ np.uint64(0xFFFFFFFF00000000)
+    own, probes = np.concatenate([ball[::2], far[::2]]), np.concatenate([ball[1::2], far[1::2]])
+    edges = simhash._forest(own, probes, 4)
+    assert sum(len(a) for a, _ in edges) <= 2 * (len(own) + len(probes))
+    parent = {int(x): int(x) for x in np.concatenate([own, probes])}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        for x, y in zip(a.tolist(), b.tolist()):
+            assert bin(x ^ y).count("1") <= 4
+            parent[root(x)] = root(y)
+    assert len({root(int(x)) for x in own}) == len({root(x) for x in parent}) == 2
