@@ -29,8 +29,8 @@ def column(df: DataFrame, name: str) -> Column:
 def small_batches(spark: SparkSession) -> SparkSession:
     """Bound what a Python worker gets at once; long rows come in batches of fewer rows."""
     ship(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4096")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2048")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     return spark
 
 
