@@ -160,9 +160,12 @@ def fit(
         gaps = np.exp(x[SLOTS + 1 :])
         thresholds = x[SLOTS] + np.append(0, np.cumsum(gaps))
         rows = table.mapInArrow(_sums(weights, thresholds, np.array(emphasis, float)), _SUMS).collect()
-        weights.unpersist()
+        weights.destroy()
         n = max(1.0, sum(r["n"] for r in rows))
-        slope = sum(np.frombuffer(r["slope"], np.float32).astype(np.float64) for r in rows) / n
+        slope = np.zeros(SLOTS)
+        for r in rows:
+            slope += np.frombuffer(r["slope"], np.float32)
+        slope /= n
         steps = sum(np.array(r["steps"]) for r in rows) / n
         # Thresholds are the first one and the logarithms of the gaps, which keeps them in order.
         by_gap = np.cumsum(steps[::-1])[::-1][1:] * gaps
@@ -196,7 +199,8 @@ def fit(
             break
         step, change = size * direction, new_slope - slope
         if step @ change > 1e-12:
-            moves = [*moves, (step, change)][-memory:]
+            # Half the memory: the history only shapes the direction.
+            moves = [*moves, (step.astype(np.float32), change.astype(np.float32))][-memory:]
         x, gained, value, slope = x + step, value - moved, moved, new_slope
         if gained < 3e-4 * max(value, 1e-3):
             break
