@@ -35,8 +35,8 @@ BLOCK_ROWS = 4096
 class Search:
     """How many coarse cells and lists a query probes, and how many candidates are compared exactly."""
 
-    cells: int = 24
-    lists: int = 48
+    cells: int = 48
+    lists: int = 160
     candidates: int = 32
 
 
@@ -209,7 +209,7 @@ def build(rows: DataFrame, list_rows: int = LIST_ROWS, rounds: int = 5, sample:
             if not batch.num_rows:
                 continue
             units = matrix(batch.column(3))
-            _, lists = nearest_lists(units, shared.value, 2, 1)
+            _, lists = nearest_lists(units, shared.value, 6, 1)
             rest = units - shared.value.lists[lists]
             scale = np.maximum(np.abs(rest).max(axis=1), 1e-12) / 127
             codes = np.rint(rest / scale[:, None]).astype(np.int8)
