@@ -39,3 +39,18 @@ def test_follow_stops_a_source_after_empty_pages(spark):
     found = frontier.follow(ln, p, F.col("source").isNotNull(), F.col("source"), F.col("number"))
     got = {r.page: r.depth for r in found.collect()}
     assert got == {"a1": 0, "a2": 0, "a3": 0, "a4": 0, "b1": 0, "b2": 0, "b3": 0, "one": 1, "two": 1, "three": 1, "deep": 2}
+
+
+def test_links_and_pages_of_one_address_are_not_paired(spark, monkeypatch):
+    """Before, each of the 300 links made a row for each of the 300 pages that answer to it."""
+    pages = [(f"a{i}", f"/list{i}", "a", i) for i in range(300)] + [(f"x{i}", "/same", None, None) for i in range(300)]
+    pages += [("y", "/y", None, None), (None, "/y", None, None)]
+    links = [(f"a{i}", "/same") for i in range(300)] + [("x7", "/y"), ("y", "/same"), ("y", "/list3"), (None, "/y")]
+    p = spark.createDataFrame(pages, "page string, address string, source string, number int")
+    ln = spark.createDataFrame(links * 2, "page string, address string")
+    sizes, plain = [], frontier.materialise
+    monkeypatch.setattr(frontier, "materialise", lambda df: (sizes.append((out := plain(df)).count()), out)[1])
+    found = frontier.follow(ln, p, F.col("source").isNotNull(), F.col("source"), F.col("number")).collect()
+    assert len(found) == 601
+    assert {r.page: r.depth for r in found} == {f"a{i}": 0 for i in range(300)} | {f"x{i}": 1 for i in range(300)} | {"y": 2}
+    assert max(sizes) <= len(pages)
