@@ -155,3 +155,23 @@ except ValueError:
     env = os.environ | {"SPARK_CONF_DIR": str(tmp_path)}
     done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "rows 3" in done.stdout and "refused" in done.stdout, done.stderr[-2000:]
+
+
+def test_pages_are_parsed_one_at_a_time(monkeypatch):
+    """Before, the parsed pages of a whole batch were held at once."""
+    alive, most = [0], [0]
+
+    class Counted(P._Page):
+        def __init__(self, html):
+            alive[0] += 1
+            most[0] = max(most[0], alive[0])
+            super().__init__(html)
+
+        def __del__(self):
+            alive[0] -= 1
+
+    monkeypatch.setattr(P, "_Page", Counted)
+    rules = {"id": {"tag": "a"}, "judul": {"tag": "h1"}}
+    got = [P._fields_of(f"<a href='/{i}'>#{i}</a><h1>t{i}", rules, ["id", "judul", "isi", "url"]) for i in range(20)]
+    assert got == [[f"#{i}", f"t{i}", None, None] for i in range(20)]
+    assert most == [1]
