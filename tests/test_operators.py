@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from suarakit.operators import ingest, quality, records, report
 from suarakit.operators import pages as P
+from suarakit.operators.embed import embed
 
 
 def test_keep_first_by_id_treats_null_as_one_id(spark):
@@ -175,3 +176,12 @@ def test_pages_are_parsed_one_at_a_time(monkeypatch):
     got = [P._fields_of(f"<a href='/{i}'>#{i}</a><h1>t{i}", rules, ["id", "judul", "isi", "url"]) for i in range(20)]
     assert got == [[f"#{i}", f"t{i}", None, None] for i in range(20)]
     assert most == [1]
+
+
+def test_python_workers_get_bounded_batches(spark):
+    """Before, an encoder got up to 10,000 texts at once, however long they were."""
+    sizes = lambda: lambda texts: [[len(texts), 1.0]] * len(texts)
+    texts = spark.range(0, 6000, 1, 1).select(F.lit("a text").alias("text"))
+    first = embed(texts, sizes).select((F.col("embedding")[0] / F.col("embedding")[1]).alias("n")).agg(F.max("n")).first()[0]
+    assert 1 < first < 2049
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 8 << 20
