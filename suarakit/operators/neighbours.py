@@ -35,11 +35,17 @@ from suarakit.operators import index as I
 from suarakit.operators.quality import keep_first
 from suarakit.session import materialise
 
-BLOCK_ROWS = 4096
-BLOCK_BYTES = 4 << 20
+# A query row goes to every stored block that may matter to it, so blocks are large: the rows of a
+# block and of a cell, and the query rows that go together.
+BLOCK_ROWS = 1 << 16
+BLOCK_BYTES = 16 << 20
+CELL_ROWS = 1 << 16
+QUERY_ROWS = 8192
 BROADCAST_BYTES = 32 << 20
 MAX_PIVOTS = 256
-_CHUNK = 256
+# Similarities computed at once: so many queries by so many stored rows, which fit a core's cache.
+_CHUNK = 512
+_TILE = 1024
 # Similarities equal to so many places tie, whatever order they were summed in.
 _STABLE = 9
 
@@ -125,7 +131,7 @@ def pivot_router(
 
 
 def _n_pivots(n: int, block_rows: int) -> int:
-    return max(1, min(MAX_PIVOTS, n // (4 * block_rows)))
+    return max(1, min(MAX_PIVOTS, n // min(4 * block_rows, CELL_ROWS)))
 
 
 def _pivot_cells(
@@ -194,10 +200,19 @@ def _pack_queries(q: DataFrame, route: Router, block_rows: int) -> DataFrame:
         [T.StructField("cell", T.LongType()), T.StructField("q_rows", T.ArrayType(member))]
     )
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
         for batch in batches:
-            if not batch.num_rows:
-                continue
+            held.append(batch)
+            n += batch.num_rows
+            if n >= min(QUERY_ROWS, block_rows):
+                yield pa.concat_batches(held)
+                held, n = [], 0
+        if n:
+            yield pa.concat_batches(held)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in gathered(batches):
             units = _matrix(batch.column("vec"))
             order = batch.column("ord").to_numpy(zero_copy_only=False)
             rows, cells = route(units, order)
@@ -241,6 +256,78 @@ def _meet(asked: DataFrame, stored: DataFrame, n_blocks: int) -> DataFrame:
     )
 
 
+class _Stored:
+    """A stored block in (order, id) order, in double precision and rounded to single.
+
+    Products in single precision say which pairs can matter; only those are computed in double
+    precision, whose value decides.
+    """
+
+    def __init__(self, rows: pa.StructArray):
+        # In (order, id) order the first maximum is also the tie winner.
+        rows = rows.take(pc.sort_indices(
+            pa.RecordBatch.from_arrays([rows.field("ord"), rows.field("id")], ["ord", "id"]),
+            sort_keys=[("ord", "ascending"), ("id", "ascending")],
+        ))
+        self.ids, self.order = rows.field("id"), rows.field("ord").to_numpy()
+        self.units = _matrix(rows.field("vec"))
+        self.single = np.ascontiguousarray(self.units.T, dtype=np.float32)
+        # How far a product in single precision may be off.
+        self.off = (self.units.shape[1] + 8) * 2.0**-23
+
+    def chunks(self, queries: pa.StructArray, ordered: bool):
+        """Ids and unit vectors of some queries, and how many of the stored rows come before each (None: all)."""
+        order = queries.field("ord").to_numpy()
+        for lo in range(0, len(queries), _CHUNK):
+            part = queries.slice(lo, _CHUNK)
+            before = np.searchsorted(self.order, order[lo : lo + _CHUNK], "left") if ordered else None
+            if before is None or before.any():
+                yield part.field("id"), _matrix(part.field("vec")), before
+
+    def tiles(self, units: np.ndarray, before: np.ndarray | None) -> Iterator[tuple[int, np.ndarray]]:
+        """First stored row and products in single precision; -inf for rows that do not come before."""
+        single = units.astype(np.float32)
+        for lo in range(0, len(self.order) if before is None else int(before.max()), _TILE):
+            products = single @ self.single[:, lo : lo + _TILE]
+            if before is not None and before.min() < lo + products.shape[1]:
+                products[np.arange(lo, lo + products.shape[1])[None, :] >= before[:, None]] = -np.inf
+            yield lo, products
+
+    def exact(self, units: np.ndarray, rows: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Similarities of pairs in double precision. They are rounded, so copies tie whatever order they were summed in."""
+        out = np.empty(len(rows))
+        step = max(1, (1 << 20) // units.shape[1])
+        for lo in range(0, len(rows), step):
+            cut = slice(lo, lo + step)
+            out[cut] = np.einsum("ij,ij->i", units[rows[cut]], self.units[at[cut]])
+        return np.round(out, _STABLE)
+
+
+def _first_best(stored: _Stored, units: np.ndarray, before: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Queries that have any, place and similarity of their best stored row; of equal ones the first, within a
+    block as between blocks."""
+    slack = np.float32(2 * stored.off)
+    top = np.full(len(units), -np.inf, np.float32)
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+    for lo, products in stored.tiles(units, before):
+        best = products.max(axis=1)
+        top = np.maximum(top, best)
+        better = np.flatnonzero((best >= top - slack) & (best > -np.inf))
+        if len(better):
+            some = products[better]
+            row, at = np.divmod(np.flatnonzero(some >= (top[better] - slack)[:, None]), some.shape[1])
+            # Compared exactly at once, and of a query's equal ones in this tile only the first stays.
+            found.append(_firsts(better[row], at + lo, stored.exact(units, better[row], at + lo)))
+    return _firsts(*(np.concatenate(c) for c in zip(*found)))
+
+
+def _firsts(rows: np.ndarray, at: np.ndarray, sims: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    order = np.lexsort((at, -sims, rows))
+    rows, at, sims = rows[order], at[order], sims[order]
+    first = np.append(True, rows[1:] != rows[:-1])[: len(rows)]
+    return rows[first], at[first], sims[first]
+
+
 def _best_matches(pairs: DataFrame, ordered: bool, min_similarity: float | None) -> DataFrame:
     """For each pair of blocks, every query's best stored vector, as ``id, far, s_ord, s_id``."""
     q_type = pairs.schema["q_rows"].dataType.elementType
@@ -258,42 +345,37 @@ def _best_matches(pairs: DataFrame, ordered: bool, min_similarity: float | None)
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                q = batch.column("q_rows")[i].values
-                s = batch.column("s_rows")[i].values
-                # In (order, id) order the first maximum is also the tie winner.
-                s = s.take(pc.sort_indices(
-                    pa.RecordBatch.from_arrays([s.field("ord"), s.field("id")], ["ord", "id"]),
-                    sort_keys=[("ord", "ascending"), ("id", "ascending")],
-                ))
-                s_units, s_ord = _matrix(s.field("vec")), s.field("ord").to_numpy()
-                for lo in range(0, len(q), _CHUNK):
-                    part = q.slice(lo, _CHUNK)
-                    sims = np.round(_matrix(part.field("vec")) @ s_units.T, _STABLE)
-                    if ordered:
-                        sims[s_ord[None, :] >= part.field("ord").to_numpy()[:, None]] = -np.inf
-                    top = sims.max(axis=1)
-                    # Copies may differ in the last bits: similarities are rounded once, and of
-                    # equal ones the first wins, within a block as between blocks.
-                    best = sims.argmax(axis=1)
-                    rows = np.arange(len(best))
-                    good = np.isfinite(top)
+                stored = _Stored(batch.column("s_rows")[i].values)
+                for ids, units, before in stored.chunks(batch.column("q_rows")[i].values, ordered):
+                    rows, best, sims = _first_best(stored, units, before)
                     if min_similarity is not None:
-                        good &= np.round(sims[rows, best], 4) >= min_similarity
-                    rows, best = rows[good], best[good]
+                        good = np.round(sims, 4) >= min_similarity
+                        rows, best, sims = rows[good], best[good], sims[good]
                     yield pa.RecordBatch.from_arrays(
-                        [
-                            part.field("id").take(pa.array(rows)),
-                            pa.array(-sims[rows, best]),
-                            pa.array(sims[rows, best]),
-                            pa.array(s_ord[best]),
-                            s.field("id").take(pa.array(best)),
-                        ],
+                        [ids.take(pa.array(rows)), pa.array(-sims), pa.array(sims), pa.array(stored.order[best]), stored.ids.take(pa.array(best))],
                         names=schema.names,
                     )
 
     return pairs.select("q_rows", "s_rows").mapInArrow(multiply, schema)
 
 
+def _similar(
+    stored: _Stored, units: np.ndarray, before: np.ndarray | None, min_similarity: float
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Queries and stored rows of all pairs whose similarity, rounded to four places, is at least ``min_similarity``."""
+    bound = math.ceil(min_similarity * 1e4 - 1e-6) / 1e4 - 5e-5
+    low, high = np.float32(bound - 2 * stored.off), np.float32(bound + 2 * stored.off)
+    for lo, products in stored.tiles(units, before):
+        flat = products.ravel()
+        near = np.flatnonzero(flat >= low)
+        if len(near):
+            rows, at = np.divmod(near, products.shape[1])
+            unsure = np.flatnonzero(flat[near] < high)
+            sims = stored.exact(units, rows[unsure], at[unsure] + lo)
+            wrong = unsure[np.round(sims, 4) < min_similarity]
+            yield np.delete(rows, wrong), np.delete(at, wrong) + lo
+
+
 def _all_matches(pairs: DataFrame, ordered: bool, min_similarity: float, counts: bool) -> DataFrame:
     """Every match of at least ``min_similarity`` as ``id, s_id``, or their number for each query as ``id, n``."""
     q_type = pairs.schema["q_rows"].dataType.elementType
@@ -301,26 +383,30 @@ def _all_matches(pairs: DataFrame, ordered: bool, min_similarity: float, counts:
     last = T.StructField("n", T.LongType()) if counts else T.StructField("s_id", s_type["id"].dataType)
     schema = T.StructType([T.StructField("id", q_type["id"].dataType), last])
 
+    def pairs_of(stored: _Stored, ids: pa.Array, held: list) -> pa.RecordBatch:
+        rows, at = (pa.array(np.concatenate(c)) for c in zip(*held))
+        return pa.RecordBatch.from_arrays([ids.take(rows), stored.ids.take(at)], names=schema.names)
+
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                q = batch.column("q_rows")[i].values
-                s = batch.column("s_rows")[i].values
-                s_units, s_ord = _matrix(s.field("vec")), s.field("ord").to_numpy()
-                for lo in range(0, len(q), _CHUNK):
-                    part = q.slice(lo, _CHUNK)
-                    sims = np.round(_matrix(part.field("vec")) @ s_units.T, _STABLE)
-                    near = np.round(sims, 4) >= min_similarity
-                    if ordered:
-                        near &= s_ord[None, :] < part.field("ord").to_numpy()[:, None]
-                    if counts:
-                        n = near.sum(axis=1)
-                        rows = np.flatnonzero(n)
-                        found = pa.array(n[rows])
-                    else:
-                        rows, best = np.nonzero(near)
-                        found = s.field("id").take(pa.array(best))
-                    yield pa.RecordBatch.from_arrays([part.field("id").take(pa.array(rows)), found], names=schema.names)
+                stored = _Stored(batch.column("s_rows")[i].values)
+                for ids, units, before in stored.chunks(batch.column("q_rows")[i].values, ordered):
+                    n, held, size = np.zeros(len(ids), np.int64), [], 0
+                    for rows, at in _similar(stored, units, before, min_similarity):
+                        if counts:
+                            n += np.bincount(rows, minlength=len(n))
+                            continue
+                        held.append((rows, at))
+                        size += len(rows)
+                        if size >= 1 << 18:
+                            yield pairs_of(stored, ids, held)
+                            held, size = [], 0
+                    if held:
+                        yield pairs_of(stored, ids, held)
+                    rows = np.flatnonzero(n)
+                    if len(rows):
+                        yield pa.RecordBatch.from_arrays([ids.take(pa.array(rows)), pa.array(n[rows])], names=schema.names)
 
     return pairs.select("q_rows", "s_rows").mapInArrow(multiply, schema)
 

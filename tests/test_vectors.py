@@ -220,3 +220,42 @@ def test_repeated_ids_in_rounds(spark, options):
     df = spark.createDataFrame([(ids[i], i, m[i].tolist()) for i in range(240)], "id string, seq long, embedding array<double>").repartition(3)
     got = first_come(df, id_col="id", order_col="seq", threshold=0.8, **options)
     assert sorted(r.seq for r in got.collect()) == kept
+
+
+def test_single_precision_never_decides(spark):
+    """Pairs that only double precision tells apart, and ties, as by a plain comparison."""
+    from suarakit.operators import neighbours as N
+    import pyarrow as pa
+
+    rng = np.random.default_rng(8)
+    m = rng.standard_normal((3000, 26))
+    m[1000:2000] = m[0] + 1e-6 * rng.standard_normal((1000, 26))
+    m[2000:2100] = m[7]
+    units = N._unit(m)
+    sims = np.round(units @ units.T, 9)
+    rows = pa.StructArray.from_arrays([pa.array(np.arange(3000)), pa.array(np.arange(3000)), pa.array(m.tolist())], ["id", "ord", "vec"])
+    stored, best, pairs = N._Stored(rows.take(pa.array(rng.permutation(3000)))), {}, set()
+    least = 0.62
+    for ids, part, before in stored.chunks(rows, True):
+        ids = ids.to_numpy()
+        found, at, sim = N._first_best(stored, part, before)
+        best |= {int(ids[i]): (int(j), s) for i, j, s in zip(found, at, sim)}
+        for i, j in N._similar(stored, part, before, least):
+            pairs |= set(zip(ids[i].tolist(), j.tolist()))
+    low = np.tril(np.ones_like(sims, bool), -1)
+    assert pairs == set(zip(*(x.tolist() for x in np.nonzero(low & (np.round(sims, 4) >= least)))))
+    expected = np.where(low, sims, -np.inf)
+    assert best.keys() == set(range(1, 3000))
+    assert all(abs(best[i][1] - expected[i].max()) < 2e-9 and expected[i, best[i][0]] > expected[i].max() - 2e-9 for i in best)
+
+
+def test_query_rows_meet_few_blocks(spark):
+    """Before, a row was copied to a block for every 4,096 stored rows, in batches as they came."""
+    from suarakit.operators import neighbours as N
+
+    vec = F.array(*[F.sin(F.col("id") * (i + 1)) for i in range(8)]).alias("vec")
+    rows = spark.range(0, 30_000, 1, 4).select("id", F.col("id").alias("ord"), vec)
+    size = N._size(rows)
+    met = N._met(rows, rows, size, True, 0.99, None, N._block_rows(size), 0)
+    n, copies = met.agg(F.count("*"), F.sum(F.size("q_rows"))).first()
+    assert copies == 30_000 and n <= 8
