@@ -29,6 +29,8 @@ from suarakit.session import materialise, scratch_path
 LIST_ROWS = 256
 CENTROID_BYTES = 64 << 20
 BLOCK_ROWS = 4096
+# Most that the similarity of unit vectors changes if one is rounded to half precision, and products to single.
+HALF_OFF = 1e-3
 
 
 @dataclass(frozen=True)
@@ -228,17 +230,22 @@ def build(rows: DataFrame, list_rows: int = LIST_ROWS, rounds: int = 5, sample:
 def _ask(queries: DataFrame, index: Index, search: Search) -> DataFrame:
     """Blocks ``list, asked`` of queries that probe a list, formed within each task."""
     shared = queries.sparkSession.sparkContext.broadcast(index.centroids)
-    member = T.StructType([queries.schema["id"], queries.schema["ord"], queries.schema["vec"]])
+    # A query goes to every list it probes, so its direction goes in half precision.
+    member = T.StructType([queries.schema["id"], queries.schema["ord"], T.StructField("vec", T.BinaryType())])
     schema = T.StructType([T.StructField("list", T.IntegerType()), T.StructField("asked", T.ArrayType(member))])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows, lists = nearest_lists(matrix(batch.column(2)), shared.value, search.cells, search.lists)
+            units = matrix(batch.column(2))
+            rows, lists = nearest_lists(units, shared.value, search.cells, search.lists)
             order = np.argsort(lists, kind="stable")
             rows, lists = rows[order], lists[order]
-            values = batch.to_struct_array().take(pa.array(rows))
+            half = np.ascontiguousarray(units, dtype=np.float16)
+            flat = pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * half.shape[1]), len(half), [None, pa.py_buffer(half.tobytes())])
+            values = pa.StructArray.from_arrays([batch.column(0), batch.column(1), flat.cast(pa.binary())], ["id", "ord", "vec"])
+            values = values.take(pa.array(rows))
             starts = np.flatnonzero(np.append(True, lists[1:] != lists[:-1]))
             starts = np.unique(np.concatenate([starts, np.arange(0, len(lists), BLOCK_ROWS)]))
             offsets = pa.array(np.append(starts, len(lists)).astype(np.int32))
@@ -249,10 +256,14 @@ def _ask(queries: DataFrame, index: Index, search: Search) -> DataFrame:
     return queries.select("id", "ord", "vec").mapInArrow(pack, schema)
 
 
-def _candidates(met: DataFrame, index: Index, most: int, ordered: bool, id_type: T.DataType) -> DataFrame:
-    """For each block of queries and part of a list, every query's best entries by code."""
+def _candidates(met: DataFrame, index: Index, most: int, ordered: bool, best_only: bool, id_type: T.DataType) -> DataFrame:
+    """For each block of queries and part of a list, every query's best entries by code.
+
+    The similarity is between ``low`` and ``high``. With ``best_only`` entries go that cannot be as
+    near as another one of the part.
+    """
     shared = met.sparkSession.sparkContext.broadcast(index.centroids.lists)
-    schema = T.StructType([T.StructField("id", id_type), *T.StructType.fromDDL("sid bigint, score float").fields])
+    schema = T.StructType([T.StructField("id", id_type), *T.StructType.fromDDL("sid bigint, score float, low float, high float").fields])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -261,39 +272,57 @@ def _candidates(met: DataFrame, index: Index, most: int, ordered: bool, id_type:
                 codes = np.frombuffer(b"".join(entries.field("code").to_pylist()), np.int8).reshape(len(entries), -1)
                 centroid = shared.value[batch.column(0)[i].as_py()]
                 vectors = centroid + codes * entries.field("scale").to_numpy()[:, None]
-                units = matrix(asked.field("vec"))
+                units = np.frombuffer(b"".join(asked.field("vec").to_pylist()), np.float16).reshape(len(asked), -1).astype(np.float32)
                 scores = units @ vectors.T
+                # A code is off by half a step a dimension, a query by the rounding to half precision.
+                off = entries.field("scale").to_numpy() * (0.5 * math.sqrt(codes.shape[1])) + HALF_OFF
                 if ordered:
                     scores[entries.field("ord").to_numpy()[None, :] >= asked.field("ord").to_numpy()[:, None]] = -np.inf
                 k = min(most, scores.shape[1])
                 top = np.argpartition(-scores, k - 1, axis=1)[:, :k]
                 rows, best = np.repeat(np.arange(len(units)), k), top.ravel()
-                good = np.isfinite(scores[rows, best])
-                rows, best = rows[good], best[good]
+                found = scores[rows, best]
+                low, high = (found - off[best]).astype(np.float32), (found + off[best]).astype(np.float32)
+                good = np.isfinite(found)
+                if best_only:
+                    good &= high >= np.repeat(low.reshape(-1, k).max(axis=1), k)
                 yield pa.RecordBatch.from_arrays(
-                    [asked.field("id").take(pa.array(rows)), entries.field("sid").take(pa.array(best)), pa.array(scores[rows, best])],
-                    names=["id", "sid", "score"],
+                    [
+                        asked.field("id").take(pa.array(rows[good])), entries.field("sid").take(pa.array(best[good])),
+                        pa.array(found[good].astype(np.float32)), pa.array(low[good]), pa.array(high[good]),
+                    ],
+                    names=schema.names,
                 )
 
     return met.select("list", "asked", "entries").mapInArrow(score, schema)
 
 
-def candidates(queries: DataFrame, index: Index, ordered: bool = False, search: Search = Search()) -> DataFrame:
-    """``id, sid, score``: at most ``search.candidates`` stored rows for each query, judged by code."""
+def candidates(
+    queries: DataFrame, index: Index, ordered: bool = False, search: Search = Search(), best_only: bool = False
+) -> DataFrame:
+    """``id, sid, score``: at most ``search.candidates`` stored rows for each query, judged by code.
+
+    With ``best_only`` only those of them that may be the nearest, as far as the codes tell.
+    """
     asked = _ask(queries, index, search)
     part = F.floor(F.pmod(F.xxhash64("sid"), F.lit(1 << 20)) / F.lit(1 << 20) * F.col("parts")).cast("int")
     sizes = index.rows.groupBy("list").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("parts"))
     # A crowded list is cut into parts, and a query asks each of them.
     entries = index.rows.select("list", "sid", "ord", "code", "scale").join(sizes, "list").withColumn("part", part)
     stored = entries.groupBy("list", "part").agg(F.collect_list(F.struct("sid", "ord", "code", "scale")).alias("entries"))
-    found = _candidates(stored.join(asked, "list"), index, search.candidates, ordered, queries.schema["id"].dataType)
+    found = _candidates(stored.join(asked, "list"), index, search.candidates, ordered, best_only, queries.schema["id"].dataType)
     order = Window.partitionBy("id").orderBy(F.desc("score"), "sid")
-    return found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= search.candidates).drop("place")
+    found = found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= search.candidates)
+    if best_only:
+        found = found.withColumn("low", F.max("low").over(Window.partitionBy("id"))).where("high >= low")
+    return found.select("id", "sid", "score")
 
 
-def nearest(queries: DataFrame, index: Index, ordered: bool = False, search: Search = Search(), places: int = 9) -> DataFrame:
+def nearest(
+    queries: DataFrame, index: Index, ordered: bool = False, search: Search = Search(), places: int = 9, best_only: bool = False
+) -> DataFrame:
     """``id, far, sim, s_ord, s_id`` of the candidates, compared exactly; ``queries`` are ``id, ord, vec`` of unique ids."""
-    found = candidates(queries, index, ordered, search)
+    found = candidates(queries, index, ordered, search, best_only)
     theirs = index.rows.select("sid", F.col("id").alias("s_id"), F.col("ord").alias("s_ord"), F.col("vec").alias("theirs"))
     pairs = found.join(theirs, "sid").join(queries.select("id", "vec"), "id")
     schema = T.StructType(

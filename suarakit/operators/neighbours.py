@@ -548,7 +548,7 @@ def nearest(
         )
 
     if method == "index" or method == "lsh" and lsh is None:
-        found = I.nearest(q, I.build(s), ordered, search or I.Search(), _STABLE)
+        found = I.nearest(q, I.build(s), ordered, search or I.Search(), _STABLE, best_only=True)
         if min_similarity is not None:
             found = found.where(F.round("sim", 4) >= min_similarity)
         return answered(found)

@@ -118,3 +118,15 @@ def test_no_vector_is_lost_and_crowded_lists_are_cut(spark):
     asked = rows.where("id % 900 = 0")
     best = I.nearest(asked, index).groupBy("id").agg(F.max("sim").alias("sim")).collect()
     assert len(best) == 20 and all(r.sim > 0.999 for r in best)
+
+
+def test_only_rows_that_may_be_nearest_are_compared(spark):
+    """Before, each query took its 32 best entries of every list along, and compared 32 rows exactly."""
+    store = store_of(spark, 4000, 32)
+    index = I.build(store)
+    queries = store.where("id % 20 = 0").select("id", "ord", "vec")
+    every, some = (I.candidates(queries, index, best_only=b).count() for b in (False, True))
+    assert every == 200 * I.Search().candidates and 200 <= some < every / 4
+    best = F.min(F.struct("far", "s_ord", "s_id")).alias("b")
+    plain, fewer = (I.nearest(queries, index, best_only=b).groupBy("id").agg(best).collect() for b in (False, True))
+    assert sorted(plain) == sorted(fewer) and len(fewer) == 200
