@@ -21,6 +21,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -33,9 +34,12 @@ FOLD = 2  # words among which the smallest hash ends a line, besides punctuation
 LEAST = 12  # words of a chunk and the lines after it that are hashed as one
 PIECE = 96  # lines in which anchors of one carried piece start
 AROUND = 16  # lines on each side of a chunk that a match may be extended by
+BYTES = 1 << 18  # of text handled at once: what is derived from them fits a core's cache
 
 _ENDS = np.zeros(256, bool)
 _ENDS[list(b".!?,;:")] = True
+_IS_WORD = arrays.NOT_SPACE.tobytes()
+_BLANKS = np.where(arrays.NOT_SPACE, np.arange(256), 32).astype(np.uint8).tobytes()
 
 
 class Lines(NamedTuple):
@@ -54,14 +58,17 @@ def _smallest(values: np.ndarray, row: np.ndarray, window: int, last: np.ndarray
     windows = len(values) - window + 1
     if windows < 1:
         return
-    # Windows of twice the size from two of half the size; the last step may overlap.
-    best, at, size = values, np.arange(len(values), dtype=np.int64), 1
+    # Windows of twice the size from two of half the size; the last step may overlap. How far into
+    # its window the smallest value stands takes a byte.
+    best, into, size = values, np.zeros(len(values), np.uint8), 1
     while size < window:
         step = min(size, window - size)
-        later = best[step:] <= best[:-step]
-        best, at = np.where(later, best[step:], best[:-step]), np.where(later, at[step:], at[:-step])
+        later = np.negative((best[step:] <= best[:-step]).view(np.uint8))  # all bits or none
+        into = into[:-step] ^ ((into[:-step] ^ (into[step:] + np.uint8(step))) & later)
+        best = np.minimum(best[step:], best[:-step])
         size += step
-    last[at[row[:windows] == row[window - 1 :][:windows]]] = True
+    within = np.flatnonzero(row[:windows] == row[window - 1 :][:windows])
+    last[within + into[within]] = True
 
 
 def fold(piece: arrays.Piece) -> Lines:
@@ -74,10 +81,9 @@ def fold(piece: arrays.Piece) -> Lines:
     last = _ENDS[piece.data[words.ends - 1]]
     _smallest(hashes, words.row, FOLD, last)
     last[words.first[1:][np.diff(words.first) > 0] - 1] = True
-    # A line feed between this word and the next.
-    feeds = np.zeros(len(piece.data) + 1, np.int32)
-    np.cumsum(piece.data == 10, out=feeds[1:])
-    last[:-1] |= feeds[words.starts[1:]] > feeds[words.ends[:-1]]
+    # The word before a line feed.
+    before = np.searchsorted(words.starts, np.flatnonzero(piece.data == 10)) - 1
+    last[before[before >= 0]] = True
     tail = np.flatnonzero(last)
     head = np.append(0, tail[:-1] + 1)
     starts, ends = words.starts[head], words.ends[tail]
@@ -93,8 +99,9 @@ def _plain(piece: arrays.Piece, lines: Lines) -> tuple[np.ndarray, np.ndarray]:
     at = begin[np.append(0, np.cumsum(lines.n_words))]
     if not len(words.starts):
         return np.zeros(0, np.uint8), at
-    kept = arrays.NOT_SPACE[piece.data]
-    text = np.where(kept, piece.data, np.uint8(32))
+    raw = piece.data.tobytes()
+    kept = np.frombuffer(bytearray(raw.translate(_IS_WORD)), bool)
+    text = np.frombuffer(raw.translate(_BLANKS), np.uint8)
     # White space after a word is its blank; a word at the very end of a row has none yet.
     bare = words.ends == piece.ends[words.row]
     kept[words.ends[~bare]] = True
@@ -146,7 +153,7 @@ def _count_batches(least_words: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in arrays.pieces(batch.column(0)):
+            for piece in arrays.pieces(batch.column(0), BYTES):
                 lines = fold(piece)
                 hashes, counts = np.unique(_anchors(lines, cut(lines), least_words).hashes, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts)], names=["h", "n"])
@@ -166,7 +173,7 @@ def _run_batches(least_words: int, probe):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in arrays.pieces(batch.column(2)):
+            for piece in arrays.pieces(batch.column(2), BYTES):
                 lines = fold(piece)
                 anchors = _anchors(lines, cut(lines), least_words)
                 found = np.flatnonzero(in_bit_map(probe.value, anchors.hashes))
@@ -255,35 +262,30 @@ def earlier_places(
     return met.groupBy("id", "key").agg(F.collect_list(F.struct("anchors", "body")).alias("places"))
 
 
-def _matched(ours: np.ndarray, line_at: np.ndarray, row: tuple[int, int], theirs: np.ndarray, anchors: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Spans of our lines equal to ``theirs`` byte by byte: each shared anchor, extended both ways.
+def _alike(ours: np.ndarray, at: np.ndarray, theirs: np.ndarray, other: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """How many bytes from ours[at] and theirs[other] on are equal, at most ``most``, for each pair of places.
 
-    ``ours`` are words, each followed by a blank, and ``line_at`` where lines begin in them; the
-    row has the lines from row[0] to row[1]. An anchor is its line and where it begins in ``theirs``.
+    Both arrays have eight more bytes at their end.
     """
-    spans, upto = [], {}
-    low, high = int(line_at[row[0]]), int(line_at[row[1]])
-    for line, other in anchors:
-        at = int(line_at[line])
-        if upto.get(at - other, -1) > at:
-            continue  # an earlier match on this diagonal went past it
-        size = min(high - at, len(theirs) - other)
-        differ = ours[at : at + size] != theirs[other : other + size]
-        first = int(differ.argmax()) if size else 0
-        stop = at + (first if size and differ[first] else size)
-        end = int(np.searchsorted(line_at, stop, "right")) - 1
-        if end <= line:
-            continue  # equal hashes alone
-        size = min(at - low, other)
-        differ = (ours[at - size : at] != theirs[other - size : other])[::-1]
-        first = int(differ.argmax()) if size else 0
-        back = first if size and differ[first] else size
-        start = int(np.searchsorted(line_at, at - back, "left"))
-        if line_at[start] == at - back and other - back > 0 and theirs[other - back - 1] != 32:
-            start += 1  # our first word is the end of one of theirs
-        upto[at - other] = int(line_at[end])
-        spans.append((start, end))
-    return spans
+    mine, yours = (np.ndarray(len(x) - 7, "<u8", np.ascontiguousarray(x), strides=(1,)) for x in (ours, theirs))
+    n, left = np.zeros(len(at), np.int64), np.flatnonzero(most > 0)
+    for _ in range(64):
+        differ = mine[at[left] + n[left]] ^ yours[other[left] + n[left]]
+        ends = np.flatnonzero(differ)
+        # The lowest bit that differs is in the first byte that does.
+        lowest = differ[ends] & (~differ[ends] + np.uint64(1))
+        n[left[ends]] += np.log2(lowest.astype(np.float64)).astype(np.int64) >> 3
+        left = left[differ == 0]
+        n[left] += 8
+        left = left[n[left] < most[left]]
+        if not len(left):
+            break
+    for i in left.tolist():  # long ones, one by one
+        a, b, size = int(at[i] + n[i]), int(other[i] + n[i]), int(most[i] - n[i])
+        differ = ours[a : a + size] != theirs[b : b + size]
+        first = int(differ.argmax())
+        n[i] += first if differ[first] else size
+    return np.minimum(n, most)
 
 
 class _Places(NamedTuple):
@@ -293,34 +295,79 @@ class _Places(NamedTuple):
     anchors: np.ndarray  # place j has the anchors from anchors[j] to anchors[j + 1]
     lines: np.ndarray
     others: np.ndarray
-    bodies: pa.BinaryArray
+    bodies: np.ndarray  # place j has the bytes from bodies[j] to bodies[j + 1]
+    bytes: np.ndarray
+    backward: np.ndarray
+
+
+_MORE = np.zeros(8, np.uint8)
 
 
 def _flat(places: pa.ListArray) -> _Places:
     anchors, items = places.values.field("anchors"), places.values.field("anchors").values
+    bodies = places.values.field("body")
+    _, offsets, data = bodies.buffers()
+    wide = np.int64 if pa.types.is_large_binary(bodies.type) else np.int32
+    offsets = np.frombuffer(offsets, wide)[bodies.offset : bodies.offset + len(bodies) + 1].astype(np.int64)
+    raw = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]]
     return _Places(
-        places.offsets.to_numpy(), anchors.offsets.to_numpy(), items.field("line").to_numpy(), items.field("at").to_numpy(), places.values.field("body")
+        places.offsets.to_numpy(), anchors.offsets.to_numpy(), items.field("line").to_numpy(), items.field("at").to_numpy(),
+        offsets - offsets[0], np.append(raw, _MORE), np.append(raw[::-1], _MORE),
     )
 
 
+def _matched(text: np.ndarray, line_at: np.ndarray, lines: Lines, flat: _Places, first: int) -> np.ndarray:
+    """Whether each line of a piece, whose rows start at row ``first``, is in a span equal to one of a place.
+
+    ``text`` are words, each followed by a blank, and ``line_at`` where lines begin in them. Each
+    shared anchor is compared byte by byte and extended both ways, unless an earlier match on its
+    diagonal went past it. All diagonals are followed at once.
+    """
+    n = len(lines.starts)
+    marks = np.zeros(n + 1, np.int64)
+    upto = flat.rows[first : first + len(lines.first)]
+    low, high = flat.anchors[upto[0]], flat.anchors[upto[-1]]
+    place = np.repeat(np.arange(upto[0], upto[-1]), np.diff(flat.anchors[upto[0] : upto[-1] + 1]))
+    row = np.searchsorted(upto, place, "right") - 1
+    line, other = flat.lines[low:high] + lines.first[row], flat.others[low:high].astype(np.int64)
+    diagonal = line_at[line] - other
+    order = np.lexsort((line, diagonal, place))
+    place, diagonal, row, line, other = (v[order] for v in (place, diagonal, row, line, other))
+    opens = np.append(True, (place[1:] != place[:-1]) | (diagonal[1:] != diagonal[:-1]))[: len(place)]
+    group = np.cumsum(opens) - 1
+    key = group * (n + 1) + line
+    forward, backward = np.append(text, _MORE), np.append(text[::-1], _MORE)
+    now = np.flatnonzero(opens)
+    while len(now):
+        at, begin = line_at[line[now]], flat.bodies[place[now]] + other[now]
+        most = np.minimum(line_at[lines.first[row[now] + 1]] - at, flat.bodies[place[now] + 1] - begin)
+        stop = at + _alike(forward, at, flat.bytes, begin, most)
+        end = np.searchsorted(line_at, stop, "right") - 1
+        after = now + 1
+        some = np.flatnonzero(end > line[now])  # the others have equal hashes alone
+        found, at, begin, end = now[some], at[some], begin[some], end[some]
+        most = np.minimum(at - line_at[lines.first[row[found]]], other[found])
+        back = _alike(backward, len(text) - at, flat.backward, flat.bodies[-1] - begin, most)
+        start = np.searchsorted(line_at, at - back, "left")
+        # Our first word may be the end of one of theirs.
+        start += (line_at[start] == at - back) & (other[found] > back) & (flat.bytes[begin - back - 1] != 32)
+        marks += np.bincount(start, minlength=n + 1) - np.bincount(end, minlength=n + 1)
+        after[some] = np.maximum(after[some], np.searchsorted(key, group[found] * (n + 1) + end))
+        inside = after < len(group)
+        now, after = now[inside], after[inside]
+        now = after[group[after] == group[now]]
+    return np.cumsum(marks)[:-1] > 0
+
+
 def _cleaned(texts: pa.Array, places: pa.ListArray, least_run: int) -> Iterator[tuple[int, str, int]]:
     """Row, text without the runs of matched lines of at least ``least_run`` words, and words removed, for
     the rows that lose any."""
     flat = _flat(places)
-    for piece in arrays.pieces(texts):
+    for piece in arrays.pieces(texts, BYTES):
         lines = fold(piece)
         text, line_at = _plain(piece, lines)
-        marks = np.zeros(len(lines.starts) + 1, np.int64)
-        for i in range(len(piece.starts)):
-            row = (int(lines.first[i]), int(lines.first[i + 1]))
-            for j in range(flat.rows[piece.first + i], flat.rows[piece.first + i + 1]):
-                span = slice(flat.anchors[j], flat.anchors[j + 1])
-                ours = sorted(zip((flat.lines[span] + row[0]).tolist(), flat.others[span].tolist()))
-                theirs = np.frombuffer(flat.bodies[j].as_buffer(), np.uint8)
-                for low, high in _matched(text, line_at, row, theirs, ours):
-                    marks[low] += 1
-                    marks[high] -= 1
-        covered = np.concatenate([[0], np.cumsum(marks)[:-1] > 0, [0]]).astype(np.int8)
+        matched = _matched(text, line_at, lines, flat, piece.first)
+        covered = np.concatenate([[0], matched, [0]]).astype(np.int8)
         counted = np.append(0, np.cumsum(lines.n_words))
         raw = piece.data.tobytes()
         for i in np.flatnonzero(np.add.reduceat(covered, np.append(lines.first[:-1] + 1, len(covered) - 1))[:-1] > 0).tolist() if len(lines.starts) else []:
@@ -370,11 +417,11 @@ def remove_repeats(
             texts = batch.column(at)
             some = np.flatnonzero(matched.is_valid().to_numpy(zero_copy_only=False))
             if len(some):
-                changed = texts.to_pylist()
-                take = pa.array(some)
+                take, changed = pa.array(some), []
                 for i, text, gone in _cleaned(texts.take(take), matched.take(take), least_run):
-                    changed[some[i]], n[some[i]] = text, gone
-                texts = pa.array(changed, texts.type)
+                    changed.append(text)
+                    n[some[i]] = gone
+                texts = pc.replace_with_mask(texts, pa.array(n > 0), pa.array(changed, texts.type))
             columns = [*batch.columns[:at], texts, *batch.columns[at + 1 : len(names)], pa.array(n)]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[: len(names)], gone_name])
 

@@ -1,4 +1,5 @@
 import random
+import sys
 
 import numpy as np
 import pyarrow as pa
@@ -169,3 +170,64 @@ def test_very_long_text_and_a_hot_line(spark):
     out = {r.doc_id: r for r in linechunks.remove_repeats(df, counts="gone").collect()}
     assert out[0].gone == 0 and out[1].text == "" and out[2].text is None
     assert sum(out[i].gone >= 26 for i in range(4, 400)) >= 390
+
+
+def test_smallest_of_windows_with_ties():
+    rng = np.random.default_rng(3)
+    for window in (1, 2, 3, 5, 14):
+        values = rng.integers(0, 6, 300).astype(np.uint64)
+        row = np.sort(rng.integers(0, 12, 300))
+        last, wanted = np.zeros(300, bool), np.zeros(300, bool)
+        linechunks._smallest(values, row, window, last)
+        for i in range(300 - window + 1):
+            if row[i] == row[i + window - 1]:
+                part = values[i : i + window]
+                wanted[i + np.flatnonzero(part == part.min())[-1]] = True
+        assert (last == wanted).all()
+
+
+def test_bytes_alike_from_two_places_on():
+    rng = random.Random(5)
+    a = b"".join(rng.choice([b"ab", b"ba", b"a", b"\x80" * 9]) for _ in range(400)) + b"z" * 1500
+    b = a[100:] + b"y" + a[:900]
+    at, other = zip(*((rng.randrange(len(a)), rng.randrange(len(b))) for _ in range(800)), *((100 + i, i) for i in range(0, len(a) - 100, 7)))
+    most = [rng.choice([0, 1, 8, 10**9]) for _ in at]
+    most = [min(m, len(a) - i, len(b) - j) for m, i, j in zip(most, at, other)]
+    more = np.zeros(8, np.uint8)
+    ours, theirs = (np.append(np.frombuffer(x, np.uint8), more) for x in (a, b))
+    found = linechunks._alike(ours, np.array(at), theirs, np.array(other), np.array(most))
+    for i, j, m, n in zip(at, other, most, found.tolist()):
+        assert 0 <= n <= m and a[i : i + n] == b[j : j + n] and (n == m or a[i + n] != b[j + n])
+
+
+def test_matches_are_followed_together():
+    """A passage that one document repeats 400 times has as many diagonals; none costs calls of its own."""
+    rng = random.Random(41)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 7)))
+    passage = " ".join(word() for _ in range(60)) + ". "
+    own = [" ".join(word() for _ in range(rng.randrange(3, 9))) + ". " for _ in range(400)]
+    text = "".join(passage + more for more in own)
+    anchors = []
+    for body in (passage, text):
+        lines = linechunks.fold(next(arrays.pieces(pa.array([body]))))
+        found = linechunks._anchors(lines, linechunks.cut(lines), linechunks.LEAST)
+        at = linechunks._plain(next(arrays.pieces(pa.array([body]))), lines)[1]
+        anchors.append((found.hashes.tolist(), found.low.tolist(), at))
+    theirs = dict(zip(anchors[0][0], anchors[0][1]))
+    shared = [{"line": low, "at": int(anchors[0][2][theirs[h]])} for h, low in zip(*anchors[1][:2]) if h in theirs]
+    assert len(shared) >= 400
+    type_ = pa.list_(pa.struct([("anchors", pa.list_(pa.struct([("line", pa.int32()), ("at", pa.int32())]))), ("body", pa.binary())]))
+    places = pa.array([[{"anchors": shared, "body": (" ".join(passage.split()) + " ").encode()}]], type_)
+    calls = [0]
+
+    def count(frame, event, arg):
+        calls[0] += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        ((row, kept, gone),) = linechunks._cleaned(pa.array([text]), places, 30)
+    finally:
+        sys.setprofile(None)
+    # A run of matched lines is cut out by a handful of calls.
+    assert row == 0 and gone >= 400 * 58 and calls[0] < 400 * 6
+    assert kept.split() == [w for more in own for w in more.split()] or len(kept.split()) <= 400 * 10
