@@ -80,10 +80,14 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return np.divide(m, size, out=np.zeros_like(m), where=size > 0)
 
 
-def _matrix(lists: pa.Array) -> np.ndarray:
+def _given(lists: pa.Array) -> np.ndarray:
     if isinstance(lists, pa.ChunkedArray):
         lists = lists.combine_chunks()
-    return _unit(lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1))
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1)
+
+
+def _matrix(lists: pa.Array) -> np.ndarray:
+    return _unit(_given(lists))
 
 
 def pivot_angles(units: np.ndarray, pivots: np.ndarray) -> np.ndarray:
@@ -257,23 +261,29 @@ def _meet(asked: DataFrame, stored: DataFrame, n_blocks: int) -> DataFrame:
 
 
 class _Stored:
-    """A stored block in (order, id) order, in double precision and rounded to single.
+    """A stored block in (order, id) order, rounded to single precision.
 
     Products in single precision say which pairs can matter; only those are computed in double
-    precision, whose value decides.
+    precision, whose value decides. Unit vectors in double precision are made for a few rows at a
+    time, so a block takes little more than the vectors as given and once in single precision.
     """
 
     def __init__(self, rows: pa.StructArray):
         # In (order, id) order the first maximum is also the tie winner.
-        rows = rows.take(pc.sort_indices(
+        place = pc.sort_indices(
             pa.RecordBatch.from_arrays([rows.field("ord"), rows.field("id")], ["ord", "id"]),
             sort_keys=[("ord", "ascending"), ("id", "ascending")],
-        ))
-        self.ids, self.order = rows.field("id"), rows.field("ord").to_numpy()
-        self.units = _matrix(rows.field("vec"))
-        self.single = np.ascontiguousarray(self.units.T, dtype=np.float32)
+        )
+        self.ids, self.order = rows.field("id").take(place), rows.field("ord").take(place).to_numpy()
+        self.place, self.given = place.to_numpy(), _given(rows.field("vec"))
+        self.single = np.empty(self.given.shape[::-1], np.float32)
+        for lo in range(0, len(place), _TILE):
+            self.single[:, lo : lo + _TILE] = self.units(slice(lo, lo + _TILE)).T
         # How far a product in single precision may be off.
-        self.off = (self.units.shape[1] + 8) * 2.0**-23
+        self.off = (self.given.shape[1] + 8) * 2.0**-23
+
+    def units(self, at) -> np.ndarray:
+        return _unit(self.given[self.place[at]])
 
     def chunks(self, queries: pa.StructArray, ordered: bool):
         """Ids and unit vectors of some queries, and how many of the stored rows come before each (None: all)."""
@@ -296,10 +306,10 @@ class _Stored:
     def exact(self, units: np.ndarray, rows: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Similarities of pairs in double precision. They are rounded, so copies tie whatever order they were summed in."""
         out = np.empty(len(rows))
-        step = max(1, (1 << 20) // units.shape[1])
+        step = max(1, (1 << 17) // units.shape[1])
         for lo in range(0, len(rows), step):
             cut = slice(lo, lo + step)
-            out[cut] = np.einsum("ij,ij->i", units[rows[cut]], self.units[at[cut]])
+            out[cut] = np.einsum("ij,ij->i", units[rows[cut]], self.units(at[cut]))
         return np.round(out, _STABLE)
 
 

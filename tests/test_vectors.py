@@ -1,7 +1,11 @@
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from suarakit.operators import neighbours
 from suarakit.operators.embed import embed
 from suarakit.operators.near_duplicates import check_duplicates, deduplicate_arrivals, first_come
 from suarakit.operators.neighbours import Lsh, nearest
@@ -259,3 +263,27 @@ def test_query_rows_meet_few_blocks(spark):
     met = N._met(rows, rows, size, True, 0.99, None, N._block_rows(size), 0)
     n, copies = met.agg(F.count("*"), F.sum(F.size("q_rows"))).first()
     assert copies == 30_000 and n <= 8
+
+
+def test_a_stored_block_takes_little_more_than_its_vectors():
+    rng = np.random.default_rng(9)
+    n, dim = 20_000, 64
+    vectors = rng.standard_normal((n, dim)).astype(np.float32)
+    order = rng.permutation(n)
+    offsets = pa.array(np.arange(n + 1, dtype=np.int32) * dim)
+    rows = pa.StructArray.from_arrays(
+        [pa.array(order), pa.array(order), pa.ListArray.from_arrays(offsets, pa.array(vectors.ravel()))], ["id", "ord", "vec"]
+    )
+    arrow = pa.total_allocated_bytes()
+    tracemalloc.start()
+    try:
+        stored = neighbours._Stored(rows)
+        taken = tracemalloc.get_traced_memory()[1] + pa.total_allocated_bytes() - arrow
+    finally:
+        tracemalloc.stop()
+    assert taken < 2 * vectors.nbytes
+    # The same unit vectors in the same order as made at once.
+    units = neighbours._unit(vectors)[np.argsort(order)]
+    assert (stored.units(slice(None)) == units).all() and (stored.single.T == units.astype(np.float32)).all()
+    at = rng.integers(0, n, 5000)
+    assert (stored.exact(units[:10], at % 10, at) == np.round(np.einsum("ij,ij->i", units[at % 10], units[at]), 9)).all()
